@@ -23,16 +23,46 @@ def common_dates(closes: DataFrame, universe: DataFrame) -> DataFrame:
     return per_date.where(F.col("n_symbols") == _row_count(universe)).select("date")
 
 
-def last_dates(dates: DataFrame, n: int) -> DataFrame:
-    """The ``n`` newest dates, found by a distributed top-n."""
-    oldest = dates.orderBy(F.desc("date")).limit(n).agg(F.min("date")).scalar()
-    return dates.where(F.col("date") >= oldest)
-
+def _kept_dates(
+    closes: DataFrame,
+    universe: DataFrame,
+    lookback: int,
+    min_history: int,
+    recent_days: int | None = None,
+) -> Column:
+    """The dates of the panel as one array of at most ``lookback + 1`` dates.
 
-def _panel(closes: DataFrame, universe: DataFrame, dates: DataFrame) -> DataFrame:
+    Closes are first counted per date, so what meets in one task is one row per
+    calendar date. Whether a date is common does not depend on the window
+    chosen, hence the recent window and its fallback share this single pass.
+    """
+    members = universe.select("symbol", F.lit(True).alias("member"))
+    per_date = (
+        closes.join(members, "symbol", "left")
+        .groupBy("date")
+        .agg(F.count_if("member").alias("n_symbols"))
+    )
+    is_common = F.col("n_symbols") == _row_count(universe)
+    calendar = per_date.agg(
+        F.max("date").alias("newest"),
+        F.sort_array(F.collect_list(F.when(is_common, F.col("date")))).alias("dates"),
+    )
+    need = min_history + 1
+    chosen = F.col("dates")
+    if recent_days is not None:
+        start = F.date_sub("newest", recent_days)
+        recent = F.filter("dates", lambda d: d >= start)
+        chosen = F.when(F.size(recent) >= need, recent).otherwise(F.col("dates"))
+    tail = F.slice("chosen", F.greatest(F.size("chosen") - lookback, F.lit(1)), lookback + 1)
+    nothing = F.array().cast("array<date>")
+    kept = F.when(F.size("chosen") >= need, tail).otherwise(nothing)
+    return calendar.select(chosen.alias("chosen")).select(kept.alias("kept")).scalar()
+
+
+def _panel(closes: DataFrame, universe: DataFrame, kept: Column) -> DataFrame:
     return (
-        closes.join(universe.select("symbol", "ord"), "symbol")
-        .join(dates, "date", "left_semi")
+        closes.where(F.array_contains(kept, F.col("date")))
+        .join(universe.select("symbol", "ord"), "symbol")
         .select("symbol", "ord", "date", "close")
     )
 
@@ -45,9 +75,7 @@ def aligned_panel(
     The panel is empty when fewer than ``min_history + 1`` such dates exist;
     ``require_history`` turns that into an error.
     """
-    dates = common_dates(closes, universe)
-    enough = dates.where(_row_count(dates) >= min_history + 1)
-    return _panel(closes, universe, last_dates(enough, lookback + 1))
+    return _panel(closes, universe, _kept_dates(closes, universe, lookback, min_history))
 
 
 def panel_with_fallback(
@@ -58,18 +86,11 @@ def panel_with_fallback(
     min_history: int,
     period_days: int = 1,
 ) -> DataFrame:
-    """Aligned panel of the recent window, or of all history if that is too short.
-
-    Whether a date is common does not depend on the window, so both cases share
-    one table of common dates and the choice is a count over it.
-    """
-    newest = closes.agg(F.max("date")).scalar()
-    recent_start = F.date_sub(newest, (lookback + buffer) * period_days)
-    dates = common_dates(closes, universe).withColumn("recent", F.col("date") >= recent_start)
-    n_recent = dates.agg(F.count_if("recent")).scalar()
-    chosen = dates.where(F.col("recent") | (n_recent < min_history + 1)).select("date")
-    enough = chosen.where(_row_count(chosen) >= min_history + 1)
-    return _panel(closes, universe, last_dates(enough, lookback + 1))
+    """Aligned panel of the recent window, or of all history if that is too short."""
+    recent_days = (lookback + buffer) * period_days
+    return _panel(
+        closes, universe, _kept_dates(closes, universe, lookback, min_history, recent_days)
+    )
 
 
 def require_history(panel: DataFrame, min_history: int) -> DataFrame:

@@ -106,7 +106,7 @@ PRIORITY_CLOSES = """closes AS (
   FROM orders GROUP BY 1, 2)"""
 BRAND_CLOSES = """closes AS (
   SELECT upper(p_brand) AS symbol, CAST(date_trunc('week', l_shipdate) AS DATE) AS date,
-         avg(l_extendedprice) AS close
+         100000 + avg(l_extendedprice) AS close
   FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1, 2)"""
 
 
@@ -186,7 +186,7 @@ legs AS (
   SELECT sid, k, i - 1 AS i, chosen[i] AS ord, -ln({uniform("sid", "'w'", "i - 1")}) AS raw
   FROM (SELECT sid, k, chosen, unnest(range(1, k + 1)) AS i FROM picks WHERE j = n)),
 cw AS (
-  SELECT sid, CAST(ord AS INTEGER) AS ord, {CONFIG.min_weight} + greatest(0, 1 - k * {CONFIG.min_weight})
+  SELECT sid, CAST(ord AS INTEGER) AS ord, CAST({CONFIG.min_weight} AS DOUBLE) + greatest(0, 1 - k * {CONFIG.min_weight})
          * raw / sum(raw) OVER (PARTITION BY sid) AS weight
   FROM legs),
 means AS (
@@ -211,13 +211,13 @@ scores AS (
 best AS (SELECT * FROM scores ORDER BY sharpe_ratio DESC, simulation_id LIMIT 1)"""
 
 PORTFOLIOS = f"""sparse AS (
-  SELECT 'baseline' AS portfolio_type, 'BRAND#10' AS symbol, 0.5 AS w
-  UNION ALL SELECT 'baseline', 'BRAND#2', 0.5
-  UNION ALL SELECT 'benchmark', '{CONFIG.benchmark_symbol}', 1.0
+  SELECT 'baseline' AS portfolio_type, 'BRAND#10' AS symbol, CAST(0.5 AS DOUBLE) AS w
+  UNION ALL SELECT 'baseline', 'BRAND#2', CAST(0.5 AS DOUBLE)
+  UNION ALL SELECT 'benchmark', '{CONFIG.benchmark_symbol}', CAST(1 AS DOUBLE)
   UNION ALL SELECT 'optimized', symbol, weight
   FROM cw JOIN best ON sid = simulation_id JOIN uni USING (ord)),
 weights AS (
-  SELECT t.portfolio_type, u.symbol, u.ord, coalesce(s.w, 0.0) AS weight
+  SELECT t.portfolio_type, u.symbol, u.ord, coalesce(s.w, CAST(0 AS DOUBLE)) AS weight
   FROM (SELECT DISTINCT portfolio_type FROM (
           SELECT portfolio_type FROM sparse UNION ALL SELECT 'optimized')) t
   CROSS JOIN uni u LEFT JOIN sparse s ON s.portfolio_type = t.portfolio_type AND s.symbol = u.symbol),
@@ -232,8 +232,8 @@ paths AS (
   FROM valued),
 all_weights AS (
   SELECT * FROM weights
-  UNION ALL SELECT 'equal', symbol, ord, 1.0 / (SELECT count(*) FROM uni) FROM uni
-  UNION ALL SELECT 'empty', symbol, ord, 0.0 FROM uni),
+  UNION ALL SELECT 'equal', symbol, ord, CAST(1 AS DOUBLE) / (SELECT count(*) FROM uni) FROM uni
+  UNION ALL SELECT 'empty', symbol, ord, CAST(0 AS DOUBLE) FROM uni),
 pair_sums AS (
   SELECT a.portfolio_type, sum(a.weight * b.weight) AS pw, sum(a.weight * b.weight * abs(m.correlation)) AS pc
   FROM all_weights a JOIN all_weights b

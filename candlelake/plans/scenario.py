@@ -94,10 +94,9 @@ class Scenario:
         c = self.config
         keep = staged if stage else (lambda df, name: df)
         self.universe = keep(self.universe, "universe")
-        panel = panel_with_fallback(
+        self.panel = panel_with_fallback(
             self.closes, self.universe, c.lookback, c.buffer, c.min_history, c.period_days
         )
-        self.panel = keep(panel, "panel")
         self.returns = keep(asset_returns(self.panel), "returns")
         self.upper = keep(upper_matrix(self.returns, c.matrix_blocks), "matrix")
         return self
