@@ -1,6 +1,7 @@
 from candlelake.sinks.tables import (
     add_missing_columns,
     append_missing_dates,
+    existing_dates,
     load_delta,
     register_external_table,
     replace_partitions,
@@ -12,6 +13,7 @@ from candlelake.sinks.tables import (
 __all__ = [
     "add_missing_columns",
     "append_missing_dates",
+    "existing_dates",
     "load_delta",
     "register_external_table",
     "replace_partitions",

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -48,20 +48,26 @@ def replace_partitions(df: DataFrame, path: str, by: Sequence[str]) -> None:
     write_partitioned(df, path, by, dynamic=True)
 
 
-def append_missing_dates(df: DataFrame, path: str, ts: str = "timestamp") -> None:
-    """Append only dates the target does not hold yet, so a rerun adds nothing.
+def existing_dates(spark: SparkSession, path: str) -> list[dt.date]:
+    """Dates of the ``date=`` folders below ``path``, from one folder listing.
 
-    The existing dates come from the partition column alone; no candle column
-    of the target is read.
+    No file is opened, and there is one entry per calendar date.
     """
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(root):
+        return []
+    folders = fs.globStatus(spark._jvm.org.apache.hadoop.fs.Path(root, "date=????-??-??"))
+    names = [status.getPath().getName() for status in folders]
+    return sorted(dt.date.fromisoformat(name.partition("=")[2]) for name in names)
+
+
+def append_missing_dates(df: DataFrame, path: str, ts: str = "timestamp") -> None:
+    """Append only dates the target does not hold yet, so a rerun adds nothing."""
     dated = df.withColumn("date", F.to_date(ts))
-    try:
-        present = df.sparkSession.read.parquet(path).select("date").distinct()
-    except AnalysisException as error:
-        if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            raise
-    else:
-        dated = dated.join(present, "date", "left_anti")
+    present = existing_dates(df.sparkSession, path)
+    if present:
+        dated = dated.where(~F.col("date").isin(present))
     write_partitioned(dated, path, ["date"], mode="append")
 
 
