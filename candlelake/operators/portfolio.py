@@ -37,6 +37,16 @@ def dense_weights(universe: DataFrame, sparse: DataFrame, portfolio_type: str) -
     )
 
 
+def single_asset_weights(universe: DataFrame, symbol: str, portfolio_type: str) -> DataFrame:
+    """The whole portfolio in one symbol, as dense weights."""
+    return universe.select(
+        F.lit(portfolio_type).alias("portfolio_type"),
+        "symbol",
+        "ord",
+        F.when(F.col("symbol") == symbol, 1.0).otherwise(0.0).alias("weight"),
+    )
+
+
 def portfolio_returns(returns: DataFrame, weights: DataFrame) -> DataFrame:
     """Weighted return per portfolio and date."""
     return (

@@ -22,6 +22,7 @@ from candlelake.operators.portfolio import (
     diversification,
     portfolio_returns,
     ranked_weights,
+    single_asset_weights,
     summarize,
     with_benchmark_value,
 )
@@ -120,17 +121,11 @@ class Scenario:
 
     def weights(self) -> DataFrame:
         """Dense weights of the baseline, optimized and benchmark portfolios."""
-        spark = self.universe.sparkSession
-        one = spark.range(1).select(
-            F.lit(BENCHMARK).alias("portfolio_type"),
-            F.lit(self.config.benchmark_symbol).alias("symbol"),
-            F.lit(1.0).alias("weight"),
-        )
         best = self.best_weights().select(F.lit(OPTIMIZED).alias("portfolio_type"), "symbol", "weight")
         return (
             dense_weights(self.universe, self.baseline, BASELINE)
             .unionByName(dense_weights(self.universe, best, OPTIMIZED))
-            .unionByName(dense_weights(self.universe, one, BENCHMARK))
+            .unionByName(single_asset_weights(self.universe, self.config.benchmark_symbol, BENCHMARK))
         )
 
     def series(self, weights: DataFrame) -> DataFrame:
