@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 DEFAULT_BLOCKS = 8
@@ -78,14 +78,16 @@ def upper_matrix(returns: DataFrame, blocks: int = DEFAULT_BLOCKS) -> DataFrame:
 
 
 def full_matrix(upper: DataFrame) -> DataFrame:
-    """All ordered pairs: the upper half, and its mirror image below the diagonal."""
-    values = ["covariance", "correlation"]
-    mirrored = upper.where(F.col("ord_x") < F.col("ord_y")).select(
-        *[
-            F.col(f"{c}_{b}").alias(f"{c}_{a}")
-            for c in ("symbol", "ord", "mean_return")
-            for a, b in (("x", "y"), ("y", "x"))
-        ],
-        *values,
-    )
-    return upper.unionByName(mirrored)
+    """All ordered pairs: every cell of the upper half and, off the diagonal, its mirror image."""
+    def cell(a: str, b: str) -> Column:
+        return F.struct(
+            *[
+                F.col(f"{c}_{side}").alias(f"{c}_{name}")
+                for c in ("symbol", "ord", "mean_return")
+                for name, side in (("x", a), ("y", b))
+            ]
+        )
+
+    mirrored = F.when(F.col("ord_x") < F.col("ord_y"), cell("y", "x"))
+    both = F.array_compact(F.array(cell("x", "y"), mirrored))
+    return upper.select(F.inline(both), "covariance", "correlation")

@@ -91,7 +91,7 @@ class Scenario:
         self.scores = None
 
     def prepare(self, stage: bool = True) -> "Scenario":
-        """Panel, returns, matrix and candidate scores."""
+        """Usable universe, panel, returns and the matrix."""
         c = self.config
         keep = staged if stage else (lambda df, name: df)
         self.universe = keep(self.universe, "universe")
@@ -99,11 +99,14 @@ class Scenario:
             self.closes, self.universe, c.lookback, c.buffer, c.min_history, c.period_days
         )
         self.returns = keep(asset_returns(self.panel), "returns")
-        self.upper = keep(upper_matrix(self.returns, c.matrix_blocks), "matrix")
+        self.upper = upper_matrix(self.returns, c.matrix_blocks)
         return self
 
     def simulate(self, stage: bool = True) -> "Scenario":
+        """Candidates and their scores; the matrix is stored for all later steps."""
         c = self.config
+        if stage:
+            self.upper = staged(self.upper, "matrix")
         n_assets = self.universe.agg(F.count(F.lit(1))).scalar()
         self.legs = candidate_legs(
             self.universe.sparkSession, n_assets, c.simulations, c.seed,
