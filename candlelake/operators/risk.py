@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_BLOCKS = 8
+SYMBOLS_PER_BLOCK = 200
 
 
 def return_vectors(returns: DataFrame) -> DataFrame:
@@ -32,26 +32,36 @@ def return_vectors(returns: DataFrame) -> DataFrame:
     )
 
 
-def upper_matrix(returns: DataFrame, blocks: int = DEFAULT_BLOCKS) -> DataFrame:
+def upper_matrix(returns: DataFrame, symbols_per_block: int = SYMBOLS_PER_BLOCK) -> DataFrame:
     """Covariance and correlation of the symbol pairs ``ord_x <= ord_y``.
 
     Each output row is formed from two vectors, so the join emits exactly the
     matrix cells and not one row per cell and date. The cells are grouped into
     blocks: a symbol is sent once to each block row and column it belongs to,
-    and the join is an equi-join on the block. ``blocks`` grows with the number
-    of symbols (a few hundred symbols per block).
+    and the join is an equi-join on the block. The number of blocks grows with
+    the number of symbols, so a join key always stands for at most
+    ``symbols_per_block`` symbols on either side.
     """
-    vectors = return_vectors(returns).withColumn("block", F.pmod("ord", F.lit(blocks)))
+    last_ord = returns.agg(F.max("ord")).scalar()
+    blocks = F.floor(last_ord / symbols_per_block).cast("int") + 1
+    vectors = (
+        return_vectors(returns)
+        .withColumn("blocks", blocks)
+        .withColumn("block", F.pmod("ord", F.col("blocks")))
+    )
 
     def side(name: str) -> DataFrame:
         return vectors.select(
             *[F.col(c).alias(f"{c}_{name}") for c in ("symbol", "ord", "mean_return", "dev", "variance")],
             "n",
+            "blocks",
             F.col("block").alias(f"block_{name}"),
         )
 
-    left = side("x").withColumn("block_y", F.explode(F.sequence("block_x", F.lit(blocks - 1))))
-    right = side("y").drop("n").withColumn("block_x", F.explode(F.sequence(F.lit(0), "block_y")))
+    left = side("x").withColumn("block_y", F.explode(F.sequence("block_x", F.col("blocks") - 1)))
+    right = side("y").drop("n", "blocks").withColumn(
+        "block_x", F.explode(F.sequence(F.lit(0), "block_y"))
+    )
     cells = left.join(right, ["block_x", "block_y"]).where(
         (F.col("block_x") < F.col("block_y")) | (F.col("ord_x") <= F.col("ord_y"))
     )

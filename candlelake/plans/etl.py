@@ -11,9 +11,16 @@ from pyspark.sql import functions as F
 from candlelake.operators.clean import clean_candles, from_date, serving_projection, union_sources
 from candlelake.operators.quality import quality_strict
 from candlelake.operators.upsert import latest_wins
+from candlelake.plans.staging import staged
 from candlelake.schemas import CANDLE_COLUMNS
-from candlelake.sinks import append_missing_dates, with_month, write_by_date, write_partitioned
-from candlelake.sources import read_csv_archive, read_day, read_partitioned
+from candlelake.sinks import (
+    append_missing_dates,
+    replace_partitions,
+    with_month,
+    write_by_date,
+    write_partitioned,
+)
+from candlelake.sources import read_csv_archive, read_day, read_partitioned, within_dates
 
 
 def silver_candles(*sources: DataFrame, start: str | None = None, dedup: bool = False) -> DataFrame:
@@ -47,6 +54,15 @@ def daily_ingest(spark: SparkSession, bronze: str, target: str, day: str | dt.da
     append_missing_dates(silver_candles(read_day(spark, bronze, day)), target)
 
 
+def backfill(candles: DataFrame, target: str, start: str | dt.date, end: str | dt.date) -> None:
+    """Replace the dates ``start``..``end`` of the silver table; other dates stay.
+
+    Running it again gives the same table, so it also repairs partial days.
+    """
+    dated = candles.withColumn("date", F.to_date("timestamp"))
+    replace_partitions(within_dates(dated, start, end), target, ["date"])
+
+
 def serving_load(silver: DataFrame, target: str) -> None:
     """Append candles to the serving table, partitioned by month."""
     rows = serving_projection(silver).withColumn("ingested_at", F.current_timestamp())
@@ -56,3 +72,11 @@ def serving_load(silver: DataFrame, target: str) -> None:
 def serving_view(spark: SparkSession, target: str) -> DataFrame:
     """The serving table with the newest version of every candle."""
     return latest_wins(spark.read.parquet(target), ["symbol", "timestamp"], "ingested_at")
+
+
+def compact_serving(spark: SparkSession, target: str, month: str) -> None:
+    """Rewrite one month of the serving table with only the newest versions."""
+    rows = spark.read.parquet(target).where(F.col("month") == month)
+    newest = latest_wins(rows, ["symbol", "timestamp"], "ingested_at")
+    # stored first: a folder cannot be read and replaced in the same job
+    replace_partitions(staged(newest, "compact"), target, ["month"])

@@ -398,6 +398,12 @@ def oracle_sql() -> dict[str, str]:
     # sinks
     for name in ("partitioned_overwrite", "partitioned_append", "append_missing_partitions", "serving_load"):
         q[name] = f"WITH {MINUTE} " + DATED
+    q["backfill_range"] = f"WITH {MINUTE} " + select(
+        "timestamp symbol close~ date@",
+        f"""FROM (SELECT "timestamp", symbol, CAST("timestamp" AS DATE) AS date,
+              CASE WHEN CAST("timestamp" AS DATE) BETWEEN DATE '{BACKFILL_START}' AND DATE '{DAY}' THEN close ELSE close + 1 END AS close
+              FROM bars)""",
+    )
     q["month_partitions"] = f"WITH {PRIORITY_CLOSES} " + select(
         "month% n_rows# max_close~",
         "FROM (SELECT strftime(date, '%Y%m') AS month, count(*) AS n_rows, max(close) AS max_close FROM closes GROUP BY 1)",

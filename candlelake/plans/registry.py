@@ -269,6 +269,17 @@ def append_missing_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(target)
 
 
+@query
+def backfill_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table with wrong closes is repaired for a range of dates only."""
+    target = work_path(spark, "silver")
+    minute = b.candles(spark, sf_dir)
+    sinks.write_by_date(minute.withColumn("close", F.col("close") + 1), target)
+    for _ in range(2):
+        etl.backfill(minute, target, BACKFILL_START, DAY)
+    return spark.read.parquet(target).select("timestamp", "symbol", "close", "date")
+
+
 @query
 def month_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows and closes per month folder of the orders' daily closes."""

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -15,7 +15,12 @@ from candlelake.operators.candidates import (
     flag_best,
     score_candidates,
 )
-from candlelake.operators.panel import asset_returns, panel_with_fallback, return_stats
+from candlelake.operators.panel import (
+    asset_returns,
+    panel_with_fallback,
+    require_history,
+    return_stats,
+)
 from candlelake.operators.portfolio import (
     backtest,
     dense_weights,
@@ -61,7 +66,6 @@ class ScenarioConfig:
     min_active: int = 5
     max_active: int = 15
     min_weight: float = 0.10
-    matrix_blocks: int = 8
 
 
 def numbered(universe: DataFrame) -> DataFrame:
@@ -90,16 +94,23 @@ class Scenario:
         self.upper = None
         self.scores = None
 
-    def prepare(self, stage: bool = True) -> "Scenario":
-        """Usable universe, panel, returns and the matrix."""
+    def prepare(self, stage: bool = True, strict: bool = False) -> "Scenario":
+        """Usable universe, panel, returns and the matrix.
+
+        ``strict`` fails on a missing benchmark or a short history; otherwise
+        a short history gives empty results.
+        """
         c = self.config
         keep = staged if stage else (lambda df, name: df)
         self.universe = keep(self.universe, "universe")
         self.panel = panel_with_fallback(
             self.closes, self.universe, c.lookback, c.buffer, c.min_history, c.period_days
         )
+        if strict:
+            check_benchmark(self.universe, c.benchmark_symbol)
+            self.panel = require_history(self.panel, c.min_history)
         self.returns = keep(asset_returns(self.panel), "returns")
-        self.upper = upper_matrix(self.returns, c.matrix_blocks)
+        self.upper = upper_matrix(self.returns)
         return self
 
     def simulate(self, stage: bool = True) -> "Scenario":
@@ -235,12 +246,12 @@ def publish(tables: dict[str, DataFrame], root: str) -> None:
         replace_partitions(df, f"{root}/{name}", ["scenario_id"])
 
 
-def read_results(spark, root: str, name: str) -> DataFrame:
-    """A published table, scenario id first."""
+def read_results(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """A published table in its column order."""
     return spark.read.schema(RESULT_SCHEMAS[name]).parquet(f"{root}/{name}").select(result_columns(name))
 
 
-def scenario_counts(spark, root: str, scenario_id: str) -> DataFrame:
+def scenario_counts(spark: SparkSession, root: str, scenario_id: str) -> DataFrame:
     """Stored rows of one scenario per table."""
     counts = None
     for name in RESULT_SCHEMAS:
@@ -252,3 +263,12 @@ def scenario_counts(spark, root: str, scenario_id: str) -> DataFrame:
         )
         counts = one if counts is None else counts.unionByName(one)
     return counts
+
+
+def run_scenario(
+    closes: DataFrame, universe: DataFrame, baseline: DataFrame, config: ScenarioConfig, root: str
+) -> DataFrame:
+    """Check the inputs, compute and publish all tables, and count the stored rows."""
+    run = Scenario(closes, universe, baseline, config).prepare(strict=True).simulate()
+    publish(run.tables(), root)
+    return scenario_counts(closes.sparkSession, root, config.scenario_id)

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from candlelake.operators import candidates, panel, portfolio, risk
-from candlelake.plans.scenario import Scenario, ScenarioConfig
+from candlelake.plans.scenario import Scenario, ScenarioConfig, run_scenario
 
 D0 = dt.date(2024, 1, 1)
 
@@ -96,12 +96,12 @@ def returns_frame(spark, matrix, symbols):
     return spark.createDataFrame(rows, "symbol string, ord int, date date, ret double")
 
 
-@pytest.mark.parametrize("blocks", [1, 3, 8])
-def test_matrix_against_numpy(spark, blocks):
+@pytest.mark.parametrize("per_block", [200, 4, 1])
+def test_matrix_against_numpy(spark, per_block):
     symbols = [f"S{i:02d}" for i in range(11)]
     data = np.random.default_rng(5).normal(0, 0.02, (40, 11))
     data[:, 4] = 0.01  # a constant series has no correlation
-    full = risk.full_matrix(risk.upper_matrix(returns_frame(spark, data, symbols), blocks)).collect()
+    full = risk.full_matrix(risk.upper_matrix(returns_frame(spark, data, symbols), per_block)).collect()
     assert len(full) == 121
     cov = np.cov(data, rowvar=False)
     for r in full:
@@ -285,3 +285,36 @@ def test_whole_scenario(spark):
             assert r.benchmark_value is None
         else:
             assert r.benchmark_value == paths["benchmark", r.date].portfolio_value
+
+
+def scenario_inputs(spark, days=60):
+    symbols = [f"S{i}" for i in range(6)]
+    baseline = spark.createDataFrame(
+        [("baseline", "S0", 1.0)], "portfolio_type string, symbol string, weight double"
+    )
+    return closes_frame(spark, random_prices(symbols, days, seed=9)), universe_frame(spark, symbols), baseline
+
+
+def test_run_scenario_publishes_and_counts(spark, tmp_path):
+    config = ScenarioConfig("t", "S1", lookback=40, buffer=5, min_history=20, simulations=50)
+    counts = run_scenario(*scenario_inputs(spark), config, str(tmp_path / "store"))
+    assert {r.table_name: r.n_rows for r in counts.collect()} == {
+        "portfolio_scenarios": 1,
+        "portfolio_weights": 1 + len(
+            spark.read.parquet(str(tmp_path / "store" / "portfolio_weights"))
+            .where("portfolio_type = 'optimized'").collect()
+        ),
+        "portfolio_metrics": 3,
+        "portfolio_correlation_matrix": 36,
+        "portfolio_backtest_series": 120,
+        "portfolio_simulations": 50,
+    }
+
+
+@pytest.mark.parametrize(
+    "benchmark, min_history, message", [("NONE", 20, "benchmark"), ("S1", 90, "common dates")]
+)
+def test_run_scenario_refuses_unsound_input(spark, tmp_path, benchmark, min_history, message):
+    config = ScenarioConfig("t", benchmark, lookback=100, min_history=min_history, simulations=5)
+    with pytest.raises(Exception, match=message):
+        run_scenario(*scenario_inputs(spark), config, str(tmp_path / "store"))

@@ -146,6 +146,8 @@ def test_daily_ingest_and_serving(spark, tmp_path):
     etl.serving_load(stored.withColumn("close", F.lit(11.5)), serving)
     assert [(r.close, str(r.date)) for r in etl.serving_view(spark, serving).collect()] == [(11.5, "2024-01-01")]
     assert spark.read.parquet(serving).count() == 2
+    etl.compact_serving(spark, serving, "202401")
+    assert [r.close for r in spark.read.parquet(serving).collect()] == [11.5]
 
 
 def test_bulk_load(spark, tmp_path):
