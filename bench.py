@@ -1,7 +1,8 @@
 """Time the headline queries and print one JSON line.
 
 ``BENCH_SF_DIR`` names the data, ``BENCH_CPUS`` the local cores, ``BENCH_RUNS``
-the timed runs per query (after one warm-up; the median is reported).
+the timed runs per query (after one warm-up; the median is reported);
+``BENCH_QUERIES`` may narrow the registered queries.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ import time
 
 from candlelake.operators.candidates import candidate_legs, score_candidates
 from candlelake.plans.registry import CONFIG, QUERIES, _scenario
+from candlelake.plans.staging import staged
 from candlelake.session import build_session, use_utc
 from pyspark.sql import functions as F
 
@@ -63,14 +65,16 @@ def main() -> None:
     spark.sparkContext.setLogLevel("ERROR")
     use_utc(spark)
 
-    jobs = {name: (lambda q=QUERIES[name]: drain(q(spark, sf_dir))) for name in HEADLINE}
+    wanted = os.environ.get("BENCH_QUERIES", " ".join(HEADLINE)).split()
+    jobs = {name: (lambda q=QUERIES[name]: drain(q(spark, sf_dir))) for name in wanted}
     run = _scenario(spark, sf_dir)
     size = run.universe.agg(F.count(F.lit(1))).scalar()
+    matrix = staged(run.upper, "matrix")
     for n in CANDIDATES:
         legs = candidate_legs(
             spark, size, n, CONFIG.seed, CONFIG.min_active, CONFIG.max_active, CONFIG.min_weight
         )
-        scores = score_candidates(legs, run.upper, CONFIG.risk_free_rate, CONFIG.periods_per_year)
+        scores = score_candidates(legs, matrix, CONFIG.risk_free_rate, CONFIG.periods_per_year)
         jobs[f"score_{n}_candidates"] = lambda df=scores: drain(df)
 
     seconds = {}
