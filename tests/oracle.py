@@ -63,7 +63,7 @@ def main(argv: list[str]) -> int:
     spark, con = new_session(), connect(sf_dir)
     queries, oracle = entry.queries(), entry.oracle_sql()
     failed = 0
-    for name in argv[1:] or queries:
+    for name in argv[1:] or oracle:
         start = time.time()
         try:
             found = differences(queries[name](spark, sf_dir), con, oracle[name])
