@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from candlelake.llm import packing, simhash, tokens
+from candlelake.llm import packing, simhash, substring_automaton, suffix_array, tokens
 from candlelake.session import use_utc
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -30,6 +30,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_automaton.remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
+
+
 @query
 def op2_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.token_file_report(table(spark, sf_dir, "documents"), VOCABULARY)
@@ -40,6 +45,11 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_groups(table(spark, sf_dir, "documents"))
 
 
+@query
+def op8_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_array.remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
+
+
 @query
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), VOCABULARY).drop("ids")
