@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from candlelake.llm import packing, simhash, substring_automaton, suffix_array, tokens
+from candlelake.llm import langid, packing, simhash, substring_automaton, suffix_array, tokens
 from candlelake.session import use_utc
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -45,6 +45,11 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_groups(table(spark, sf_dir, "documents"))
 
 
+@query
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(table(spark, sf_dir, "documents"))
+
+
 @query
 def op8_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_array.remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
