@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from candlelake.llm import langid, packing, simhash, substring_automaton, suffix_array, tokens
+from candlelake.llm import langid, mixing, packing, simhash, substring_automaton, suffix_array, tokens
 from candlelake.session import use_utc
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -14,6 +14,10 @@ Query = Callable[[SparkSession, str], DataFrame]
 TOKENIZERS = "/opt/tokenizers"
 VOCABULARY = f"{TOKENIZERS}/word_bpe_49k.json"
 
+# shares of the tokens by domain, and the probability under which a language counts as unrecognised
+TARGETS = {"good": 0.85, "poor": 0.1, "toxic": 0.05}
+LEAST_SCORE = 0.35
+
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
@@ -58,3 +62,8 @@ def op8_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), VOCABULARY).drop("ids")
+
+
+@query
+def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixing_rates(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), TARGETS)

@@ -47,8 +47,8 @@ def parts(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def keyed_docs(docs: DataFrame) -> DataFrame:
-    """``did, th, text``: id (null: NULL_ID), a hash of the text and the text (null: empty).
+def keyed_docs(docs: DataFrame, *more: str) -> DataFrame:
+    """``did, th, text``: id (null: NULL_ID), a hash of the text and the text (null: empty); and columns ``more``.
 
     ``did, th`` tells apart rows that share an id but not the text.
     """
@@ -57,6 +57,7 @@ def keyed_docs(docs: DataFrame) -> DataFrame:
         F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("did"),
         F.hash(text).alias("th"),
         text.alias("text"),
+        *more,
     )
 
 

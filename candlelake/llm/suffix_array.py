@@ -17,6 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from candlelake.llm import anchors
 from candlelake.llm.stages import doc_id, keyed_docs, map_arrow
@@ -199,14 +200,10 @@ def remove_repeats(docs: DataFrame, min_bytes: int = 200) -> DataFrame:
     joined = anchors.with_spans(keyed, repeated_spans(keyed, min_bytes))
 
     def cut(batch):
-        out = []
-        lows, highs = batch["lows"].to_pylist(), batch["highs"].to_pylist()
-        for text, low, high in zip(batch["text"], lows, highs):
-            raw = text.as_py().encode()
-            spans = anchors.covered(low, high, len(raw), min_bytes)
-            ends = [0, *(x for s in spans for x in s), len(raw)]
-            kept = b"".join(raw[a:b] for a, b in zip(ends[::2], ends[1::2]))
-            out.append((len(raw), len(raw) - len(kept), len(spans), hashlib.sha256(kept).hexdigest(), kept))
+        out = [
+            (len(raw), len(raw) - len(kept), n, hashlib.sha256(kept).hexdigest(), kept)
+            for raw, kept, n in _kept(batch, min_bytes)
+        ]
         columns = list(zip(*out))
         kinds = [pa.int64()] * 3 + [pa.string(), pa.binary()]
         yield pa.RecordBatch.from_arrays(
@@ -217,3 +214,39 @@ def remove_repeats(docs: DataFrame, min_bytes: int = 200) -> DataFrame:
     schema = "did long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
     done = map_arrow(joined.select("did", "text", "lows", "highs"), cut, schema)
     return done.select(doc_id().alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept")
+
+
+def _kept(batch: pa.RecordBatch, min_bytes: int):
+    """For each row: its bytes, what remains of them, and the number of removed runs."""
+    lows, highs = batch["lows"].to_pylist(), batch["highs"].to_pylist()
+    for text, low, high in zip(batch["text"], lows, highs):
+        raw = text.as_py().encode()
+        spans = anchors.covered(low, high, len(raw), min_bytes)
+        ends = [0, *(x for s in spans for x in s), len(raw)]
+        yield raw, b"".join(raw[a:b] for a, b in zip(ends[::2], ends[1::2])), len(spans)
+
+
+def cut_repeats(docs: DataFrame, min_bytes: int = 200) -> DataFrame:
+    """``docs`` with repeated strings cut out of ``text``, and ``n_chars``, if there, counted anew.
+
+    As ``remove_repeats``; a character that loses some of its bytes goes whole. Texts without a repeat, nulls
+    among them, stay as they are, and so do all other columns.
+    """
+    columns = docs.columns
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in columns)).alias("row"), "doc_id", "text")
+    keyed = keyed_docs(docs)
+    keys = keyed_docs(rows, "row")
+    joined = anchors.with_spans(keys, repeated_spans(keyed, min_bytes))
+    schema = T.StructType([*rows.select("row").schema.fields, T.StructField("cut", T.StringType())])
+
+    def cut(batch):
+        texts = [kept.decode("utf-8", "ignore") if n else None for _, kept, n in _kept(batch, min_bytes)]
+        yield pa.RecordBatch.from_arrays([batch["row"], pa.array(texts, pa.string())], names=["row", "cut"])
+
+    done = map_arrow(joined.select("row", "text", "lows", "highs"), cut, schema)
+    values = {c: F.col(f"row.`{c}`") for c in columns}
+    values["text"] = F.coalesce("cut", F.col("row.text"))
+    if "n_chars" in values:
+        counted = F.length("cut").cast(docs.schema["n_chars"].dataType)
+        values["n_chars"] = F.coalesce(counted, F.col("row.n_chars"))
+    return done.select(*(v.alias(c) for c, v in values.items()))
