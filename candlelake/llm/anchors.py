@@ -191,9 +191,12 @@ class Repeats:
 def search(keyed: DataFrame, units: Units, keep_first: bool) -> Repeats:
     """Find the places where windows can repeat. ``keep_first``: the first member of a class isn't settled by it."""
     rows = stage(anchor_rows(keyed, units), "anchors")
-    repeated = rows.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("gram")
+    # joins read stored tables on both sides, so that Spark can split a gram with many rows
+    repeated = stage(
+        rows.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("gram"), "repeated-grams"
+    )
     kept = stage(rows.join(repeated, "gram"), "repeated")
-    drop(rows)
+    drop(rows, repeated)
     settled, firsts = _classes(kept, "gram", ["context"], keep_first)
     spans = [_spans(settled, F.lit(units.span), F.lit(units.window))]
     places = (
@@ -235,7 +238,7 @@ def _classes(rows: DataFrame, key: str, same: list[str], keep_first: bool) -> tu
     settled = rows.join(classes.where("n > 1"), [key, *same])
     if keep_first:
         settled = settled.where(F.struct("did", "at") != F.col("first"))
-    contested = classes.groupBy(key).agg(F.count(F.lit(1)).alias("k")).where("k > 1").select(key)
+    contested = stage(classes.groupBy(key).agg(F.count(F.lit(1)).alias("k")).where("k > 1").select(key), "contested")
     firsts = classes.join(contested, key).select(key, *same, "first.did", "first.at")
     return settled, firsts
 
@@ -247,31 +250,42 @@ def _contexts(docs: DataFrame, units: Units) -> DataFrame:
     """One row per anchor of ``anchors``, with its context cut out of the text."""
 
     def rows(batch):
-        size = units.size
-        lists = batch["anchors"]
-        for i in range(batch.num_rows):
-            text = np.frombuffer(batch["text"][i].as_py().encode(), np.uint8)
-            cut, _ = units.cut(text, np.array([0, len(text)]))
-            raw, n = cut.tobytes(), len(cut)
-            th = batch["th"][i].as_py() & 0xFFFFFFFF
-            anchors = lists[i].values
-            grams, places = (np.asarray(anchors.field(f)) for f in ("gram", "place"))
-            left = np.minimum(units.span, places)
-            low, high = places - left, np.minimum(places + units.window, n)
-            k = len(places)
-            yield pa.RecordBatch.from_arrays(
+        size, window, span = units.size, units.window, units.span
+        held, pieces, filled = [], [], 0
+
+        def flush():
+            did, at, grams, left = (np.concatenate(c) for c in zip(*held))
+            k = len(did)
+            return pa.RecordBatch.from_arrays(
                 [
                     pa.array(grams),
-                    pa.array(np.full(k, batch["did"][i].as_py())),
-                    pa.array(places << _HIGH | th),
+                    pa.array(did),
+                    pa.array(at),
                     pa.array(np.zeros(k, np.int32)),
-                    pa.array(np.full(k, units.span, np.int32)),
+                    pa.array(np.full(k, span, np.int32)),
                     pa.array(left.astype(np.int32)),
-                    pa.array([raw[a * size : b * size] for a, b in zip(low.tolist(), high.tolist())], pa.binary()),
+                    pa.array(pieces, pa.binary()),
                 ],
                 names=["key", "did", "at", "near", "far", "left", "units"],
             )
 
+        ids, hashes = np.asarray(batch["did"]), np.asarray(batch["th"]).astype(np.int64) & 0xFFFFFFFF
+        for i, (text, anchors) in enumerate(zip(batch["text"], batch["anchors"])):
+            raw = np.frombuffer(text.as_py().encode(), np.uint8)
+            cut, _ = units.cut(raw, np.array([0, len(raw)]))
+            raw, n = cut.tobytes(), len(cut)
+            grams, places = (np.asarray(anchors.values.field(f)) for f in ("gram", "place"))
+            left = np.minimum(span, places)
+            ends = np.minimum(places + window, n) * size
+            pieces += [raw[a:b] for a, b in zip(((places - left) * size).tolist(), ends.tolist())]
+            held.append((np.full(len(places), ids[i]), places << _HIGH | hashes[i], grams, left))
+            filled += len(places) * (window + span) * size
+            if filled > 1 << 23:
+                yield flush()
+                held, pieces, filled = [], [], 0
+        if held:
+            yield flush()
+
     return map_arrow(docs.select("did", "th", "text", "anchors"), rows, _CONTEXT)
 
 
@@ -363,7 +377,7 @@ def solve(repeats: Repeats, spark, solver: Solver, most: int) -> DataFrame:
 
 def with_spans(docs: DataFrame, spans: DataFrame) -> DataFrame:
     """Rows of ``docs`` (with ``did, th``) and the ``spans`` of their text as arrays ``lows, highs``; none: null."""
-    lists = spans.distinct().groupBy("did", "th").agg(F.collect_list(F.struct("low", "high")).alias("spans"))
+    lists = spans.groupBy("did", "th").agg(F.collect_list(F.struct("low", "high")).alias("spans"))
     return docs.join(lists, ["did", "th"], "left").withColumns(
         {"lows": F.col("spans.low"), "highs": F.col("spans.high")}
     ).drop("spans")
