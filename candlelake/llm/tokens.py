@@ -172,30 +172,50 @@ def read_ids(file: DataFrame) -> DataFrame:
     """Documents of an id file: ``part, block, row, doc_id, start`` (in the whole file), ``ids`` as little-endian 32-bit bytes."""
 
     def documents(batch):
+        held, filled = [], 0
         for row in batch.to_pylist():
-            ids = simple8b.decode(
-                np.frombuffer(row["words"], "<u8"), np.frombuffer(row["escapes"], "<u8")
-            ).astype("<u4")
+            ids = simple8b.decode(np.frombuffer(row["words"], "<u8"), np.frombuffer(row["escapes"], "<u8")).astype("<u4")
             ends = np.array(row["ends"], np.int64)
             starts = np.concatenate([[0], ends[:-1]])
             n = len(ends)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(np.full(n, row["part"], np.int32)),
-                    pa.array(np.full(n, row["block"], np.int32)),
-                    pa.array(np.arange(n, dtype=np.int32)),
-                    pa.array(row["doc_ids"], pa.int64()),
-                    pa.array(starts + row["base"]),
-                    pa.array([ids[a:b].tobytes() for a, b in zip(starts, ends)], pa.binary()),
-                ],
-                names=["part", "block", "row", "doc_id", "start", "ids"],
+            raw = ids.tobytes()
+            held.append(
+                (
+                    np.full(n, row["part"], np.int32),
+                    np.full(n, row["block"], np.int32),
+                    np.arange(n, dtype=np.int32),
+                    row["doc_ids"],
+                    starts + row["base"],
+                    [raw[4 * a : 4 * b] for a, b in zip(starts.tolist(), ends.tolist())],
+                )
             )
+            filled += len(raw)
+            if filled > 1 << 22:
+                yield _documents(held)
+                held, filled = [], 0
+        if held:
+            yield _documents(held)
 
     return map_arrow(
         _with_base(file), documents, "part int, block int, row int, doc_id long, start long, ids binary"
     )
 
 
+def _documents(held: list[tuple]) -> pa.RecordBatch:
+    part, block, row, docs, start, ids = zip(*held)
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array(np.concatenate(part)),
+            pa.array(np.concatenate(block)),
+            pa.array(np.concatenate(row)),
+            pa.array([d for ds in docs for d in ds], pa.int64()),
+            pa.array(np.concatenate(start)),
+            pa.array([i for ds in ids for i in ds], pa.binary()),
+        ],
+        names=["part", "block", "row", "doc_id", "start", "ids"],
+    )
+
+
 def _with_base(file: DataFrame) -> DataFrame:
     """Blocks with ``base``, the number of token ids before them: sums over parts, then within a part."""
     from pyspark.sql import Window
