@@ -130,7 +130,8 @@ def pack(docs: DataFrame, vocabulary: str, capacity: int = 2048) -> DataFrame:
     coded = stage(
         ordered.mapInArrow(encode, "part int, doc_id long, local long, doc_tokens long, ids binary"), "packing"
     )
-    placed = coded.join(starts_of_parts(coded, "part", "doc_tokens"), "part")
+    # a row per task: small at any size of the corpus
+    placed = coded.join(F.broadcast(starts_of_parts(coded, "part", "doc_tokens")), "part")
 
     def cut(batch):
         rows = []
