@@ -110,6 +110,7 @@ def write_ids(docs: DataFrame, vocabulary: str, name: str = "token-ids") -> Data
     ``part, block``  place of the block in the file
     ``doc_ids, ends``  ids of its documents (null ids come first) and the running number of token ids after each
     ``words``  Simple-8b words, little-endian; ``marks``  token ids before every 256th word
+    ``n_ids, before``  token ids in the block, and in the part before it
     ``escapes``  ids too wide for any selector, 8 bytes each (none for real vocabularies)
 
     Every document ends with ``END_ID``; a null or empty text is that id alone. Rows
@@ -117,14 +118,14 @@ def write_ids(docs: DataFrame, vocabulary: str, name: str = "token-ids") -> Data
     """
 
     def blocks(batches):
-        path, ids, ends, chunks, total, number = vocabulary, [], [], [], 0, 0
+        path, ids, ends, chunks, total, number, written = vocabulary, [], [], [], 0, 0, 0
         part = None
 
         def flush():
-            nonlocal number
+            nonlocal number, written
             coded = simple8b.encode(np.frombuffer(b"".join(chunks), "<u4"))
             number += 1
-            return pa.RecordBatch.from_arrays(
+            batch = pa.RecordBatch.from_arrays(
                 [
                     pa.array([part], pa.int32()),
                     pa.array([number - 1], pa.int32()),
@@ -134,9 +135,12 @@ def write_ids(docs: DataFrame, vocabulary: str, name: str = "token-ids") -> Data
                     pa.array([coded.marks.tolist()], pa.list_(pa.int64())),
                     pa.array([coded.escapes.tobytes()], pa.binary()),
                     pa.array([total], pa.int64()),
+                    pa.array([written], pa.int64()),
                 ],
-                names=["part", "block", "doc_ids", "ends", "words", "marks", "escapes", "n_ids"],
+                names=["part", "block", "doc_ids", "ends", "words", "marks", "escapes", "n_ids", "before"],
             )
+            written += total
+            return batch
 
         for batch in batches:
             for key, doc, text in zip(batch["part"].to_pylist(), batch["doc_id"].to_pylist(), batch["text"]):
@@ -163,7 +167,7 @@ def write_ids(docs: DataFrame, vocabulary: str, name: str = "token-ids") -> Data
     )
     coded = ordered.mapInArrow(
         blocks,
-        "part int, block int, doc_ids array<long>, ends array<long>, words binary, marks array<long>, escapes binary, n_ids long",
+        "part int, block int, doc_ids array<long>, ends array<long>, words binary, marks array<long>, escapes binary, n_ids long, before long",
     )
     return stage(coded, name)
 
@@ -217,16 +221,9 @@ def _documents(held: list[tuple]) -> pa.RecordBatch:
 
 
 def _with_base(file: DataFrame) -> DataFrame:
-    """Blocks with ``base``, the number of token ids before them: sums over parts, then within a part."""
-    from pyspark.sql import Window
-
-    inside = Window.partitionBy("part").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    small = file.select("part", "block", "n_ids")
-    local = small.withColumn("_local", F.coalesce(F.sum("n_ids").over(inside), F.lit(0)))
-    bases = local.join(starts_of_parts(small, "part", "n_ids"), "part").select(
-        "part", "block", (F.col("base") + F.col("_local")).alias("base")
-    )
-    return file.join(bases, ["part", "block"])
+    """Blocks with ``base``, the number of token ids before them; the table of part offsets has a row per writing task."""
+    bases = F.broadcast(starts_of_parts(file, "part", "n_ids"))
+    return file.join(bases, "part").withColumn("base", F.col("base") + F.col("before"))
 
 
 def token_file_report(docs: DataFrame, vocabulary: str) -> DataFrame:
