@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from candlelake.llm import langid, mixing, packing, simhash, substring_automaton, suffix_array, tokens
+from candlelake.llm import langid, mixing, packing, simhash, substring_automaton, suffix_array, syncmers, tokens
 from candlelake.session import use_utc
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -54,6 +54,11 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents"))
 
 
+@query
+def op5_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return syncmers.edited_fingerprints(table(spark, sf_dir, "documents"))
+
+
 @query
 def op8_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_array.remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
