@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from candlelake.llm import langid, mixing, packing, simhash, substring_automaton, suffix_array, syncmers, tokens
+from candlelake.llm import langid, mixing, packing, simhash, substring_automaton, suffix_array, syncmers, tokens, vectors
 from candlelake.session import use_utc
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -59,6 +59,12 @@ def op5_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return syncmers.edited_fingerprints(table(spark, sf_dir, "documents"))
 
 
+@query
+def op7_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = vectors.usable(table(spark, sf_dir, "embeddings"), "vec_id", "embedding")
+    return vectors.search(found, found.where("vec_id % 20 = 0"))
+
+
 @query
 def op8_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_array.remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
