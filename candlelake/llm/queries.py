@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from candlelake.llm import langid, mixing, packing, simhash, substring_automaton, suffix_array, syncmers, tokens, vectors
+from candlelake.llm import langid, licenses, mixing, packing, simhash, substring_automaton, suffix_array, syncmers, tokens, vectors
 from candlelake.session import use_utc
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -59,6 +59,14 @@ def op5_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return syncmers.edited_fingerprints(table(spark, sf_dir, "documents"))
 
 
+@query
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op6_license_scan"] = licenses.oracle()
+
+
 @query
 def op7_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = vectors.usable(table(spark, sf_dir, "embeddings"), "vec_id", "embedding")
