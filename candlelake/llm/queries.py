@@ -39,6 +39,9 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_automaton.remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
 
 
+ORACLES["op1_substring_dedup"] = substring_automaton.oracle()
+
+
 @query
 def op2_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.token_file_report(table(spark, sf_dir, "documents"), VOCABULARY)

@@ -232,3 +232,29 @@ def _hashes(text: str) -> list[int]:
     offsets = np.array([0, len(data)])
     starts, _ = words_of(data, offsets)
     return word_hashes(data, offsets, starts).view(np.int64).tolist()
+
+
+def oracle(window: int = 20) -> str:
+    """``remove_repeats`` of ``documents`` with distinct ids, without ``kept``, as SQL."""
+    return rf"""
+        WITH texts AS (
+            SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words
+            FROM documents
+        ), places AS (
+            SELECT doc_id, words, unnest(range(1, len(words) - {window - 2})) AS place FROM texts WHERE len(words) >= {window}
+        ), windows AS (
+            SELECT doc_id, place, md5(array_to_string(words[place : place + {window - 1}], ' ')) AS digest FROM places
+        ), ranked AS (
+            SELECT doc_id, place, row_number() OVER (PARTITION BY digest ORDER BY doc_id, place) AS r FROM windows
+        ), gone AS (
+            SELECT DISTINCT doc_id, place + j AS place FROM ranked, (SELECT unnest(range({window})) AS j) WHERE r > 1
+        ), spread AS (
+            SELECT doc_id, unnest(words) AS word, generate_subscripts(words, 1) AS place FROM texts
+        ), kept AS (
+            SELECT doc_id, string_agg(word, ' ' ORDER BY place) AS kept, count(*) AS n
+            FROM spread ANTI JOIN gone USING (doc_id, place) GROUP BY doc_id
+        )
+        SELECT doc_id, len(words)::BIGINT AS n_words, (len(words) - coalesce(n, 0))::BIGINT AS n_removed,
+            sha256(coalesce(kept, '')) AS kept_sha256
+        FROM texts LEFT JOIN kept USING (doc_id)
+    """
