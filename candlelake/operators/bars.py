@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import datetime as dt
+from collections.abc import Iterable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -12,13 +15,25 @@ def _close_time(start: Column, unit: str) -> Column:
     return start + F.expr(f"INTERVAL 1 {unit.upper()}") - F.expr("INTERVAL 1 MILLISECOND")
 
 
+# more than twice the largest id, so that times differ by more than any two ids
+_ID_SPAN = "20000000000000000000"
+
+
+def order_key(timestamp: str = "timestamp", tie_break: str | None = None) -> Column:
+    """Order by time and then id, as one fixed-width number, which hash aggregates can hold."""
+    if not tie_break:
+        return F.col(timestamp)
+    micros = F.unix_micros(timestamp).cast("decimal(17,0)")
+    return (micros * F.lit(_ID_SPAN).cast("decimal(20,0)") + F.col(tie_break).cast("decimal(19,0)")).cast("decimal(38,0)")
+
+
 def bars_from_ticks(ticks: DataFrame, unit: str) -> DataFrame:
     """Canonical candles from ticks ``(symbol, timestamp, tick_id, price, is_taker)``.
 
     Every aggregate combines map-side, so a symbol or slot with very many ticks
     reaches its reducer as one partial row per map task.
     """
-    order = F.struct("timestamp", "tick_id")
+    order = order_key("timestamp", "tick_id")
     taker = F.col("is_taker")
     bars = ticks.groupBy("symbol", F.date_trunc(unit, "timestamp").alias("slot")).agg(
         F.min_by("price", order).alias("open"),
@@ -67,13 +82,28 @@ def rollup(candles: DataFrame, unit: str) -> DataFrame:
     )
 
 
-def daily_close(prices: DataFrame, price: str = "close", tie_break: str | None = None) -> DataFrame:
-    """Last price of every symbol and UTC day.
+def daily_close(
+    prices: DataFrame,
+    price: str = "close",
+    tie_break: str | None = None,
+    symbols: Iterable[str] | None = None,
+    start: str | dt.date | None = None,
+    end: str | dt.date | None = None,
+) -> DataFrame:
+    """Last price of every symbol and UTC day, of some symbols and days if they are named.
+
+    The days ``start``..``end`` are compared as times, so they bound the scan.
 
     ``tie_break`` names an id that decides between rows of the same time;
     without it ``(symbol, timestamp)`` must be unique.
     """
-    order = F.struct("timestamp", tie_break) if tie_break else F.col("timestamp")
+    if symbols is not None:
+        prices = prices.where(F.col("symbol").isin(list(symbols)))
+    if start is not None:
+        prices = prices.where(F.col("timestamp") >= F.lit(str(start)).cast("timestamp"))
+    if end is not None:
+        prices = prices.where(F.col("timestamp") < F.date_add(F.lit(str(end)).cast("date"), 1).cast("timestamp"))
+    order = order_key("timestamp", tie_break)
     return prices.groupBy("symbol", F.to_date("timestamp").alias("date")).agg(
         F.max_by(price, order).alias("close")
     )
@@ -93,7 +123,7 @@ def series_bounds(prices: DataFrame, price: str = "close", tie_break: str | None
 
     The overall row is built from the per-symbol rows; the data is read once.
     """
-    order = F.struct("timestamp", tie_break) if tie_break else F.col("timestamp")
+    order = order_key("timestamp", tie_break)
     last = F.struct(F.max("timestamp").alias("at"), F.max_by(price, order).alias("price"))
     per_symbol = prices.groupBy("symbol").agg(
         F.count(F.lit(1)).alias("n_rows"), F.min("timestamp").alias("first_ts"), last.alias("last")

@@ -10,6 +10,10 @@ from pyspark.sql import functions as F
 from candlelake.functions import ohlc_rules, over_lookback
 
 
+# columns that the range rules look at
+CHECKED_COLUMNS = ("open", "high", "low", "close", "volume")
+
+
 def quality_strict(candles: DataFrame) -> DataFrame:
     """Prices positive, high and low consistent, volume not negative."""
     return candles.where(reduce(Column.__and__, ohlc_rules().values()))
@@ -21,12 +25,13 @@ def quality_weak(candles: DataFrame) -> DataFrame:
 
 
 def range_violations(candles: DataFrame) -> DataFrame:
-    """Rows per symbol that break a range rule."""
+    """Rows per symbol that break a range rule, and rows that lack a price or volume (null or NaN)."""
     return candles.groupBy("symbol").agg(
         F.count(F.lit(1)).alias("n_rows"),
         F.count_if(F.col("low") > F.col("high")).alias("low_above_high"),
         F.count_if(F.col("volume") == 0).alias("zero_volume"),
         *[F.count_if(~rule).alias(f"not_{name}") for name, rule in ohlc_rules().items()],
+        F.count_if(reduce(Column.__or__, [F.col(c).isNull() | F.isnan(c) for c in CHECKED_COLUMNS])).alias("incomplete"),
     )
 
 
@@ -51,20 +56,21 @@ def gaps(candles: DataFrame, unit_seconds: int, chunk: str = "day") -> DataFrame
         "gap_after",
         F.col("timestamp").alias("gap_before"),
         (F.floor(seconds / unit_seconds) - 1).cast("long").alias("n_missing"),
-    )
+    ).where(F.col("n_missing") > 0)
 
 
 def missing_slots(candles: DataFrame, unit_seconds: int) -> DataFrame:
-    """Missing bars per symbol and day, days without any bar included."""
+    """Missing bars per symbol and day, from its first day to the table's last; days without any bar included."""
     per_day = 86400 // unit_seconds
     slot = F.floor(F.unix_seconds("timestamp") / unit_seconds)
     # one row per slot first: repeated candles of a slot never meet in one task
     slots = candles.select("symbol", F.to_date("timestamp").alias("date"), slot.alias("slot")).distinct()
     present = slots.groupBy("symbol", "date").agg(F.count(F.lit(1)).alias("n_present"))
+    last = present.agg(F.max("date")).scalar()
     calendar = (
         present.groupBy("symbol")
-        .agg(F.min("date").alias("first"), F.max("date").alias("last"))
-        .select("symbol", F.explode(F.sequence("first", "last")).alias("date"))
+        .agg(F.min("date").alias("first"))
+        .select("symbol", F.explode(F.sequence(F.col("first"), last)).alias("date"))
     )
     return calendar.join(present, ["symbol", "date"], "left").select(
         "symbol",
@@ -111,12 +117,16 @@ def count_delta(before: DataFrame, after: DataFrame) -> DataFrame:
 
 
 def guard_report(
-    closes: DataFrame, universe: DataFrame, common_dates: DataFrame, benchmark: str, min_history: int
+    closes: DataFrame, universe: DataFrame, common_dates: DataFrame, panel: DataFrame, benchmark: str, min_history: int
 ) -> DataFrame:
-    """Run guards as rows ``(guard, violations)``; a run is sound if all are 0."""
+    """Run guards as rows ``(guard, violations)``; a run is sound if all are 0.
+
+    Prices are checked where a return is measured from them: on all dates of the panel but the last.
+    """
     members = closes.join(universe.select("symbol"), "symbol", "left_semi")
+    earlier = panel.where(F.col("date") < panel.agg(F.max("date")).scalar())
     checks = {
-        "price_not_positive": members.agg(F.count_if(F.col("close") <= 0)),
+        "price_not_positive": earlier.agg(F.count_if(F.col("close") <= 0)),
         "symbol_without_history": universe.join(
             members.select("symbol").distinct(), "symbol", "left_anti"
         ).agg(F.count(F.lit(1))),

@@ -111,9 +111,9 @@ def market_overview(snapshots: DataFrame, k: int = 5) -> DataFrame:
 
 
 def first_seen(snapshots: DataFrame, attributes: DataFrame) -> DataFrame:
-    """Coin dimension: attributes with the date of the first snapshot."""
+    """Coin dimension: every coin seen, with its first snapshot date and the attributes known of it."""
     seen = snapshots.groupBy("coin_id").agg(F.to_date(F.min("snapshot_time")).alias("first_seen_date"))
-    return attributes.join(seen, "coin_id")
+    return seen.join(attributes, "coin_id", "left").select(*attributes.columns, "first_seen_date")
 
 
 def snapshot_quality(snapshots: DataFrame, expected_per_snapshot: int) -> DataFrame:

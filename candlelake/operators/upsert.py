@@ -11,9 +11,10 @@ from candlelake.operators.clean import CANDLE_KEY, first_per_key
 
 
 def latest_wins(rows: DataFrame, key: Sequence[str], version: str | Sequence[str]) -> DataFrame:
-    """One row per key: the one with the greatest version."""
+    """One row per key: the one with the greatest version, of equal versions the greatest in its other columns."""
     versions = [version] if isinstance(version, str) else list(version)
-    return first_per_key(rows, key, [F.desc(v) for v in versions])
+    others = [c for c in rows.columns if c not in key and c not in versions]
+    return first_per_key(rows, key, [F.desc(c) for c in [*versions, *others]])
 
 
 def batch_over_stream(

@@ -152,10 +152,9 @@ def coin_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def trending_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Trending facts: every view or click of a coin is one entry of a list."""
+    """Trending facts: every event of a coin is one entry of the list of its type."""
     return (
         table(spark, sf_dir, "events")
-        .where(F.col("event_type").isin("view", "click"))
         .select(
             F.date_trunc("hour", F.col("ts").cast("timestamp")).alias("snapshot_time"),
             F.concat(F.lit("coin-"), F.get_json_object("props", "$.k")).alias("coin_id"),

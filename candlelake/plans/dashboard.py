@@ -8,18 +8,23 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def allocation(weights: DataFrame, portfolio_type: str) -> DataFrame:
+def _of(table: DataFrame, scenario_id: str) -> DataFrame:
+    """Rows of one scenario: its folder only, if the table is stored."""
+    return table.where(F.col("scenario_id") == scenario_id)
+
+
+def allocation(weights: DataFrame, scenario_id: str, portfolio_type: str) -> DataFrame:
     """Holdings of one portfolio, largest first."""
     return (
-        weights.where(F.col("portfolio_type") == portfolio_type)
+        _of(weights, scenario_id).where(F.col("portfolio_type") == portfolio_type)
         .select("symbol", "weight", "weight_rank", "simulation_id")
         .orderBy("weight_rank")
     )
 
 
-def kpis(metrics: DataFrame) -> DataFrame:
+def kpis(metrics: DataFrame, scenario_id: str) -> DataFrame:
     """Headline figures per portfolio."""
-    return metrics.select(
+    return _of(metrics, scenario_id).select(
         "portfolio_type",
         "sharpe_ratio",
         "avg_daily_return",
@@ -31,17 +36,18 @@ def kpis(metrics: DataFrame) -> DataFrame:
     )
 
 
-def value_path(series: DataFrame, portfolios: Sequence[str]) -> DataFrame:
+def value_path(series: DataFrame, scenario_id: str, portfolios: Sequence[str]) -> DataFrame:
     """One value column per portfolio by date; naming them avoids a job to find them."""
-    return series.groupBy("date").pivot("portfolio_type", list(portfolios)).agg(
+    return _of(series, scenario_id).groupBy("date").pivot("portfolio_type", list(portfolios)).agg(
         F.first("portfolio_value")
     )
 
 
-def correlation_subset(matrix: DataFrame, weights: DataFrame, always: Sequence[str]) -> DataFrame:
+def correlation_subset(matrix: DataFrame, weights: DataFrame, scenario_id: str, always: Sequence[str]) -> DataFrame:
     """Matrix cells between the optimized holdings and the named symbols."""
-    held = weights.where(F.col("portfolio_type") == "optimized").select("symbol")
-    named = matrix.where(F.col("symbol_x").isin(list(always))).select(F.col("symbol_x").alias("symbol"))
+    matrix = _of(matrix, scenario_id)
+    held = _of(weights, scenario_id).where(F.col("portfolio_type") == "optimized").select("symbol")
+    named = held.sparkSession.range(1).select(F.explode(F.array(*map(F.lit, always))).alias("symbol"))
     wanted = held.unionByName(named).distinct()
     x = wanted.withColumnRenamed("symbol", "symbol_x")
     y = wanted.withColumnRenamed("symbol", "symbol_y")
@@ -50,8 +56,8 @@ def correlation_subset(matrix: DataFrame, weights: DataFrame, always: Sequence[s
     )
 
 
-def search_space(simulations: DataFrame) -> DataFrame:
+def search_space(simulations: DataFrame, scenario_id: str) -> DataFrame:
     """Risk and return of all candidates with the best one flagged."""
-    return simulations.select(
+    return _of(simulations, scenario_id).select(
         "simulation_id", "annualized_volatility", "annualized_return", "sharpe_ratio", "is_optimal"
     )

@@ -7,6 +7,7 @@ from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from candlelake.operators.clean import clean_candles, from_date, serving_projection, union_sources
 from candlelake.operators.quality import quality_strict
@@ -15,6 +16,7 @@ from candlelake.plans.staging import staged
 from candlelake.schemas import CANDLE_COLUMNS
 from candlelake.sinks import (
     append_missing_dates,
+    existing_dates,
     replace_partitions,
     with_month,
     write_by_date,
@@ -57,10 +59,13 @@ def daily_ingest(spark: SparkSession, bronze: str, target: str, day: str | dt.da
 def backfill(candles: DataFrame, target: str, start: str | dt.date, end: str | dt.date) -> None:
     """Replace the dates ``start``..``end`` of the silver table; other dates stay.
 
-    Running it again gives the same table, so it also repairs partial days.
+    A date of the range for which there are no candles is emptied. Running it again gives the
+    same table, so it also repairs partial days.
     """
-    dated = candles.withColumn("date", F.to_date("timestamp"))
-    replace_partitions(within_dates(dated, start, end), target, ["date"])
+    dated = within_dates(candles.withColumn("date", F.to_date("timestamp")), start, end)
+    first, last = dt.date.fromisoformat(str(start)), dt.date.fromisoformat(str(end))
+    stale = [d for d in existing_dates(candles.sparkSession, target) if first <= d <= last]
+    replace_partitions(dated, target, ["date"], [f"date={d}" for d in stale])
 
 
 def serving_load(silver: DataFrame, target: str) -> None:
@@ -69,14 +74,23 @@ def serving_load(silver: DataFrame, target: str) -> None:
     write_partitioned(with_month(rows), target, ["month"], mode="append")
 
 
+def read_serving(spark: SparkSession, target: str) -> DataFrame:
+    """All stored versions; folder names are read as text."""
+    found = spark.read.parquet(target).schema
+    typed = T.StructType([T.StructField("month", T.StringType()) if f.name == "month" else f for f in found])
+    return spark.read.schema(typed).parquet(target)
+
+
 def serving_view(spark: SparkSession, target: str) -> DataFrame:
-    """The serving table with the newest version of every candle."""
-    return latest_wins(spark.read.parquet(target), ["symbol", "timestamp"], "ingested_at")
+    """The serving table with the newest version of every candle.
+
+    The month follows from the time, so it is part of the key: a filter on it then reaches the folders.
+    """
+    return latest_wins(read_serving(spark, target), ["month", "symbol", "timestamp"], "ingested_at")
 
 
 def compact_serving(spark: SparkSession, target: str, month: str) -> None:
     """Rewrite one month of the serving table with only the newest versions."""
-    rows = spark.read.parquet(target).where(F.col("month") == month)
-    newest = latest_wins(rows, ["symbol", "timestamp"], "ingested_at")
+    newest = serving_view(spark, target).where(F.col("month") == month)
     # stored first: a folder cannot be read and replaced in the same job
     replace_partitions(staged(newest, "compact"), target, ["month"])

@@ -29,7 +29,7 @@ def select(spec: str, source: str) -> str:
     for item in spec.split():
         name, mark = (item[:-1], item[-1]) if item[-1] in "~@#%" else (item, "")
         shown = {
-            "~": f'round(CAST("{name}" AS DOUBLE), 6) + 0.0',
+            "~": f'round(CAST("{name}" AS DOUBLE) * 1e6) / 1e6 + 0.0',
             "@": f'CAST(CAST("{name}" AS DATE) AS VARCHAR)',
             "#": f'CAST("{name}" AS BIGINT)',
             "%": f'CAST("{name}" AS INTEGER)',
@@ -240,8 +240,7 @@ pair_sums AS (
     ON a.portfolio_type = b.portfolio_type AND a.ord < b.ord AND a.weight > 1e-6 AND b.weight > 1e-6
   JOIN matrix m ON m.ox = a.ord AND m.oy = b.ord GROUP BY 1),
 held AS (
-  SELECT portfolio_type, CASE WHEN (SELECT count(*) FROM matrix) > 0 THEN count(*) FILTER (weight > 1e-6) ELSE 0 END AS n_active,
-         CASE WHEN (SELECT count(*) FROM matrix) > 0 THEN sum(weight * weight) FILTER (weight > 1e-12) END AS ss
+  SELECT portfolio_type, count(*) FILTER (weight > 1e-6) AS n_active, sum(weight * weight) FILTER (weight > 1e-12) AS ss
   FROM all_weights GROUP BY 1),
 div_parts AS (
   SELECT portfolio_type, n_active, CASE WHEN pw > 0 THEN pc / pw ELSE 1.0 END AS avg_abs_correlation,
@@ -314,13 +313,13 @@ snaps AS (
 trends AS (
   SELECT date_trunc('hour', ts) AS snapshot_time, 'coin-' || json_extract_string(props, '$.k') AS coin_id,
          user_id % 7 + 1 AS trending_rank, event_type AS source
-  FROM events WHERE event_type IN ('view', 'click'))"""
+  FROM events)"""
 
 MESSAGES = f"""{MINUTE},
 numbered AS (SELECT *, CAST(floor(epoch("timestamp") / 60) AS BIGINT) AS m FROM bars)"""
 
-HALVES = """l AS (SELECT DISTINCT CAST(user_id AS VARCHAR) AS symbol FROM events WHERE ts < TIMESTAMP '2024-01-02 12:00:00'),
-r AS (SELECT DISTINCT CAST(user_id AS VARCHAR) AS symbol FROM events WHERE ts >= TIMESTAMP '2024-01-29 12:00:00')"""
+HALVES = f"""l AS (SELECT DISTINCT CAST(user_id AS VARCHAR) AS symbol FROM events WHERE ts < TIMESTAMP '{SPLIT}'),
+r AS (SELECT DISTINCT CAST(user_id AS VARCHAR) AS symbol FROM events WHERE ts >= TIMESTAMP '{SPLIT}')"""
 
 FRESH = """last AS (
   SELECT CAST(user_id AS VARCHAR) AS symbol, max(CAST(ts AS DATE)) AS last_date FROM events GROUP BY 1),
@@ -339,7 +338,7 @@ def gap_sql(unit: str, seconds: int) -> str:
 
 
 DATED = select(CANDLE_SPEC + " date@", 'FROM (SELECT *, CAST("timestamp" AS DATE) AS date FROM bars)')
-QUALITY_COLUMNS = "symbol n_rows# low_above_high# zero_volume# not_positive_prices# not_high_is_highest# not_low_is_lowest# not_volume_not_negative#"
+QUALITY_COLUMNS = "symbol n_rows# low_above_high# zero_volume# not_positive_prices# not_high_is_highest# not_low_is_lowest# not_volume_not_negative# incomplete#"
 RETURNS = """rr AS (
   SELECT *, CASE WHEN prev > 0 THEN close / prev - 1 END AS ret FROM (
     SELECT *, lag(close) OVER (PARTITION BY symbol ORDER BY "timestamp") AS prev FROM bars))"""
@@ -402,7 +401,7 @@ def oracle_sql() -> dict[str, str]:
         "timestamp symbol close~ date@",
         f"""FROM (SELECT "timestamp", symbol, CAST("timestamp" AS DATE) AS date,
               CASE WHEN CAST("timestamp" AS DATE) BETWEEN DATE '{BACKFILL_START}' AND DATE '{DAY}' THEN close ELSE close + 1 END AS close
-              FROM bars)""",
+              FROM bars WHERE CAST("timestamp" AS DATE) <> DATE '{BACKFILL_START}')""",
     )
     q["month_partitions"] = f"WITH {PRIORITY_CLOSES} " + select(
         "month% n_rows# max_close~",
@@ -462,7 +461,7 @@ def oracle_sql() -> dict[str, str]:
     q["gaps"] = gap_sql("hour", 3600)
     q["minute_gaps"] = gap_sql("minute", 60)
     q["missing_slots"] = f"WITH {MINUTE}, days AS (SELECT symbol, CAST(\"timestamp\" AS DATE) AS date, count(*) AS n FROM bars GROUP BY 1, 2), " + (
-        "span AS (SELECT symbol, CAST(unnest(range(min(date), max(date) + INTERVAL 1 DAY, INTERVAL 1 DAY)) AS DATE) AS date FROM days GROUP BY symbol) "
+        "span AS (SELECT symbol, CAST(unnest(range(min(date), (SELECT max(date) FROM days) + INTERVAL 1 DAY, INTERVAL 1 DAY)) AS DATE) AS date FROM days GROUP BY symbol) "
     ) + select(
         "symbol date@ n_present# n_missing#",
         "FROM (SELECT symbol, date, coalesce(n, 0) AS n_present, 1440 - coalesce(n, 0) AS n_missing FROM span LEFT JOIN days USING (symbol, date))",
@@ -478,7 +477,9 @@ def oracle_sql() -> dict[str, str]:
              count(*) FILTER (open <= 0 OR high <= 0 OR low <= 0 OR close <= 0) AS not_positive_prices,
              count(*) FILTER (high < low OR high < open OR high < close) AS not_high_is_highest,
              count(*) FILTER (low > open OR low > close) AS not_low_is_lowest,
-             count(*) FILTER (volume < 0) AS not_volume_not_negative FROM complete GROUP BY symbol)""",
+             count(*) FILTER (volume < 0) AS not_volume_not_negative,
+             count(*) FILTER (close IS NULL OR isnan(close)) AS incomplete
+             FROM (SELECT * REPLACE (trim(symbol) AS symbol) FROM dirty) GROUP BY symbol)""",
     )
     q["freshness"] = f"WITH {TICKS} " + select(
         "symbol latest is_stale%",
@@ -494,11 +495,11 @@ def oracle_sql() -> dict[str, str]:
              (SELECT trim(symbol) AS symbol, count(*) AS b FROM dirty GROUP BY 1)
              LEFT JOIN (SELECT symbol, count(*) AS a FROM cleaned WHERE {STRICT} GROUP BY 1) USING (symbol))""",
     )
-    q["guard_report"] = f"WITH {PRIORITY_CLOSES}, {universe()} " + select(
+    q["guard_report"] = f"WITH {PRIORITY_CLOSES}, {universe()}, {panel_sql(CONFIG.lookback, CONFIG.min_history, None)} " + select(
         "guard violations#",
-        f"""FROM (SELECT 'price_not_positive' AS guard, (SELECT count(*) FROM closes WHERE close <= 0) AS violations
-            UNION ALL SELECT 'symbol_without_history', 0
-            UNION ALL SELECT 'benchmark_missing', 1
+        f"""FROM (SELECT 'price_not_positive' AS guard, (SELECT count(*) FROM panel WHERE close <= 0 AND date < (SELECT max(date) FROM panel)) AS violations
+            UNION ALL SELECT 'symbol_without_history', (SELECT count(*) FROM (SELECT symbol FROM uni UNION ALL SELECT '0-NEW') WHERE symbol NOT IN (SELECT symbol FROM closes))
+            UNION ALL SELECT 'benchmark_missing', (SELECT CASE WHEN count(*) > 0 THEN 0 ELSE 1 END FROM uni WHERE symbol = '6-NONE')
             UNION ALL SELECT 'history_too_short', greatest({CONFIG.min_history + 1} - (SELECT count(*) FROM common), 0))""",
     )
     q["feasible_assets"] = select(
@@ -707,8 +708,8 @@ def oracle_sql() -> dict[str, str]:
     )
     q["dim_first_seen"] = f"WITH {SNAPSHOTS} " + select(
         "coin_id symbol name category platform first_seen_date@",
-        """FROM (SELECT 'coin-' || p_partkey AS coin_id, CAST(p_partkey AS VARCHAR) AS symbol, p_name AS name, p_type AS category,
-              p_brand AS platform, f.first_seen_date FROM part JOIN
+        """FROM (SELECT f.coin_id, CAST(p_partkey AS VARCHAR) AS symbol, p_name AS name, p_type AS category,
+              p_brand AS platform, f.first_seen_date FROM part RIGHT JOIN
               (SELECT coin_id, min(snapshot_time) AS first_seen_date FROM snaps GROUP BY 1) f ON f.coin_id = 'coin-' || p_partkey)""",
     )
     q["snapshot_quality"] = f"""WITH {SNAPSHOTS},

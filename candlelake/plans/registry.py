@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,7 +17,7 @@ from candlelake.operators.candidates import best_candidate, feasible_range
 from candlelake.operators.risk import full_matrix, upper_matrix
 from candlelake.plans import bindings as b
 from candlelake.plans import dashboard, etl
-from candlelake.plans.scenario import Scenario, ScenarioConfig, publish, scenario_counts
+from candlelake.plans.scenario import Scenario, ScenarioConfig, publish, read_results, scenario_counts
 from candlelake.plans.staging import staged
 from candlelake.schemas import CANDLE_COLUMNS, CANDLE_SCHEMA
 from candlelake.session import use_utc, work_path
@@ -38,15 +39,14 @@ CONFIG = ScenarioConfig(
     investor_name="desk",
     baseline_label="50% BRAND#10 / 50% BRAND#2",
     benchmark_symbol="BRAND#10",
-    lookback=300,
+    lookback=365,
     buffer=45,
     min_history=180,
     period_days=7,
     periods_per_year=52,
-    simulations=1000,
 )
 BASELINE_TEXT = "BRAND#10:0.5,BRAND#2:0.5"
-EVENT_LOOKBACK, EVENT_MIN_HISTORY = 20, 15
+EVENT_LOOKBACK, EVENT_MIN_HISTORY = 365, 15
 
 
 def query(build: Query) -> Query:
@@ -63,7 +63,8 @@ def comparable(df: DataFrame) -> DataFrame:
     def plain(field: T.StructField):
         column = F.col(f"`{field.name}`")
         if isinstance(field.dataType, T.DoubleType):
-            return F.round(column, 6).alias(field.name)
+            # on the scaled value, as the SQL twins do: both engines then see the same halves
+            return (F.round(column * 1e6) / 1e6).alias(field.name)
         if isinstance(field.dataType, T.DateType):
             return column.cast("string").alias(field.name)
         if isinstance(field.dataType, T.TimestampType):
@@ -271,12 +272,12 @@ def append_missing_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def backfill_range(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A table with wrong closes is repaired for a range of dates only."""
+    """A table with wrong closes is repaired for a range of dates only; a date that has no candles any more vanishes."""
     target = work_path(spark, "silver")
     minute = b.candles(spark, sf_dir)
     sinks.write_by_date(minute.withColumn("close", F.col("close") + 1), target)
     for _ in range(2):
-        etl.backfill(minute, target, BACKFILL_START, DAY)
+        etl.backfill(minute.where(F.to_date("timestamp") != F.lit(BACKFILL_START).cast("date")), target, BACKFILL_START, DAY)
     return spark.read.parquet(target).select("timestamp", "symbol", "close", "date")
 
 
@@ -307,15 +308,16 @@ def batch_over_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def replace_scenario(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two scenarios are stored, one is written again; the other one stays."""
+    """Three scenarios are stored; one is written again, one comes out empty, the third stays."""
     root = work_path(spark, "scenarios")
     closes = b.daily_panel(spark, sf_dir)
     tagged = lambda name, factor: closes.select(
         F.lit(name).alias("scenario_id"), "symbol", "date", (F.col("close") * factor).alias("close")
     )
-    first = tagged("first", 1.0).unionByName(tagged("second", 1.0))
+    first = reduce(DataFrame.unionByName, [tagged(name, 1.0) for name in ("first", "second", "third")])
     sinks.replace_partitions(first, root, ["scenario_id"])
-    sinks.replace_partitions(tagged("second", 2.0), root, ["scenario_id"])
+    sinks.replace_partitions(tagged("second", 2.0), root, ["scenario_id"], ["scenario_id=second"])
+    sinks.replace_partitions(tagged("third", 2.0).limit(0), root, ["scenario_id"], ["scenario_id=third"])
     return spark.read.parquet(root)
 
 
@@ -451,7 +453,7 @@ def duplicate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def range_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
     dirty = b.dirty_candles(spark, sf_dir)
-    return quality.range_violations(dirty.withColumn("symbol", F.trim("symbol")).dropna())
+    return quality.range_violations(dirty.withColumn("symbol", F.trim("symbol")))
 
 
 @query
@@ -473,9 +475,12 @@ def count_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def guard_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     closes = staged(b.priority_daily(spark, sf_dir), "closes")
-    universe = b.numbered_symbols(closes)
-    dates = panel.common_dates(closes, universe)
-    return quality.guard_report(closes, universe, dates, "6-NONE", CONFIG.min_history)
+    known = b.numbered_symbols(closes)
+    # a listed symbol that has no closes yet
+    listed = known.unionByName(spark.range(1).select(F.lit("0-NEW").alias("symbol"), F.lit(-1).alias("ord")))
+    dates = panel.common_dates(closes, known)
+    aligned = panel.aligned_panel(closes, known, CONFIG.lookback, CONFIG.min_history)
+    return quality.guard_report(closes, listed, dates, aligned, "6-NONE", CONFIG.min_history)
 
 
 @query
@@ -541,9 +546,8 @@ def spike_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _halves(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     t = b.user_ticks(spark, sf_dir)
-    early = F.col("timestamp") < F.lit("2024-01-02 12:00:00").cast("timestamp")
-    late = F.col("timestamp") >= F.lit("2024-01-29 12:00:00").cast("timestamp")
-    return setops.symbols_of(t.where(early)), setops.symbols_of(t.where(late))
+    split = F.lit(SPLIT).cast("timestamp")
+    return setops.symbols_of(t.where(F.col("timestamp") < split)), setops.symbols_of(t.where(F.col("timestamp") >= split))
 
 
 @query
@@ -647,8 +651,8 @@ def _scenario(spark: SparkSession, sf_dir: str, config: ScenarioConfig = CONFIG)
     return Scenario(closes, b.brands(spark, sf_dir), baseline, config).prepare()
 
 
-def _simulated(spark: SparkSession, sf_dir: str) -> Scenario:
-    return _scenario(spark, sf_dir).simulate()
+def _simulated(spark: SparkSession, sf_dir: str, config: ScenarioConfig = CONFIG) -> Scenario:
+    return _scenario(spark, sf_dir, config).simulate()
 
 
 @query
@@ -715,53 +719,55 @@ def scenario_row(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _scenario(spark, sf_dir).scenario_rows()
 
 
-def _published(spark: SparkSession, sf_dir: str) -> str:
-    """All six tables of the scenario, published twice into one store."""
+def _published(spark: SparkSession, sf_dir: str, *first: ScenarioConfig) -> str:
+    """All six tables of two scenarios with different settings in one store, after those of ``first``."""
     root = work_path(spark, "results")
-    tables = _simulated(spark, sf_dir).tables()
-    publish(tables, root)
-    publish(tables, root)
+    other = replace(CONFIG, scenario_id="other", risk_free_rate=0.01, seed=7, simulations=200)
+    for config in (*first, other, CONFIG):
+        publish(_simulated(spark, sf_dir, config).tables(), root, config.scenario_id)
     return root
 
 
+def _stored(spark: SparkSession, root: str, *names: str) -> list[DataFrame]:
+    return [read_results(spark, root, name) for name in names]
+
+
 @query
 def publish_scenario(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows per result table after the scenario was published twice."""
-    return scenario_counts(spark, _published(spark, sf_dir), CONFIG.scenario_id)
+    """Rows per result table after the scenario was published over an earlier run of itself."""
+    earlier = replace(CONFIG, seed=9, simulations=200)
+    return scenario_counts(spark, _published(spark, sf_dir, earlier), CONFIG.scenario_id)
 
 
 @query
 def panel_allocation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    run = _simulated(spark, sf_dir)
-    return dashboard.allocation(run.weight_rows(run.weights()), "optimized")
+    (weights,) = _stored(spark, _published(spark, sf_dir), "portfolio_weights")
+    return dashboard.allocation(weights, CONFIG.scenario_id, "optimized")
 
 
 @query
 def panel_kpis(spark: SparkSession, sf_dir: str) -> DataFrame:
-    run = _simulated(spark, sf_dir)
-    return dashboard.kpis(run.metric_rows(staged(run.weights(), "weights")))
+    (metrics,) = _stored(spark, _published(spark, sf_dir), "portfolio_metrics")
+    return dashboard.kpis(metrics, CONFIG.scenario_id)
 
 
 @query
 def panel_value_path(spark: SparkSession, sf_dir: str) -> DataFrame:
-    run = _simulated(spark, sf_dir)
-    return dashboard.value_path(
-        run.backtest_rows(run.weights()), ["baseline", "optimized", "benchmark"]
-    )
+    (series,) = _stored(spark, _published(spark, sf_dir), "portfolio_backtest_series")
+    return dashboard.value_path(series, CONFIG.scenario_id, ["baseline", "optimized", "benchmark"])
 
 
 @query
 def panel_corr_subset(spark: SparkSession, sf_dir: str) -> DataFrame:
-    run = _simulated(spark, sf_dir)
-    matrix = staged(run.correlation_rows(), "correlation")
-    return dashboard.correlation_subset(
-        matrix, staged(run.weight_rows(run.weights()), "weights"), ["BRAND#10", "BRAND#2"]
-    )
+    names = ("portfolio_correlation_matrix", "portfolio_weights")
+    matrix, weights = _stored(spark, _published(spark, sf_dir), *names)
+    return dashboard.correlation_subset(matrix, weights, CONFIG.scenario_id, ["BRAND#10", "BRAND#2"])
 
 
 @query
 def panel_search_space(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dashboard.search_space(_simulated(spark, sf_dir).simulation_rows())
+    (simulations,) = _stored(spark, _published(spark, sf_dir), "portfolio_simulations")
+    return dashboard.search_space(simulations, CONFIG.scenario_id)
 
 
 # --- streaming ---------------------------------------------------------------

@@ -19,7 +19,6 @@ from candlelake.operators.panel import (
     asset_returns,
     panel_with_fallback,
     require_history,
-    return_stats,
 )
 from candlelake.operators.portfolio import (
     backtest,
@@ -212,9 +211,6 @@ class Scenario:
     def simulation_rows(self) -> DataFrame:
         return flag_best(self.scores)
 
-    def stats_rows(self) -> DataFrame:
-        return return_stats(self.returns)
-
     def tables(self) -> dict[str, DataFrame]:
         """The six result tables, each with the scenario id and the creation time."""
         weights = staged(self.weights(), "weights")
@@ -240,10 +236,13 @@ def check_benchmark(universe: DataFrame, symbol: str) -> None:
         raise ValueError(f"benchmark symbol {symbol} is missing or stale")
 
 
-def publish(tables: dict[str, DataFrame], root: str) -> None:
-    """Store the result tables; rows of the same scenario are replaced, others stay."""
-    for name, df in tables.items():
-        replace_partitions(df, f"{root}/{name}", ["scenario_id"])
+def publish(tables: dict[str, DataFrame], root: str, scenario_id: str) -> None:
+    """Store the result tables of one scenario; its earlier rows are replaced in all of them, other scenarios stay.
+
+    The scenario's own row comes last: until it is there, a reader that starts from it sees the old scenario.
+    """
+    for name in sorted(tables, key=lambda name: name == "portfolio_scenarios"):
+        replace_partitions(tables[name], f"{root}/{name}", ["scenario_id"], [f"scenario_id={scenario_id}"])
 
 
 def read_results(spark: SparkSession, root: str, name: str) -> DataFrame:
@@ -270,5 +269,5 @@ def run_scenario(
 ) -> DataFrame:
     """Check the inputs, compute and publish all tables, and count the stored rows."""
     run = Scenario(closes, universe, baseline, config).prepare(strict=True).simulate()
-    publish(run.tables(), root)
+    publish(run.tables(), root, config.scenario_id)
     return scenario_counts(closes.sparkSession, root, config.scenario_id)

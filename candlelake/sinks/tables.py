@@ -43,22 +43,40 @@ def write_by_date(df: DataFrame, path: str, mode: str = "overwrite", ts: str = "
     write_partitioned(df.withColumn("date", F.to_date(ts)), path, ["date"], mode)
 
 
-def replace_partitions(df: DataFrame, path: str, by: Sequence[str]) -> None:
-    """Replace only the partitions present in ``df``; the rest stays as it is."""
+def replace_partitions(df: DataFrame, path: str, by: Sequence[str], scope: Sequence[str] = ()) -> None:
+    """Replace the partitions present in ``df``; the rest stays as it is.
+
+    ``scope`` names folders that are replaced in any case: those for which ``df`` has no rows are
+    deleted once the new rows are in place.
+    """
     write_partitioned(df, path, by, dynamic=True)
+    spark = df.sparkSession
+    if scope:
+        first = by[0]
+        # one short text per partition value
+        written = {f"{first}={r[0]}" for r in df.select(F.col(first).cast("string")).distinct().collect()}
+        _delete_folders(spark, path, [name for name in scope if name not in written])
+
+
+def _delete_folders(spark: SparkSession, path: str, names: Sequence[str]) -> None:
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    for name in names:
+        fs.delete(spark._jvm.org.apache.hadoop.fs.Path(root, name), True)
 
 
 def existing_dates(spark: SparkSession, path: str) -> list[dt.date]:
-    """Dates of the ``date=`` folders below ``path``, from one folder listing.
+    """Dates of the ``date=`` folders below ``path`` that hold a Parquet file.
 
-    No file is opened, and there is one entry per calendar date.
+    No file is opened, and there is one entry per calendar date. A folder that a failed job left
+    empty doesn't count.
     """
     root = spark._jvm.org.apache.hadoop.fs.Path(path)
     fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
     if not fs.exists(root):
         return []
-    folders = fs.globStatus(spark._jvm.org.apache.hadoop.fs.Path(root, "date=????-??-??"))
-    names = [status.getPath().getName() for status in folders]
+    files = fs.globStatus(spark._jvm.org.apache.hadoop.fs.Path(root, "date=????-??-??/*.parquet"))
+    names = {status.getPath().getParent().getName() for status in files}
     return sorted(dt.date.fromisoformat(name.partition("=")[2]) for name in names)
 
 

@@ -52,9 +52,9 @@ def test_weight_strings(spark):
     assert {r.symbol: r.weight for r in ok.collect()} == {"BTCUSDT": 0.5, "ETHUSDT": 0.5}
     last = sources.weights_from_string(spark, "p", "A:0.75,A:0.25")
     assert [r.weight for r in last.collect()] == [0.25]
-    for text in ("", "A:0.5", "A:1.5,B:-0.5", ":1.0", "A:one"):
-        with pytest.raises(ValueError):
-            sources.weights_from_string(spark, "p", text)
+    for text in ("", "A:0.5", "A:1.5,B:-0.5", ":1.0", "A:one", "A:nan,B:0.5"):
+        with pytest.raises(Exception, match="rejected"):
+            sources.weights_from_string(spark, "p", text).collect()
 
 
 def test_weight_string_report(spark):
@@ -172,9 +172,9 @@ def test_published_scenario_is_replaced_not_added(spark, tmp_path):
                 RESULT_SCHEMAS["portfolio_simulations"],
             )
         }
-    publish(tables("one", 1.0), root)
-    publish(tables("two", 1.0), root)
-    publish(tables("one", 2.0), root)
+    publish(tables("one", 1.0), root, "one")
+    publish(tables("two", 1.0), root, "two")
+    publish(tables("one", 2.0), root, "one")
     stored = read_results(spark, root, "portfolio_simulations")
     assert stored.columns[:2] == ["scenario_id", "simulation_id"]
     assert stored.count() == 6
