@@ -11,8 +11,8 @@ places are anchors; only they are shuffled, as hashes:
 3. grams with several classes are contested. The contexts of one member of each
    class meet by gram, and an operator's own method decides which windows repeat.
 
-A gram with more than ``MOST_CLASSES`` classes is not solved in one task: its windows are halved by
-their distance from the gram; each half shares a longer core, which is the new key, and classes
+A gram with more than ``MOST_CLASSES`` classes is not solved in one task: its windows are split by
+their distance from the gram; each part shares a longer core, which is the new key, and classes
 are formed anew, until groups are small. At the last step window and core are one.
 """
 
@@ -30,6 +30,7 @@ from candlelake.llm import hashing
 from candlelake.llm.stages import drop, map_arrow, parts, runs_of_rows, stage, text_bytes
 
 MOST_CLASSES = 1000
+RANGES = 4
 # units whose hashes are worked on at a time
 BLOCK = 1 << 19
 _BASE = 0x9E3779B97F4A7C15
@@ -193,7 +194,9 @@ def search(keyed: DataFrame, units: Units, keep_first: bool) -> Repeats:
     rows = stage(anchor_rows(keyed, units), "anchors")
     # joins read stored tables on both sides, so that Spark can split a gram with many rows
     repeated = stage(
-        rows.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("gram"), "repeated-grams"
+        rows.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("gram"),
+        "repeated-grams",
+        small=True,
     )
     kept = stage(rows.join(repeated, "gram"), "repeated")
     drop(rows, repeated)
@@ -208,19 +211,20 @@ def search(keyed: DataFrame, units: Units, keep_first: bool) -> Repeats:
     contested = []
     while True:
         sizes = pending.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > MOST_CLASSES)
-        large = stage(sizes.select("key"), "large-keys")
+        large = stage(sizes.select("key"), "large-keys", small=True)
         if large.isEmpty():
             contested.append(pending)
             return Repeats(spans, contested)
         contested.append(pending.join(large, "key", "left_anti"))
-        halves = stage(_halves(pending.join(large, "key", "left_semi"), units), "halves")
-        settled, firsts = _classes(halves, "key", ["context", "near", "far"], keep_first)
+        ranges = stage(_ranges(pending.join(large, "key", "left_semi"), units), "ranges", small=True)
+        settled, firsts = _classes(ranges, "key", ["context", "near", "far"], keep_first)
         spans.append(_spans(settled, F.col("far"), F.lit(units.window) - F.col("near")))
         pending = stage(
-            halves.join(firsts.select("key", "context", "did", "at"), ["key", "context", "did", "at"]).dropDuplicates(
+            ranges.join(firsts.select("key", "context", "did", "at"), ["key", "context", "did", "at"]).dropDuplicates(
                 ["key", "context"]
             ).drop("context"),
             "contexts",
+            small=True,
         )
 
 
@@ -233,12 +237,14 @@ def _spans(settled: DataFrame, before, after) -> DataFrame:
 def _classes(rows: DataFrame, key: str, same: list[str], keep_first: bool) -> tuple[DataFrame, DataFrame]:
     """Members of classes of two or more, and the first member of each class of a contested key."""
     classes = stage(
-        rows.groupBy(key, *same).agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("did", "at")).alias("first")), "classes"
+        rows.groupBy(key, *same).agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("did", "at")).alias("first")),
+        "classes",
+        small=True,
     )
     settled = rows.join(classes.where("n > 1"), [key, *same])
     if keep_first:
         settled = settled.where(F.struct("did", "at") != F.col("first"))
-    contested = stage(classes.groupBy(key).agg(F.count(F.lit(1)).alias("k")).where("k > 1").select(key), "contested")
+    contested = stage(classes.groupBy(key).agg(F.count(F.lit(1)).alias("k")).where("k > 1").select(key), "contested", small=True)
     firsts = classes.join(contested, key).select(key, *same, "first.did", "first.at")
     return settled, firsts
 
@@ -289,8 +295,8 @@ def _contexts(docs: DataFrame, units: Units) -> DataFrame:
     return map_arrow(docs.select("did", "th", "text", "anchors"), rows, _CONTEXT)
 
 
-def _halves(contexts: DataFrame, units: Units) -> DataFrame:
-    """Each context as two: windows that begin ``near`` to ``far`` units before the anchor, in two equal ranges."""
+def _ranges(contexts: DataFrame, units: Units) -> DataFrame:
+    """Each context in parts: its windows, which begin ``near`` to ``far`` units before the anchor, in equal ranges."""
     size, window = units.size, units.window
 
     def digest(piece: bytes, salt: int) -> int:
@@ -303,8 +309,9 @@ def _halves(contexts: DataFrame, units: Units) -> DataFrame:
         for r in batch.to_pylist():
             raw, left = r["units"], r["left"]
             n = len(raw) // size
-            middle = (r["near"] + r["far"]) // 2
-            for near, far in {(r["near"], middle), (min(middle + 1, r["far"]), r["far"])}:
+            step = -(-(r["far"] + 1 - r["near"]) // RANGES)
+            for near in range(r["near"], r["far"] + 1, step):
+                far = min(near + step - 1, r["far"])
                 core = (left - near, left - far + window)
                 if core[0] < 0 or core[1] > n:
                     continue  # the text has no such window
@@ -383,20 +390,25 @@ def with_spans(docs: DataFrame, spans: DataFrame) -> DataFrame:
     ).drop("spans")
 
 
-def covered(lows, highs, n: int, window: int) -> list[tuple[int, int]]:
+def covered(lows: np.ndarray, highs: np.ndarray, n: int, window: int) -> list[tuple[int, int]]:
     """Disjoint ascending spans of ``0..n`` that the given spans cover; touching spans are one.
 
     Spans are cut at the ends of the text; what is then shorter than a window holds none.
     """
-    if lows is None:
+    lows, highs = np.maximum(lows, 0), np.minimum(highs, n)
+    long = highs - lows >= window
+    if not long.any():
         return []
-    out: list[list[int]] = []
-    for low, high in sorted(zip(lows, highs)):
-        low, high = max(low, 0), min(high, n)
-        if high - low < window:
-            continue
-        if out and low <= out[-1][1]:
-            out[-1][1] = max(out[-1][1], high)
-        else:
-            out.append([low, high])
-    return [tuple(s) for s in out]
+    order = np.argsort(lows[long], kind="stable")
+    lows, reach = lows[long][order], np.maximum.accumulate(highs[long][order])
+    heads = np.flatnonzero(np.concatenate([[True], lows[1:] > reach[:-1]]))
+    return list(zip(lows[heads].tolist(), reach[np.append(heads[1:], len(lows)) - 1].tolist()))
+
+
+def spans_of(batch: pa.RecordBatch):
+    """``lows, highs`` of every row of a batch, as arrays; a null is no span."""
+    lists = batch["lows"], batch["highs"]
+    values = [np.asarray(c.values) for c in lists]
+    offsets = np.asarray(lists[0].offsets), np.asarray(lists[1].offsets)
+    for i in range(batch.num_rows):
+        yield tuple(v[o[i] : o[i + 1]] for v, o in zip(values, offsets))

@@ -17,9 +17,11 @@ def components(links: DataFrame) -> DataFrame:
     oneself and repeated links do no harm; an empty table gives no rows.
     """
     both = links.select("a", "b").union(links.select("b", "a"))
-    arcs = stage(both.where("a is not null and b is not null").distinct().toDF("node", "to"), "arcs")
+    arcs = stage(both.where("a is not null and b is not null").distinct().toDF("node", "to"), "arcs", small=True)
     labels = stage(
-        arcs.groupBy("node").agg(F.min("to").alias("least")).select("node", F.least("node", "least").alias("label")), "labels"
+        arcs.groupBy("node").agg(F.min("to").alias("least")).select("node", F.least("node", "least").alias("label")),
+        "labels",
+        small=True,
     )
     while True:
         near = arcs.join(labels.select(F.col("node").alias("to"), "label"), "to").groupBy("node").agg(F.min("label").alias("near"))
@@ -32,6 +34,7 @@ def components(links: DataFrame) -> DataFrame:
                 "node", "old", F.least("label", F.coalesce("beyond", "label")).alias("label")
             ),
             "labels",
+            small=True,
         )
         done = moved.where("old <> label").isEmpty()
         drop(labels)

@@ -16,18 +16,19 @@ CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 NULL_ID = -(2**63)
 
 
-def stage(df: DataFrame, name: str, by: list[str] | None = None) -> DataFrame:
+def stage(df: DataFrame, name: str, small: bool = False) -> DataFrame:
     """Write ``df`` below ``spark.checkpoint.dir`` and read it back.
 
     The stored table survives lost executors and cuts the lineage. Shuffle files
-    of the job that wrote it are of no further use, so Spark may drop them.
+    of the job that wrote it are of no further use, so Spark may drop them. A ``small`` table, of
+    a few numbers a row, is written by an eighth of the tasks: starting files would cost more than filling them.
     """
     spark = df.sparkSession
     path = work_path(spark, name)
     before = spark.conf.get(CLEANUP, "false")
     spark.conf.set(CLEANUP, "true")
     try:
-        (df.write.partitionBy(*by) if by else df.write).parquet(path)
+        (df.coalesce(max(12, parts(spark) // 8)) if small else df).write.parquet(path)
     finally:
         spark.conf.set(CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)

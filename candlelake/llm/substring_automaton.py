@@ -140,8 +140,7 @@ def repeated_spans(keyed: DataFrame, window: int = 20) -> DataFrame:
 def _cut(window: int):
     def cut(batch):
         out = []
-        lows, highs = batch["lows"].to_pylist(), batch["highs"].to_pylist()
-        for text, low, high in zip(batch["text"], lows, highs):
+        for text, (low, high) in zip(batch["text"], anchors.spans_of(batch)):
             words = text.as_py().encode().split()
             spans = anchors.covered(low, high, len(words), window)
             ends = [0, *(x for s in spans for x in s), len(words)]

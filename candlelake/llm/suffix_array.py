@@ -218,8 +218,7 @@ def remove_repeats(docs: DataFrame, min_bytes: int = 200) -> DataFrame:
 
 def _kept(batch: pa.RecordBatch, min_bytes: int):
     """For each row: its bytes, what remains of them, and the number of removed runs."""
-    lows, highs = batch["lows"].to_pylist(), batch["highs"].to_pylist()
-    for text, low, high in zip(batch["text"], lows, highs):
+    for text, (low, high) in zip(batch["text"], anchors.spans_of(batch)):
         raw = text.as_py().encode()
         spans = anchors.covered(low, high, len(raw), min_bytes)
         ends = [0, *(x for s in spans for x in s), len(raw)]
