@@ -22,7 +22,7 @@ from candlelake.llm.stages import stage
 DOMAINS = ("good", "poor", "toxic")
 # labelled documents used for the fit; hashed features; documents that must show a feature
 MOST_TRAINING = 20_000
-FEATURES = 1 << 15
+FEATURES = 1 << 13
 LEAST_SUPPORT = 5
 _TEMPERATURES = [round(float(x), 3) for x in np.geomspace(0.5, 30, 24)]
 MOST_STEPS, TOLERANCE = 60, 1e-6
@@ -46,7 +46,7 @@ def _features(tokens: Column) -> Column:
 
 def _numbers(values) -> Column:
     """A constant array; as text, since a literal per value would be slow to plan."""
-    return F.split(F.lit(",".join(repr(float(v)) for v in values)), ",").cast("array<double>")
+    return F.split(F.lit(",".join(f"{float(v):.6g}" for v in values)), ",").cast("array<double>")
 
 
 @dataclass(frozen=True)
