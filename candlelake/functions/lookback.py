@@ -24,8 +24,9 @@ def with_lookback(df: DataFrame, key: str, order: str, rows: int, chunk: Column)
     ``order`` must be unique within ``key`` and ``chunk`` must not decrease
     with it. The borrowed rows carry ``_borrowed = true``. The number of rows
     taken from a chunk is limited before the shuffle (``row_number <= rows``
-    becomes a map-side group limit), and a chunk needs at most ``rows``
-    non-empty predecessors because each of them holds at least one row.
+    becomes a map-side group limit). A chunk is lent the tails of the chunks that hold
+    the last ``rows`` rows before it, found by the running number of tail rows: fewer than
+    ``2 * rows`` records, however short the chunks are.
     """
     tagged = df.withColumn(CHUNK, chunk)
     record = F.struct(order, *[c for c in df.columns if c not in (key, order)])
@@ -37,10 +38,15 @@ def with_lookback(df: DataFrame, key: str, order: str, rows: int, chunk: Column)
         .groupBy(key, CHUNK)
         .agg(F.sort_array(F.collect_list(record)).alias("_tail"))
     )
-    earlier = W.partitionBy(key).orderBy(CHUNK).rowsBetween(-rows, -1)
+    in_order = W.partitionBy(key).orderBy(CHUNK)
+    so_far = in_order.rowsBetween(W.unboundedPreceding, 0)
+    last_rows = W.partitionBy(key).orderBy("_rows").rangeBetween(-(rows - 1), 0)
     borrowed = (
-        tails.withColumn("_lead", F.flatten(F.collect_list("_tail").over(earlier)))
-        .where(F.size("_lead") > 0)
+        tails.withColumn("_rows", F.sum(F.size("_tail")).over(so_far))
+        .withColumn("_next", F.lead(CHUNK).over(in_order))
+        .withColumn("_lead", F.flatten(F.collect_list("_tail").over(last_rows)))
+        .where(F.col("_next").isNotNull())
+        .withColumn(CHUNK, F.col("_next"))
         .withColumn("_lead", F.slice("_lead", -F.least(F.size("_lead"), F.lit(rows)), rows))
         .select(key, CHUNK, F.inline("_lead"))
         .withColumn(BORROWED, F.lit(True))

@@ -60,8 +60,10 @@ def _kept_dates(
 
 
 def _panel(closes: DataFrame, universe: DataFrame, kept: Column) -> DataFrame:
+    # the first and last date bound the scan; the array decides
+    first, last = F.get(kept, F.lit(0)), F.get(kept, F.size(kept) - 1)
     return (
-        closes.where(F.array_contains(kept, F.col("date")))
+        closes.where(F.col("date").between(first, last) & F.array_contains(kept, F.col("date")))
         .join(universe.select("symbol", "ord"), "symbol")
         .select("symbol", "ord", "date", "close")
     )

@@ -48,10 +48,20 @@ def single_asset_weights(universe: DataFrame, symbol: str, portfolio_type: str)
 
 
 def portfolio_returns(returns: DataFrame, weights: DataFrame) -> DataFrame:
-    """Weighted return per portfolio and date."""
+    """Weighted return per portfolio and date.
+
+    Only held symbols are joined; a portfolio that holds nothing keeps one symbol of weight 0, so that it
+    still has a return of 0 on every date.
+    """
+    held = weights.where(F.col("weight") != 0).select("portfolio_type", "symbol", "weight")
+    idle = (
+        weights.groupBy("portfolio_type")
+        .agg(F.min("symbol").alias("symbol"), F.max(F.abs("weight")).alias("weight"))
+        .where(F.col("weight") == 0)
+    )
     return (
         returns.select("symbol", "date", "ret")
-        .join(weights.select("portfolio_type", "symbol", "weight"), "symbol")
+        .join(held.unionByName(idle), "symbol")
         .groupBy("portfolio_type", "date")
         .agg(F.sum(F.col("weight") * F.col("ret")).alias("ret"))
     )
@@ -109,13 +119,13 @@ def backtest(series: DataFrame, capital: float) -> DataFrame:
 def with_benchmark_value(paths: DataFrame, benchmark: str = "benchmark") -> DataFrame:
     """Value of the benchmark on the same date; null on the benchmark's own rows.
 
-    A date has one row per portfolio, so the lookup is a window over the date
-    instead of a second evaluation of the paths.
+    The benchmark's rows, one a date, are joined to all others, whatever their number.
     """
     is_benchmark = F.col("portfolio_type") == benchmark
-    same_date = W.partitionBy("date")
-    value = F.max(F.when(is_benchmark, F.col("portfolio_value"))).over(same_date)
-    return paths.withColumn("benchmark_value", F.when(~is_benchmark, value))
+    values = paths.where(is_benchmark).select("date", F.col("portfolio_value").alias("_value"))
+    return paths.join(values, "date", "left").select(
+        *paths.columns, F.when(~is_benchmark, F.col("_value")).alias("benchmark_value")
+    )
 
 
 def pair_moments(pairs: DataFrame, key: str) -> DataFrame:
@@ -155,17 +165,28 @@ def score_columns(moments: DataFrame) -> DataFrame:
 def diversification(weights: DataFrame, upper: DataFrame) -> DataFrame:
     """Score and label of every portfolio.
 
-    Starts from the matrix cells and looks the two weights up by symbol, so the
-    work is spread over the cells and not gathered per portfolio.
+    Forms the pairs of symbols that a portfolio holds and looks their matrix cells up, so
+    the rows are the held pairs and not cells times holders. What weights alone decide does not need the matrix.
     """
-    held = weights.where(F.col("weight") > 0)
+    held = weights.where(F.col("weight") > ACTIVE_WEIGHT)
     x = held.select("portfolio_type", F.col("ord").alias("ord_x"), F.col("weight").alias("weight_x"))
     y = held.select("portfolio_type", F.col("ord").alias("ord_y"), F.col("weight").alias("weight_y"))
-    cells = upper.select("ord_x", "ord_y", "mean_return_x", "covariance", "correlation")
-    pairs = cells.join(x, "ord_x").join(y, ["portfolio_type", "ord_y"])
-    scored = score_columns(pair_moments(pairs, "portfolio_type"))
-    portfolios = weights.select("portfolio_type").distinct()
-    return portfolios.join(scored, "portfolio_type", "left").select(
+    pairs = x.join(y, "portfolio_type").where(F.col("ord_x") < F.col("ord_y"))
+    product = F.col("weight_x") * F.col("weight_y")
+    found = (
+        pairs.join(upper.select("ord_x", "ord_y", "correlation"), ["ord_x", "ord_y"])
+        .groupBy("portfolio_type")
+        .agg(F.sum(product).alias("pair_weight"), F.sum(product * F.abs("correlation")).alias("pair_correlation"))
+    )
+    own = weights.groupBy("portfolio_type").agg(
+        F.count_if(F.col("weight") > ACTIVE_WEIGHT).alias("n_active"),
+        F.sum(F.when(F.col("weight") > HELD_WEIGHT, F.col("weight") * F.col("weight"))).alias("sum_squares"),
+    )
+    zero = F.lit(0.0)
+    moments = own.join(found, "portfolio_type", "left").withColumns(
+        {c: F.coalesce(c, zero) for c in ("pair_weight", "pair_correlation", "sum_squares")}
+    )
+    return score_columns(moments).select(
         "portfolio_type",
         F.coalesce("n_active", F.lit(0)).alias("n_active"),
         F.coalesce("avg_abs_correlation", F.lit(1.0)).alias("avg_abs_correlation"),

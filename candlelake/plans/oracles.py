@@ -352,6 +352,7 @@ def oracle_sql() -> dict[str, str]:
     q["csv_archive_scan"] = f"WITH {MINUTE} " + select(CANDLE_SPEC, f"FROM bars WHERE symbol NOT IN ({excluded})")
     q["hive_partition_scan"] = f"WITH {MINUTE} " + DATED
     q["single_day_scan"] = f"WITH {MINUTE} " + select(CANDLE_SPEC, f"FROM bars WHERE CAST(\"timestamp\" AS DATE) = DATE '{DAY}'")
+    q["daily_layout_scan"] = q["single_day_scan"]
     q["date_cutoff"] = f"WITH {MINUTE} " + select(CANDLE_SPEC, f"FROM bars WHERE CAST(\"timestamp\" AS DATE) >= DATE '{DAY}'")
     q["kline_array_decode"] = f"WITH {MINUTE} " + select(
         CANDLE_SPEC + " ignore n_bad%", "FROM (SELECT *, '0' AS ignore, 0 AS n_bad FROM bars)"
@@ -655,10 +656,8 @@ def oracle_sql() -> dict[str, str]:
               (SELECT * FROM numbered UNION ALL SELECT * FROM numbered WHERE m % 3 = 0))""",
     )
     q["stream_dedup"] = f"WITH {MINUTE} " + select("timestamp symbol open~ high~ low~ close~ volume~", "FROM bars")
-    q["stream_hourly"] = f"WITH {HOUR}, {bars('minute', 'minutes')} " + select(
-        "timestamp symbol open~ high~ low~ close~ volume~",
-        """FROM bars WHERE "timestamp" + INTERVAL 1 HOUR <= (SELECT max("timestamp") FROM minutes) - INTERVAL 5 MINUTE""",
-    )
+    q["stream_hourly"] = f"WITH {HOUR} " + select("timestamp symbol open~ high~ low~ close~ volume~", "FROM bars")
+    q["stream_restart"] = q["stream_dedup"]
     q["stream_malformed"] = f"WITH {MESSAGES} " + select(
         "n_rows# n_malformed#",
         """FROM (SELECT count(*) + count(*) FILTER (m % 3 = 0) + count(*) FILTER (m % 2 = 0) + count(*) FILTER (m % 5 = 0) AS n_rows,

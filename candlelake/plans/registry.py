@@ -113,6 +113,16 @@ def single_day_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sources.read_day(spark, _lake(spark, sf_dir, ["date"]), DAY)
 
 
+@query
+def daily_layout_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two days written in the daily layout, one of them twice; the other is read back."""
+    root = work_path(spark, "daily")
+    minute = b.candles(spark, sf_dir)
+    for day in (BACKFILL_START, DAY, DAY):
+        sinks.write_daily_folder(minute, root, day)
+    return sources.read_daily_folder(spark, root, DAY)
+
+
 @query
 def date_cutoff(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean.from_date(b.candles(spark, sf_dir), DAY)
@@ -773,11 +783,31 @@ def panel_search_space(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- streaming ---------------------------------------------------------------
 
 
-def _landed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The candle messages as landed text files, opened as a stream and parsed."""
+# spans of time that land one after the other, and the files of each
+LANDINGS, FILES = 4, 2
+
+
+def _land(messages: DataFrame, root: str, spans: range, late: bool = False) -> None:
+    """Append messages to the landed text files, a span of time after the other.
+
+    ``late`` sends messages of the first span once more with the last one: long after the watermark.
+    """
+    seconds = F.get_json_object("value", "$.open_time").cast("long") / 1000
+    first, last = F.unix_seconds(F.lit("2024-01-01").cast("timestamp")), F.unix_seconds(F.lit(NOW).cast("timestamp"))
+    share = (seconds - first) / (last - first) * LANDINGS
+    span = F.greatest(F.lit(0), F.least(F.floor(F.coalesce(share, F.lit(0))).cast("int"), F.lit(LANDINGS - 1)))
+    for number in spans:
+        due = span == number
+        if late and number == LANDINGS - 1:
+            due = due | ((span == 0) & share.isNotNull())
+        messages.where(due).coalesce(FILES).write.mode("append").text(root)
+
+
+def _landed(spark: SparkSession, sf_dir: str, late: bool = False) -> DataFrame:
+    """The candle messages as landed text files, read in several micro-batches and parsed."""
     root = work_path(spark, "messages")
-    b.stream_messages(spark, sf_dir).write.text(root)
-    return streaming.parse_messages(streaming.message_stream(spark, root))
+    _land(staged(b.stream_messages(spark, sf_dir), "lines"), root, range(LANDINGS), late)
+    return streaming.parse_messages(streaming.message_stream(spark, root, FILES))
 
 
 def _drain(spark: SparkSession, stream: DataFrame, partition_by: tuple[str, ...] = ()) -> DataFrame:
@@ -801,13 +831,32 @@ def stream_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _drain(spark, streaming.dedup_stream(streaming.closed_candles(_landed(spark, sf_dir))))
+    """Repeats are dropped across micro-batches, those that come after the watermark too."""
+    return _drain(spark, streaming.dedup_stream(streaming.closed_candles(_landed(spark, sf_dir, late=True))))
+
+
+@query
+def stream_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stopped query goes on with its checkpoint: what landed before and after the stop counts once."""
+    root, target, checkpoint = (work_path(spark, name) for name in ("messages", "stream", "checkpoint"))
+    lines = staged(b.stream_messages(spark, sf_dir), "lines")
+    half = LANDINGS // 2
+    for spans in (range(half), range(half, LANDINGS), range(0)):
+        _land(lines, root, spans)
+        closed = streaming.closed_candles(streaming.parse_messages(streaming.message_stream(spark, root, FILES)))
+        streaming.run_available(
+            streaming.dedup_stream(closed), target, checkpoint, state_partitions=spark.sparkContext.defaultParallelism
+        )
+    return spark.read.schema(closed.schema).parquet(target)
 
 
 @query
 def stream_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hours closed by the watermark, completed with those still open when the stream ends."""
     deduplicated = streaming.dedup_stream(streaming.closed_candles(_landed(spark, sf_dir)))
-    return _drain(spark, streaming.hourly_stream(deduplicated, late_limit=None))
+    archived = _drain(spark, deduplicated)
+    emitted = _drain(spark, streaming.hourly_stream(deduplicated, late_limit=None))
+    return streaming.complete_hours(emitted, archived)
 
 
 @query

@@ -34,38 +34,32 @@ KLINE_COLUMNS = [
     "taker_buy_quote_asset_volume",
     "ignore",
 ]
-TIMESTAMP_COLUMNS = ["timestamp", "close_time"]
-LONG_COLUMNS = ["number_of_trades"]
-DOUBLE_COLUMNS = [
-    "open",
-    "high",
-    "low",
-    "close",
-    "volume",
-    "quote_asset_volume",
-    "taker_buy_base_asset_volume",
-    "taker_buy_quote_asset_volume",
-]
-
-
-def candle_type(column: str) -> T.DataType:
-    """Spark type of one candle column; unknown columns are strings."""
-    if column in TIMESTAMP_COLUMNS:
-        return T.TimestampType()
-    if column in LONG_COLUMNS:
-        return T.LongType()
-    if column in DOUBLE_COLUMNS:
-        return T.DoubleType()
-    return T.StringType()
+# every column is a number with a fraction, but for these
+OTHER_TYPES = {
+    "symbol": T.StringType(),
+    "ignore": T.StringType(),
+    "timestamp": T.TimestampType(),
+    "close_time": T.TimestampType(),
+    "number_of_trades": T.LongType(),
+}
 
 
 def struct_of(columns: list[str]) -> T.StructType:
-    return T.StructType([T.StructField(c, candle_type(c), True) for c in columns])
+    return T.StructType([T.StructField(c, OTHER_TYPES.get(c, T.DoubleType()), True) for c in columns])
 
 
 CANDLE_SCHEMA = struct_of(CANDLE_COLUMNS)
 CSV_ARCHIVE_SCHEMA = struct_of(KLINE_COLUMNS)
 
+
+def _of_type(kind: type) -> list[str]:
+    return [f.name for f in CANDLE_SCHEMA if isinstance(f.dataType, kind)]
+
+
+TIMESTAMP_COLUMNS = _of_type(T.TimestampType)
+LONG_COLUMNS = _of_type(T.LongType)
+DOUBLE_COLUMNS = _of_type(T.DoubleType)
+
 # One message of the candle stream.
 STREAM_CANDLE_SCHEMA = (
     "symbol string, open double, high double, low double, close double, volume double, "

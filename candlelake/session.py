@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
 import functools
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -44,20 +46,23 @@ def use_utc(spark: SparkSession) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """Folder that every executor can reach, taken from ``spark.checkpoint.dir``.
 
-    Only a local session may fall back to a fresh temporary folder; on a
-    cluster that folder would live on one machine, so the setting is required.
+    Only a session whose executors are threads of the driver may fall back to a fresh temporary
+    folder, which goes when the process ends; elsewhere that folder would live on one machine, so
+    the setting is required.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not spark.sparkContext._jsc.sc().isLocal():
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
     return _local_folder(spark.sparkContext.applicationId)
 
 
 @functools.cache
 def _local_folder(application_id: str) -> str:
-    return tempfile.mkdtemp(prefix="candlelake-")
+    folder = tempfile.mkdtemp(prefix="candlelake-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
 
 
 def work_path(spark: SparkSession, name: str) -> str:

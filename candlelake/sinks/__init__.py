@@ -7,6 +7,7 @@ from candlelake.sinks.tables import (
     replace_partitions,
     with_month,
     write_by_date,
+    write_daily_folder,
     write_partitioned,
 )
 
@@ -19,5 +20,6 @@ __all__ = [
     "replace_partitions",
     "with_month",
     "write_by_date",
+    "write_daily_folder",
     "write_partitioned",
 ]

@@ -43,6 +43,14 @@ def write_by_date(df: DataFrame, path: str, mode: str = "overwrite", ts: str = "
     write_partitioned(df.withColumn("date", F.to_date(ts)), path, ["date"], mode)
 
 
+def write_daily_folder(df: DataFrame, base: str, day: str | dt.date) -> None:
+    """Candles of one day as ``<D>/data.parquet``: a folder of that name, the symbol a column; a rerun replaces it."""
+    rows = df.where(F.to_date("timestamp") == F.lit(str(day)).cast("date"))
+    rows.hint("rebalance").sortWithinPartitions("symbol", "timestamp").write.mode("overwrite").option(
+        "compression", "snappy"
+    ).parquet(f"{base}/{day}/data.parquet")
+
+
 def replace_partitions(df: DataFrame, path: str, by: Sequence[str], scope: Sequence[str] = ()) -> None:
     """Replace the partitions present in ``df``; the rest stays as it is.
 

@@ -2,6 +2,7 @@ from candlelake.sources.files import (
     file_row_counts,
     partition_stats,
     read_csv_archive,
+    read_daily_folder,
     read_day,
     read_json_lines,
     read_partitioned,
@@ -30,6 +31,7 @@ __all__ = [
     "parse_weight_strings",
     "partition_stats",
     "read_csv_archive",
+    "read_daily_folder",
     "read_day",
     "read_json_lines",
     "read_partitioned",

@@ -46,16 +46,29 @@ def read_partitioned(
     """Candles from a Parquet lake laid out as ``symbol=<S>/date=<D>/``.
 
     ``basePath`` keeps the partition columns when only some folders are named.
-    A predicate on ``symbol`` or ``date`` prunes folders before any file opens.
+    A predicate on ``symbol`` or ``date`` prunes folders before any file opens. Folder names are
+    read as text, so a symbol such as ``007`` stays as it is.
     """
-    raw = spark.read.option("basePath", base).parquet(*(paths or [base]))
+    reader = spark.read.option("basePath", base)
+    raw = _named(reader, reader.parquet(*(paths or [base])).schema).parquet(*(paths or [base]))
     return to_canonical(raw, keep=["date"] if "date" in raw.columns else [])
 
 
 def read_day(spark: SparkSession, base: str, day: str | dt.date) -> DataFrame:
     """Candles of one date partition, selected by partition pruning."""
-    lake = spark.read.parquet(base).where(F.col("date") == F.lit(str(day)).cast("date"))
-    return to_canonical(lake)
+    lake = _named(spark.read, spark.read.parquet(base).schema).parquet(base)
+    return to_canonical(lake.where(F.col("date") == F.lit(str(day)).cast("date")))
+
+
+def read_daily_folder(spark: SparkSession, base: str, day: str | dt.date) -> DataFrame:
+    """Candles of one day from the layout ``<D>/data.parquet``, where the symbol is a column."""
+    return to_canonical(spark.read.parquet(f"{base}/{day}/data.parquet"))
+
+
+def _named(reader, found: T.StructType):
+    """The reader with the columns found, but symbols as text and dates as dates."""
+    fixed = {"symbol": T.StringType(), "date": T.DateType()}
+    return reader.schema(T.StructType([T.StructField(f.name, fixed.get(f.name, f.dataType)) for f in found]))
 
 
 def to_canonical(raw: DataFrame, keep: Sequence[str] = ()) -> DataFrame:

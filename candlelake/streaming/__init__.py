@@ -1,6 +1,7 @@
 from candlelake.streaming.candles import (
     archive_columns,
     closed_candles,
+    complete_hours,
     count_malformed,
     dedup_stream,
     hourly_stream,
@@ -13,6 +14,7 @@ from candlelake.streaming.candles import (
 __all__ = [
     "archive_columns",
     "closed_candles",
+    "complete_hours",
     "count_malformed",
     "dedup_stream",
     "hourly_stream",

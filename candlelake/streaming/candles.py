@@ -70,6 +70,13 @@ def hourly_stream(candles: DataFrame, late_limit: str | None = LATE_LIMIT) -> Da
     ).select(F.col("hour.start").alias("timestamp"), "symbol", "open", "high", "low", "close", "volume")
 
 
+def complete_hours(emitted: DataFrame, candles: DataFrame) -> DataFrame:
+    """The emitted hours and, from the archived candles, those that the stream still holds open at its end."""
+    key = ["symbol", "timestamp"]
+    every = hourly_stream(candles.dropDuplicates(key), late_limit=None)
+    return emitted.unionByName(every.join(emitted.select(key), key, "left_anti").select(emitted.columns))
+
+
 def archive_columns(candles: DataFrame) -> DataFrame:
     """Add the folder columns ``year`` and ``month`` of the archive."""
     return candles.withColumn("year", F.year("timestamp")).withColumn("month", F.month("timestamp"))

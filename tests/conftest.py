@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import tempfile
+
 import pytest
 from pyspark.sql import SparkSession
 
@@ -15,7 +17,7 @@ def new_session() -> SparkSession:
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
             "spark.driver.memory": "8g",
-            "spark.sql.warehouse.dir": "/tmp/candlelake-warehouse",
+            "spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="candlelake-warehouse-"),
         },
     )
     spark.sparkContext.setLogLevel("OFF")

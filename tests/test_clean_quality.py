@@ -144,7 +144,7 @@ def test_guards(spark):
     )
     universe = spark.createDataFrame([("A", 0), ("B", 1)], "symbol string, ord int")
     dates = closes.select("date")
-    report = quality.guard_report(closes, universe, dates, "B", 5)
+    report = quality.guard_report(closes, universe, dates, closes, "B", 5)
     assert {r.guard: r.violations for r in report.collect()} == {
         "price_not_positive": 1,
         "symbol_without_history": 1,
