@@ -27,6 +27,7 @@ BITS = 14
 ALPHA, BETA, L1, L2, EPOCHS = 0.3, 1.0, 0.002, 0.0002, 3
 _LETTER = regex.compile(r"\p{L}")
 _CHUNK = 1 << 20
+_SHARES = 1 << 20
 _FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], np.uint64)
 
 
@@ -121,7 +122,8 @@ def held_out():
 def train(docs: DataFrame) -> Model:
     """Fit a model on rows of ``docs`` that aren't held out and have a text and a language."""
     known = docs.select("doc_id", "text", "lang").where(~held_out()).where("text is not null and lang is not null")
-    languages = [r["lang"] for r in known.groupBy("lang").count().orderBy("lang").collect()]
+    rows_of = {r["lang"]: r["count"] for r in known.groupBy("lang").count().orderBy("lang").collect()}
+    languages = list(rows_of)
     if not languages:
         return Model([], np.zeros(0), np.zeros((0, 0)), np.zeros(0), 1.0)
 
@@ -144,8 +146,13 @@ def train(docs: DataFrame) -> Model:
 
     each = max(1, MOST_TRAINING // len(languages))
     order = F.xxhash64(F.col("doc_id").cast("string"))
+    # a language's share by hash, a little more than asked for, so that few rows meet to be ranked
+    share = F.lit(0)
+    for language, rows in rows_of.items():
+        share = F.when(F.col("lang") == language, int(_SHARES * min(1.0, 1.3 * each / rows)) + 1).otherwise(share)
+    drawn = known.select("doc_id", "lang").where(F.pmod(F.xxhash64(F.lit("draw"), "doc_id"), F.lit(_SHARES)) < share)
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(order, "doc_id"))
-    chosen = known.select("doc_id", "lang").withColumn("rank", rank).where(F.col("rank") <= each).select("doc_id")
+    chosen = drawn.withColumn("rank", rank).where(F.col("rank") <= each).select("doc_id")
     # at most MOST_TRAINING ids
     sample = known.join(F.broadcast(chosen.distinct()), "doc_id").withColumn("order", order)
     index = {language: i for i, language in enumerate(languages)}
