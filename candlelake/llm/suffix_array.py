@@ -232,20 +232,24 @@ def cut_repeats(docs: DataFrame, min_bytes: int = 200) -> DataFrame:
     among them, stay as they are, and so do all other columns.
     """
     columns = docs.columns
-    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in columns)).alias("row"), "doc_id", "text")
-    keyed = keyed_docs(docs)
-    keys = keyed_docs(rows, "row")
-    joined = anchors.with_spans(keys, repeated_spans(keyed, min_bytes))
-    schema = T.StructType([*rows.select("row").schema.fields, T.StructField("cut", T.StringType())])
+    # the text travels once, beside the other columns
+    others = F.struct(*(F.col(f"`{c}`") for c in columns if c != "text"), F.col("text").isNull().alias("_no_text"))
+    rows = docs.select(others.alias("row"), "doc_id", "text")
+    joined = anchors.with_spans(keyed_docs(rows, "row"), repeated_spans(keyed_docs(docs), min_bytes))
+    fields = [T.StructField("kept", T.StringType()), T.StructField("is_cut", T.BooleanType())]
+    schema = T.StructType([*rows.select("row").schema.fields, *fields])
 
     def cut(batch):
-        texts = [kept.decode("utf-8", "ignore") if n else None for _, kept, n in _kept(batch, min_bytes)]
-        yield pa.RecordBatch.from_arrays([batch["row"], pa.array(texts, pa.string())], names=["row", "cut"])
+        found = [(kept.decode("utf-8", "ignore"), n > 0) for _, kept, n in _kept(batch, min_bytes)]
+        yield pa.RecordBatch.from_arrays(
+            [batch["row"], pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.bool_())],
+            names=["row", "kept", "is_cut"],
+        )
 
     done = map_arrow(joined.select("row", "text", "lows", "highs"), cut, schema)
-    values = {c: F.col(f"row.`{c}`") for c in columns}
-    values["text"] = F.coalesce("cut", F.col("row.text"))
+    values = {c: F.col(f"row.`{c}`") for c in columns if c != "text"}
+    values["text"] = F.when(~F.col("row._no_text"), F.col("kept"))
     if "n_chars" in values:
-        counted = F.length("cut").cast(docs.schema["n_chars"].dataType)
-        values["n_chars"] = F.coalesce(counted, F.col("row.n_chars"))
-    return done.select(*(v.alias(c) for c, v in values.items()))
+        counted = F.length("kept").cast(docs.schema["n_chars"].dataType)
+        values["n_chars"] = F.when(F.col("is_cut"), counted).otherwise(values["n_chars"])
+    return done.select(*(values[c].alias(c) for c in columns))
