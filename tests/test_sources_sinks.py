@@ -184,15 +184,16 @@ def test_published_scenario_is_replaced_not_added(spark, tmp_path):
 class _Session:
     """The parts of a session that the folder choice looks at."""
 
-    def __init__(self, master, folder=None):
+    def __init__(self, local, folder=None):
         self.conf = {"spark.checkpoint.dir": folder} if folder else {}
-        self.sparkContext = SimpleNamespace(master=master, applicationId="app-1")
+        context = SimpleNamespace(sc=lambda: SimpleNamespace(isLocal=lambda: local))
+        self.sparkContext = SimpleNamespace(_jsc=context, applicationId="app-1")
 
 
 def test_work_folder_follows_the_session_setting():
-    assert shared_dir(_Session("yarn", "hdfs://lake/work/")) == "hdfs://lake/work"
-    assert work_path(_Session("yarn", "hdfs://lake/work"), "x").startswith("hdfs://lake/work/candlelake/x-")
-    local = _Session("local[2]")
+    assert shared_dir(_Session(False, "hdfs://lake/work/")) == "hdfs://lake/work"
+    assert work_path(_Session(False, "hdfs://lake/work"), "x").startswith("hdfs://lake/work/candlelake/x-")
+    local = _Session(True)
     assert shared_dir(local) == shared_dir(local)
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
-        shared_dir(_Session("yarn"))
+        shared_dir(_Session(False))
