@@ -664,8 +664,10 @@ def oracle_sql() -> dict[str, str]:
               count(*) FILTER (m % 5 = 0) AS n_malformed FROM numbered)""",
     )
     q["stream_latency"] = f"WITH {MESSAGES} " + select(
-        "symbol n_messages# n_negative#",
-        "FROM (SELECT symbol, count(*) + count(*) FILTER (m % 3 = 0) AS n_messages, 0 AS n_negative FROM numbered GROUP BY 1)",
+        "symbol n_messages# n_negative# ready_ms#",
+        """FROM (SELECT symbol, count(*) AS n_messages, count(*) FILTER (close_time > CAST(now() AS TIMESTAMP)) AS n_negative,
+              sum(epoch_ms(close_time)) AS ready_ms
+              FROM (SELECT * FROM numbered UNION ALL SELECT * FROM numbered WHERE m % 3 = 0) GROUP BY 1)""",
     )
 
     # snapshots

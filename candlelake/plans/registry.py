@@ -869,10 +869,16 @@ def stream_malformed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def stream_latency(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Messages per symbol, and those whose write time precedes their event time."""
-    timed = _drain(spark, streaming.with_latency(streaming.closed_candles(_landed(spark, sf_dir))))
+    """Messages per symbol, those written before their candle was complete, and the sum of completion times in ms.
+
+    The last is write time less latency, so it is right only if latency is measured from the message's own time.
+    """
+    closed = streaming.closed_candles(_landed(spark, sf_dir), keep=["close_time"])
+    timed = _drain(spark, streaming.with_latency(closed))
     return timed.groupBy("symbol").agg(
-        F.count(F.lit(1)).alias("n_messages"), F.count_if(F.col("latency_ms") < 0).alias("n_negative")
+        F.count(F.lit(1)).alias("n_messages"),
+        F.count_if(F.col("latency_ms") < 0).alias("n_negative"),
+        F.sum(F.unix_millis("written_at") - F.col("latency_ms")).alias("ready_ms"),
     )
 
 

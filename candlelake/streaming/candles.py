@@ -41,10 +41,10 @@ def parse_messages(messages: DataFrame, text: str = "value") -> DataFrame:
     )
 
 
-def closed_candles(parsed: DataFrame) -> DataFrame:
-    """Well-formed candles whose interval has ended."""
+def closed_candles(parsed: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """Well-formed candles whose interval has ended; ``keep`` names further message fields to carry along."""
     kept = parsed.where(~F.col("is_malformed") & F.col("is_closed"))
-    return kept.select("timestamp", "symbol", "open", "high", "low", "close", "volume")
+    return kept.select("timestamp", "symbol", "open", "high", "low", "close", "volume", *keep)
 
 
 def dedup_stream(candles: DataFrame, late_limit: str = LATE_LIMIT) -> DataFrame:
@@ -82,12 +82,13 @@ def archive_columns(candles: DataFrame) -> DataFrame:
     return candles.withColumn("year", F.year("timestamp")).withColumn("month", F.month("timestamp"))
 
 
-def with_latency(candles: DataFrame) -> DataFrame:
-    """Add the write time of the micro-batch and the latency in milliseconds."""
+def with_latency(candles: DataFrame, ready_ms: str = "close_time") -> DataFrame:
+    """Add the write time of the micro-batch and the milliseconds since the candle was complete.
+
+    ``ready_ms`` is the message field, in milliseconds, that says when.
+    """
     now = F.current_timestamp()
-    return candles.withColumn("written_at", now).withColumn(
-        "latency_ms", F.unix_millis(now) - F.unix_millis("timestamp")
-    )
+    return candles.withColumn("written_at", now).withColumn("latency_ms", F.unix_millis(now) - F.col(ready_ms))
 
 
 @contextmanager

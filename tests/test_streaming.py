@@ -86,6 +86,6 @@ def test_hourly_summary_waits_for_the_watermark(spark, tmp_path):
 
 def test_latency(spark, tmp_path):
     land(tmp_path / "in", "a.txt", line(0))
-    stream = streaming.with_latency(streaming.closed_candles(parsed(spark, tmp_path / "in")))
+    stream = streaming.with_latency(streaming.closed_candles(parsed(spark, tmp_path / "in"), keep=["close_time"]))
     streaming.run_available(stream, str(tmp_path / "out"), str(tmp_path / "ckpt"))
     assert spark.read.parquet(str(tmp_path / "out")).first().latency_ms > 0
