@@ -1,7 +1,7 @@
 """Document fingerprints from closed syncmers, in DataFrame expressions only.
 
-A text is cut into units: runs of up to ``UNIT`` characters other than white space from the start of a
-word on, and single characters of scripts that don't part words. Of all runs of ``RUN`` units those are
+A text is cut into units: words between white space or, if it has characters of scripts that don't part
+words, those characters one by one and what stands between them. Of all runs of ``RUN`` units those are
 syncmers whose least inner pair of units, by hash, is the first or the last one. That depends on
 nothing outside the run, so an equal passage gives equal syncmers wherever it stands and whatever
 surrounds it. The fingerprint of a text is the ``SKETCH`` least hashes of its distinct syncmers.
@@ -14,9 +14,10 @@ from pyspark.sql import functions as F
 
 from candlelake.llm.stages import NULL_ID, doc_id, parts, stage
 
-UNIT, RUN, SKETCH = 8, 5, 64
-_DENSE = r"\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}"
-UNITS = rf"[{_DENSE}]|[^\s{_DENSE}]{{1,{UNIT}}}"
+RUN, SKETCH = 5, 64
+# Thai and Lao, Burmese, Khmer, Japanese syllables, Chinese characters
+_DENSE = r"\u0E00-\u0EFF\u1000-\u109F\u1780-\u17FF\u3040-\u30FF\u3400-\u4DBF\u4E00-\u9FFF\x{20000}-\x{3FFFF}"
+UNITS = rf"[{_DENSE}]|[^\s{_DENSE}]+"
 
 
 def _let(value: Column, body) -> Column:
@@ -24,10 +25,16 @@ def _let(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+def units_of(text: Column) -> Column:
+    """The units of a text; a text that is blank has one, which is empty."""
+    words = F.split(F.btrim(text, F.lit(" \t\n\x0b\f\r")), r"\s+")
+    return F.when(text.rlike(f"[{_DENSE}]"), F.regexp_extract_all(text, F.lit(UNITS), F.lit(0))).otherwise(words)
+
+
 def syncmers(text: Column) -> Column:
     """Array of ``place`` (number of the first unit) and ``hash`` of the syncmers of a text, in order.
 
-    A text of fewer than ``RUN`` units has one, of place -1, that stands for the whole text.
+    A text without any, such as one of fewer than ``RUN`` units, has one of place -1 that stands for the whole text.
     """
     inner = RUN - 1  # pairs of units in a run
 
@@ -51,15 +58,23 @@ def syncmers(text: Column) -> Column:
             i.alias("place"), F.xxhash64(F.get(p, i), F.get(p, i + 2), F.get(units, i + (RUN - 1))).alias("hash")
         )
 
-    units = F.transform(F.regexp_extract_all(text, F.lit(UNITS), F.lit(0)), lambda u: F.xxhash64(u))
+    units = F.transform(units_of(text), lambda u: F.xxhash64(u))
     whole = F.array(F.struct(F.lit(-1).alias("place"), F.xxhash64(text).alias("hash")))
-    return _let(units, lambda u: F.when(F.size(u) >= RUN, chosen(u)).otherwise(whole))
+    found = _let(units, lambda u: F.when(F.size(u) >= RUN, chosen(u)).otherwise(whole))
+    return _let(found, lambda s: F.when(F.size(s) > 0, s).otherwise(whole))
 
 
 def sketch(text: Column) -> Column:
     """The least distinct hashes of a text's syncmers, ascending, as numbers of 32 bits."""
+
+    def least(hashes: Column) -> Column:
+        # of many hashes, only those under a bound that leaves four times as many as needed; all, if it left too few
+        bound = F.floor(F.lit(4.0 * SKETCH * 2**32) / F.size(hashes))
+        low = F.array_distinct(F.filter(hashes, lambda h: h < bound))
+        return _let(low, lambda some: F.when(F.size(some) >= SKETCH, some).otherwise(F.array_distinct(hashes)))
+
     hashes = F.transform(syncmers(text), lambda s: s["hash"].bitwiseAND(F.lit(0xFFFFFFFF)))
-    return F.slice(F.array_sort(F.array_distinct(hashes)), 1, SKETCH)
+    return F.slice(F.array_sort(_let(hashes, least)), 1, SKETCH)
 
 
 def written(hashes: Column) -> Column:
