@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from candlelake.llm.stages import NULL_ID, doc_id, parts, stage
 
 RUN, SKETCH = 5, 64
+_HALF = 1 << 31
 # Thai and Lao, Burmese, Khmer, Japanese syllables, Chinese characters
 _DENSE = r"\u0E00-\u0EFF\u1000-\u109F\u1780-\u17FF\u3040-\u30FF\u3400-\u4DBF\u4E00-\u9FFF\x{20000}-\x{3FFFF}"
 UNITS = rf"[{_DENSE}]|[^\s{_DENSE}]+"
@@ -65,7 +66,7 @@ def syncmers(text: Column) -> Column:
 
 
 def sketch(text: Column) -> Column:
-    """The least distinct hashes of a text's syncmers, ascending, as numbers of 32 bits."""
+    """The least distinct hashes of a text's syncmers, ascending: 32 bits each, less ``_HALF`` to fit an int."""
 
     def least(hashes: Column) -> Column:
         # of many hashes, only those under a bound that leaves four times as many as needed; all, if it left too few
@@ -74,12 +75,13 @@ def sketch(text: Column) -> Column:
         return _let(low, lambda some: F.when(F.size(some) >= SKETCH, some).otherwise(F.array_distinct(hashes)))
 
     hashes = F.transform(syncmers(text), lambda s: s["hash"].bitwiseAND(F.lit(0xFFFFFFFF)))
-    return F.slice(F.array_sort(_let(hashes, least)), 1, SKETCH)
+    chosen = F.slice(F.array_sort(_let(hashes, least)), 1, SKETCH)
+    return F.transform(chosen, lambda h: (h - F.lit(_HALF)).cast("int"))
 
 
 def written(hashes: Column) -> Column:
     """A sketch as text: 8 hex digits a hash."""
-    return F.array_join(F.transform(hashes, lambda h: F.lower(F.lpad(F.hex(h), 8, "0"))), "")
+    return F.array_join(F.transform(hashes, lambda h: F.lower(F.lpad(F.hex(h.cast("long") + F.lit(_HALF)), 8, "0"))), "")
 
 
 def likeness(a: Column, b: Column) -> Column:
