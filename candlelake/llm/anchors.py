@@ -198,7 +198,8 @@ def search(keyed: DataFrame, units: Units, keep_first: bool) -> Repeats:
         "repeated-grams",
         small=True,
     )
-    kept = stage(rows.join(repeated, "gram"), "repeated")
+    # pieces of split partitions share tasks again: as many tasks as partitions, with equal numbers of pieces
+    kept = stage(rows.join(repeated, "gram").coalesce(parts(keyed.sparkSession)), "repeated")
     drop(rows, repeated)
     settled, firsts = _classes(kept, "gram", ["context"], keep_first)
     spans = [_spans(settled, F.lit(units.span), F.lit(units.window))]
