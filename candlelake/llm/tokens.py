@@ -8,6 +8,7 @@ that were seen before are looked up instead of being encoded again.
 from __future__ import annotations
 
 import re
+import string
 import zlib
 from functools import cache
 
@@ -23,7 +24,8 @@ END_ID = 1
 # chunks kept per Python worker (about 150 bytes each)
 MEMO_CHUNKS = 700_000
 BLOCK_IDS = 16_384
-_TAIL = b".,;:!?"
+# signs that never share a piece with a letter or digit before them: all but the apostrophe
+_TAIL = string.punctuation.replace("'", "").encode()
 _LETTERS = re.compile("[a-zß-öø-ÿ]+")
 
 
@@ -41,6 +43,7 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
         self.memo: dict[bytes, bytes] = {}
+        self.written = [i.to_bytes(4, "little") for i in range(self.tokenizer.get_vocab_size(with_added_tokens=True))]
         self.special = [token.content.encode() for token in self.tokenizer.get_added_tokens_decoder().values()]
         # the byte-level alphabet: printable Latin-1 characters stand for themselves, other bytes follow from 256 on
         plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -48,27 +51,22 @@ class Encoder:
         self.alphabet = {b: chr(b if b in plain else next(others)) for b in range(256)}
 
     def encode(self, text: bytes) -> bytes:
-        if any(s in text for s in self.special):
-            chunks = text.split()  # special strings are case-sensitive
-        else:
-            chunks = text.lower().split()
-        memo = self.memo
-        try:
-            return b"".join([memo[c] for c in chunks])
-        except KeyError:
-            pass
-        out = []
-        for chunk in chunks:
-            ids = memo.get(chunk)
-            if ids is None:
-                ids = self._learn(chunk)
-            out.append(ids)
-        return b"".join(out)
+        if any(s in text for s in self.special):  # they are case-sensitive, and may end in signs
+            return b"".join([self._ids(c) for c in text.split()])
+        chunks = text.lower().split()
+        found = list(map(self.memo.get, chunks))
+        if None in found:
+            for i, ids in enumerate(found):
+                if ids is None:
+                    found[i] = self._learn(chunks[i])
+        return b"".join(found)
 
     def _learn(self, chunk: bytes) -> bytes:
+        ids = self.memo.get(chunk)
+        if ids is not None:  # learned since, in the same text
+            return ids
         core = chunk.rstrip(_TAIL)
         if core != chunk and core and core[-1:].isalnum():
-            # a letter or digit and these signs never share a piece
             ids = self._look(core) + self._look(chunk[len(core) :])
         else:
             ids = self._ids(chunk)
@@ -87,10 +85,11 @@ class Encoder:
     def _ids(self, chunk: bytes) -> bytes:
         word = chunk.decode()
         if _LETTERS.fullmatch(word):  # one piece, already normal: only the model is left to run
-            ids = [t.id for t in self.model.tokenize("".join([self.alphabet[b] for b in chunk]))]
+            piece = word if chunk.isascii() else "".join([self.alphabet[b] for b in chunk])
+            ids = [t.id for t in self.model.tokenize(piece)]
         else:
             ids = self.tokenizer.encode(word, add_special_tokens=False).ids
-        return np.array(ids, "<u4").tobytes()
+        return b"".join([self.written[i] for i in ids])
 
 
 _END = np.array([END_ID], "<u4").tobytes()
