@@ -29,7 +29,7 @@ def select(spec: str, source: str) -> str:
     for item in spec.split():
         name, mark = (item[:-1], item[-1]) if item[-1] in "~@#%" else (item, "")
         shown = {
-            "~": f'round(CAST("{name}" AS DOUBLE) * 1e6) / 1e6 + 0.0',
+            "~": f'round(CAST("{name}" AS DOUBLE) * 1e6 + 0.01) / 1e6 + 0.0',
             "@": f'CAST(CAST("{name}" AS DATE) AS VARCHAR)',
             "#": f'CAST("{name}" AS BIGINT)',
             "%": f'CAST("{name}" AS INTEGER)',
