@@ -1,7 +1,9 @@
 """Mixing documents so that domains get target shares of the tokens, by soft membership.
 
-A naive-Bayes classifier over hashed words and signs, learned from a labelled table, gives every document a
-probability for each domain. Projected-gradient least squares then finds nonnegative
+A naive-Bayes classifier over distinct words and signs, learned from a labelled table, gives every document a
+probability for each domain. A word's weight compares its share among all distinct words that documents of a domain show, so a long
+text, which shows more of everything, is no likelier in any domain for its length. What a missing word says
+does not depend on the length either. Projected-gradient least squares then finds nonnegative
 rates: with ``t`` tokens and posteriors ``p`` of a document, the sums of ``rate * t * p`` over all documents
 shall equal the targets. Gradients are measured per token (a document's weight is ``t``) and scaled by the
 inverse Gram matrix of the domains over the documents with a rate, and a step is
@@ -20,10 +22,12 @@ from pyspark.sql import functions as F
 from candlelake.llm.stages import stage
 
 DOMAINS = ("good", "poor", "toxic")
-# labelled documents used for the fit; hashed features; documents that must show a feature
+# labelled documents used for the fit; documents that must show a word; weights that are broadcast (32 bytes each)
 MOST_TRAINING = 20_000
-FEATURES = 1 << 13
-LEAST_SUPPORT = 5
+LEAST_SUPPORT = 3
+MOST_BROADCAST = 200_000
+# weights are whole numbers of this size, so that sums don't depend on their order
+_UNIT = 1e-9
 _TEMPERATURES = [round(float(x), 3) for x in np.geomspace(0.5, 30, 24)]
 MOST_STEPS, TOLERANCE = 60, 1e-6
 # words, or runs of other signs
@@ -41,30 +45,27 @@ def _tokens(text: str | Column) -> Column:
 
 
 def _features(tokens: Column) -> Column:
-    return F.array_distinct(F.transform(tokens, lambda t: F.pmod(F.hash(t), F.lit(FEATURES))))
-
-
-def _numbers(values) -> Column:
-    """A constant array; as text, since a literal per value would be slow to plan."""
-    return F.split(F.lit(",".join(f"{float(v):.6g}" for v in values)), ",").cast("array<double>")
+    return F.array_distinct(F.transform(tokens, lambda t: F.xxhash64(t)))
 
 
 @dataclass(frozen=True)
 class Classifier:
-    prior: np.ndarray  # log-odds of a text without any feature
-    weights: np.ndarray  # domains x features
+    prior: np.ndarray  # log-odds of a text without any known word
+    weights: DataFrame  # word (its hash) and the weight of every domain, w0, w1, ...
+    broadcast: bool  # whether the weights are few enough
     temperature: float = 1.0
 
-    def scores(self, features: Column) -> list[Column]:
-        """Log-odds of every domain before the temperature."""
-        used = np.abs(self.weights).max(0) > 0
-        known = F.filter(features, lambda f: F.get(_numbers(used), f) > 0)
-
-        def score(d: int) -> Column:
-            weights = _numbers(self.weights[d])
-            return F.aggregate(known, F.lit(float(self.prior[d])), lambda s, f: s + F.get(weights, f))
-
-        return [score(d) for d in range(len(DOMAINS))]
+    def scores(self, rows: DataFrame, features: str) -> DataFrame:
+        """``rows`` with an array ``_scores`` in place of ``features``: log-odds of every domain before the temperature."""
+        others = [F.col(f"`{c}`") for c in rows.columns if c != features]
+        # numbered below the explode, not in one select with it, which would number its rows
+        numbered = rows.withColumn("_row", F.monotonically_increasing_id())
+        words = numbered.select("_row", *others, F.explode_outer(features).alias("_word"))
+        weights = F.broadcast(self.weights) if self.broadcast else self.weights
+        joined = words.join(weights.withColumnRenamed("word", "_word"), "_word", "left")
+        sums = joined.groupBy("_row", *others).agg(*(F.sum(f"w{d}").alias(f"_s{d}") for d in range(len(DOMAINS))))
+        scores = [F.coalesce(f"_s{d}", F.lit(0)) * _UNIT + float(self.prior[d]) for d in range(len(DOMAINS))]
+        return sums.select(*others, F.array(*scores).alias("_scores"))
 
 
 def _softmax(scores: list[Column], temperature: float) -> list[Column]:
@@ -85,54 +86,75 @@ def train(docs: DataFrame, labels: DataFrame) -> Classifier:
     # at most MOST_TRAINING ids and numbers
     texts = docs.select("doc_id", "text").where("text is not null").join(F.broadcast(chosen), "doc_id")
     rows = stage(texts.select("domain", _features(_tokens("text")).alias("features")), "mixing-sample")
-    sizes = np.zeros(len(DOMAINS))
-    for r in rows.groupBy("domain").count().collect():
-        sizes[r["domain"]] = r["count"]
-    shown = np.zeros((len(DOMAINS), FEATURES))
-    counts = rows.select("domain", F.explode("features").alias("f")).groupBy("domain", "f").count()
-    # at most a row per domain and feature
-    for r in counts.collect():
-        shown[r["domain"], r["f"]] = r["count"]
+    sizes, shown = np.zeros(len(DOMAINS)), np.zeros(len(DOMAINS))
+    for r in rows.groupBy("domain").agg(F.count("*").alias("n"), F.sum(F.size("features")).alias("shown")).collect():
+        sizes[r["domain"]], shown[r["domain"]] = r["n"], r["shown"]
     prior = np.log((sizes + 1) / (sizes + 1).sum())
-    rate = (shown + 1) / (sizes[:, None] + 2)
-    overall = (shown.sum(0) + 1) / (sizes.sum() + 2)
-    # what a feature says if it is there, and what it says if it isn't
-    weights = np.log(rate / (1 - rate)) - np.log(overall / (1 - overall))
-    absent = np.log((1 - rate) / (1 - overall))
-    # features that are rare, or as frequent everywhere, say nothing
-    silent = (shown.sum(0) < LEAST_SUPPORT) | (np.ptp(weights, axis=0) < 0.7)
-    weights[:, silent] = absent[:, silent] = 0
-    weights[sizes == 0] = absent[sizes == 0] = 0
-    prior += absent.sum(1)
-    fitted = Classifier(prior, weights)
-    scored = rows.select("domain", F.array(*fitted.scores(F.col("features"))).alias("s"))
+    known = stage(_weights(rows, sizes, shown), "mixing-weights", small=True)
+    total = known.agg(F.count("*"), *(F.coalesce(F.sum(f"absent{d}"), F.lit(0)) for d in range(len(DOMAINS)))).first()
+    prior += np.array(total[1:], float) * _UNIT
+    weights = known.select("word", *(f"w{d}" for d in range(len(DOMAINS))))
+    fitted = Classifier(prior, weights, total[0] <= MOST_BROADCAST)
+    scored = fitted.scores(rows, "features")
     losses = []
     for t in _TEMPERATURES:
-        p = _softmax([F.get("s", F.lit(d)) for d in range(len(DOMAINS))], t)
+        p = _softmax([F.get("_scores", F.lit(d)) for d in range(len(DOMAINS))], t)
         losses.append(F.avg(-F.log(F.get(F.array(*p), F.col("domain")) + 1e-9)).alias(f"t{len(losses)}"))
     found = scored.agg(*losses).first()
     best = min(range(len(losses)), key=lambda i: np.inf if found[i] is None else found[i])
-    return Classifier(prior, weights, _TEMPERATURES[best])
+    return Classifier(prior, weights, fitted.broadcast, _TEMPERATURES[best])
+
+
+def _weights(rows: DataFrame, sizes: np.ndarray, shown: np.ndarray) -> DataFrame:
+    """``word, absent0, absent1, ..., w0, w1, ...`` (what its absence says, and its presence beyond that) of the words whose shares differ between domains by more than chance.
+
+    The measure is the likelihood ratio of the counts. Its bound lets about one word pass that says nothing.
+    ``sizes``: documents by domain; ``shown``: their words.
+    """
+    domains = range(len(DOMAINS))
+    counts = rows.select("domain", F.explode("features").alias("word")).groupBy("word")
+    counts = counts.agg(F.count("*").alias("n"), *(F.count_if(F.col("domain") == d).alias(f"n{d}") for d in domains))
+    counts = stage(counts, "mixing-words")
+    share = shown / max(1.0, shown.sum())
+
+    def surprise(d: int) -> Column:
+        n = F.col(f"n{d}")
+        return F.when(n > 0, n * F.log(n / (F.col("n") * float(share[d])))).otherwise(0.0)
+
+    def weight(d: int) -> Column:
+        if not shown[d]:
+            return F.lit(0)
+        own = (F.col(f"n{d}") + 0.5 * float(share[d])) / float(shown[d] + 0.5)
+        overall = (F.col("n") + 0.5) / float(shown.sum() + 0.5)
+        return F.round(F.log(own / overall) / _UNIT)
+
+    def absent(d: int) -> Column:
+        if not shown[d]:
+            return F.lit(0)
+        rate, overall = (F.col(f"n{d}") + 1) / float(sizes[d] + 2), (F.col("n") + 1) / float(sizes.sum() + 2)
+        return F.round(F.log((1 - rate) / (1 - overall)) / _UNIT)
+
+    telling = 2 * sum((surprise(d) for d in domains[1:]), surprise(0)) > 2 * float(np.log(max(1, counts.count())))
+    known = counts.where((F.col("n") >= LEAST_SUPPORT) & telling)
+    return known.select(
+        "word",
+        *(absent(d).cast("long").alias(f"absent{d}") for d in domains),
+        *((weight(d) - absent(d)).cast("long").alias(f"w{d}") for d in domains),
+    )
 
 
 def with_posteriors(docs: DataFrame, classifier: Classifier, names: list[str]) -> DataFrame:
-    """``docs`` with their number of tokens and the posterior of every domain, called ``names``."""
+    """``docs`` with, in place of ``text``, their number of tokens and the posterior of every domain, called ``names``."""
 
     def describe(tokens):
-        scores = F.transform(F.array(_features(tokens)), lambda f: F.array(*classifier.scores(f)))[0]
-        p = F.transform(
-            F.array(scores), lambda s: F.array(*_softmax([F.get(s, F.lit(d)) for d in range(len(DOMAINS))], classifier.temperature))
-        )[0]
-        return F.struct(F.size(tokens).cast("long").alias("t"), p.alias("p"))
+        return F.struct(F.size(tokens).cast("long").alias("t"), _features(tokens).alias("f"))
 
+    others = [F.col(f"`{c}`") for c in docs.columns if c != "text"]
     # arrays of one value bind a result to a name, so that it is computed once
-    found = F.transform(F.array(_tokens("text")), describe)
-    wide = docs.select(*(F.col(f"`{c}`") for c in docs.columns), F.inline(found).alias("_tokens", "_posteriors"))
-    return wide.select(
-        *(F.col(f"`{c}`") for c in docs.columns),
-        F.col("_tokens").alias(names[0]),
-        *(F.get("_posteriors", F.lit(d)).alias(n) for d, n in enumerate(names[1:])),
-    )
+    wide = docs.select(*others, F.inline(F.transform(F.array(_tokens("text")), describe)).alias(names[0], "_features"))
+    scored = classifier.scores(wide, "_features")
+    p = _softmax([F.get("_scores", F.lit(d)) for d in range(len(DOMAINS))], classifier.temperature)
+    return scored.select(*others, names[0], *(x.alias(n) for x, n in zip(p, names[1:])))
 
 
 def rate_of(multipliers: list[np.ndarray], posteriors: list[str]) -> Column:
@@ -210,16 +232,21 @@ def mixing_rates(docs: DataFrame, labels: DataFrame, targets: dict[str, float])
     the documents can't reach are met as nearly as nonnegative rates allow. An empty table gives no rows.
     """
     base = docs.select("doc_id", "text", "source")
-    scored = stage(with_posteriors(base, train(docs, labels), TOKEN_NAMES).drop("text"), "posteriors")
+    scored = stage(with_posteriors(base, train(docs, labels), TOKEN_NAMES), "posteriors")
     steps = fit_rates(scored, targets, TOKEN_NAMES[0], TOKEN_NAMES[1:])
     return scored.withColumn("rate", rate_of(steps, TOKEN_NAMES[1:])).withColumn("copies", _copies())
 
 
 def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float]) -> DataFrame:
     """Rows of ``docs`` repeated by their copies; rows with none are dropped. Columns stay as they are."""
-    inner = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), "doc_id", "text")
-    scored = stage(with_posteriors(inner, train(docs, labels), TOKEN_NAMES).drop("text"), "posteriors")
+    text = F.xxhash64(F.coalesce("text", F.lit("")))
+    keyed = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), F.col("doc_id").alias("did"), text.alias("th"))
+    base = docs.select("doc_id", text.alias("th"), "text")
+    scored = stage(with_posteriors(base, train(docs, labels), TOKEN_NAMES), "posteriors")
     steps = fit_rates(scored, targets, TOKEN_NAMES[0], TOKEN_NAMES[1:])
     rated = scored.withColumn("rate", rate_of(steps, TOKEN_NAMES[1:])).withColumn("copies", _copies())
-    repeated = rated.where("copies > 0").select("row", F.explode(F.sequence(F.lit(1), F.col("copies"))))
+    # rows of one id and text are alike in everything
+    once = rated.where("copies > 0").groupBy("doc_id", "th").agg(F.max("copies").alias("copies"))
+    joined = keyed.join(once, keyed["did"].eqNullSafe(once["doc_id"]) & (keyed["th"] == once["th"]))
+    repeated = joined.select("row", F.explode(F.sequence(F.lit(1), F.col("copies"))))
     return repeated.select("row.*")

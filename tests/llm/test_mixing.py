@@ -2,6 +2,7 @@
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from candlelake.llm import mixing
 
@@ -86,3 +87,32 @@ def test_no_labels_and_empty(spark):
     assert mixing.mix(docs.limit(0), labels, TARGETS).count() == 0
     with pytest.raises(ValueError, match="targets"):
         mixing.mixing_rates(docs, labels, {"good": -1, "poor": 1, "toxic": 1})
+
+
+def test_held_out_posteriors(spark):
+    """Learned from four of five labelled rows of the given tables, the posteriors hold for the fifth."""
+    sf_dir = "/root/testdata/sf0.1"
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    held = F.pmod(F.xxhash64("doc_id", F.lit("fold")), F.lit(5)) == 0
+    classifier = mixing.train(docs, labels.where(~held))
+    truth = labels.where(held).groupBy("doc_id").agg(F.max("toxic").alias("toxic"), F.min("quality").alias("quality"))
+    truth = truth.select("doc_id", mixing.domain_of_labels().alias("domain")).where("domain is not null")
+    names = ["tokens", "p0", "p1", "p2"]
+    rows = mixing.with_posteriors(docs.select("doc_id", "text"), classifier, names).join(truth, "doc_id").collect()
+    p, y = np.array([r[2:5] for r in rows]), np.array([r.domain for r in rows])
+    t, told = np.array([r.tokens for r in rows]), np.array([r[2:5] for r in rows]).argmax(1)
+    loss = -np.log(p[np.arange(len(y)), y] + 1e-9).mean()
+    toxic = told == 2
+    figures = f"accuracy {(told == y).mean():.3f}, log-loss {loss:.3f}, short toxic {toxic[(y == 2) & (t < 300)].mean():.3f}, "
+    figures += f"long clean as toxic {toxic[(y == 0) & (t > 2000)].sum()} of {((y == 0) & (t > 2000)).sum()}"
+    print(figures)
+    assert (told == y).mean() > 0.85 > (y == 0).mean() and loss < 0.5, figures
+    assert toxic[(y == 2) & (t < 300)].mean() > 0.7 and toxic[(y == 0) & (t > 2000)].mean() < 0.3, figures
+
+
+def test_weights_that_are_too_many_are_joined_by_key(spark, monkeypatch):
+    docs, labels = table(spark, 60)
+    few = {tuple(r) for r in mixing.mixing_rates(docs, labels, TARGETS).collect()}
+    monkeypatch.setattr(mixing, "MOST_BROADCAST", 0)
+    assert {tuple(r) for r in mixing.mixing_rates(docs, labels, TARGETS).collect()} == few
