@@ -1,5 +1,7 @@
 """Known licences and notices: fixed values."""
 
+from pathlib import Path
+
 _MIT_GRANT = (
     "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
     'documentation files (the "Software"), to deal in the Software without restriction, including without limitation '
@@ -89,6 +91,8 @@ LICENSES = [
     ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
     ("MIT", "Released under the MIT License."),
     ("MIT", "SPDX-License-Identifier: MIT"),
+    # full texts, as their publishers give them
+    *((f.stem, f.read_text()) for f in sorted((Path(__file__).parent / "license_files").glob("*.txt"))),
 ]
 
 # (spelling, equivalent), of lower-case words without punctuation

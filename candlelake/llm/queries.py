@@ -70,6 +70,14 @@ def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 ORACLES["op6_license_scan"] = licenses.oracle()
 
 
+@query
+def op6_license_statements(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.statements(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op6_license_statements"] = licenses.statements_oracle()
+
+
 @query
 def op7_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = vectors.usable(table(spark, sf_dir, "embeddings"), "vec_id", "embedding")

@@ -37,3 +37,35 @@ def test_query_equals_sql(spark):
     assert differences(df, connect(sf_dir), ORACLES["op6_license_scan"]) == []
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_full_texts_are_known():
+    names = {name for name, text in LICENSES if len(text) > 1000}
+    assert {"Apache-2.0", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "MPL-2.0", "CC0-1.0", "Unlicense"} <= names
+
+
+def test_planted_statements(spark):
+    mit = LICENSES[1][1]
+    rows = [
+        (1, "Some prose.\nReleased under the MIT Licence!\nMore prose."),
+        (2, "Some prose.\n\n" + mit.replace("and to permit", "and\nto permit") + "\nMore prose."),
+        (3, "Prose that is not released under the MIT License."),
+        (4, None),
+        (5, ""),
+        (6, "licensed under CC BY 4.0"),
+    ]
+    found = licenses.statements(spark.createDataFrame([(*r, "", 0) for r in rows], SCHEMA)).collect()
+    got = {(r.doc_id, r.kind, r.number, r.license) for r in found}
+    assert {(1, "line", 2, "MIT"), (6, "line", 1, "CC-BY-4.0")} <= got
+    assert any(d == 2 and kind == "paragraph" and "MIT" in name.split(" or ") for d, kind, _, name in got)
+    assert {d for d, *_ in got} == {1, 2, 6}
+    assert licenses.statements(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_statements_equal_sql(spark):
+    sf_dir = "/root/testdata/sf0.01"
+    df = QUERIES["op6_license_statements"](spark, sf_dir)
+    assert df.count() > 0
+    assert differences(df, connect(sf_dir), ORACLES["op6_license_statements"]) == []
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan
