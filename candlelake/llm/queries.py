@@ -6,7 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from candlelake.llm import langid, licenses, mixing, packing, simhash, substring_automaton, suffix_array, syncmers, tokens, vectors
+from candlelake.llm import (
+    bisectors,
+    exact_copies,
+    importance,
+    langid,
+    licenses,
+    mixing,
+    packing,
+    simhash,
+    substring_automaton,
+    suffix_array,
+    syncmers,
+    tokens,
+    vectors,
+)
 from candlelake.session import use_utc
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -97,3 +111,27 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixing_rates(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), TARGETS)
+
+
+@query
+def op11_exact_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_copies.groups(table(spark, sf_dir, "documents"), digests=True)
+
+
+ORACLES["op11_exact_copies"] = exact_copies.oracle()
+
+
+@query
+def op12_bisector_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bisectors.report(table(spark, sf_dir, "embeddings"))
+
+
+ORACLES["op12_bisector_clusters"] = bisectors.oracle()
+
+
+@query
+def op13_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+ORACLES["op13_importance"] = importance.oracle()
