@@ -23,7 +23,7 @@ from candlelake.llm.stages import drop, map_arrow, parts, stage
 BUCKETS, LONGEST, SEED = 10_000, 1, 2024
 LEAST_WORDS, PERCENT = 20, 10
 # samples in all from which the splitters are taken, and the most segments
-SAMPLES, SEGMENTS = 1 << 18, 512
+SAMPLES, SEGMENTS = 1 << 16, 512
 # words kept per Python worker with their buckets; bytes of a text that are cut into words at a time
 _MEMO, _PIECE = 700_000, 1 << 22
 _LAST = 2**63 - 1
