@@ -5,6 +5,7 @@ from candlelake.functions.expressions import (
     ohlc_rules,
 )
 from candlelake.functions.lookback import over_lookback, with_lookback
+from candlelake.functions.prefix import running_product
 
 __all__ = [
     "diversification_label",
@@ -12,5 +13,6 @@ __all__ = [
     "hashed_uniform",
     "ohlc_rules",
     "over_lookback",
+    "running_product",
     "with_lookback",
 ]

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from candlelake.functions import diversification_label, divide_or
+from candlelake.functions import diversification_label, divide_or, running_product
 
 # The three weight thresholds in use.
 ACTIVE_WEIGHT = 1e-6  # counts as an active asset
@@ -116,6 +116,25 @@ def backtest(series: DataFrame, capital: float) -> DataFrame:
     )
 
 
+def value_paths(
+    returns: DataFrame, capital: float, chunk: Column, key: str = "symbol", order: str = "timestamp", ret: str = "ret"
+) -> DataFrame:
+    """``portfolio_value, peak, cumulative_return, drawdown`` after every return of a series of any length.
+
+    As ``backtest``, for series that no task could hold: chunks are walked apart and linked by ``running_product``. The peak starts at the
+    initial capital; a null return leaves the value as it is.
+    """
+    walked = running_product(returns, key, order, 1 + F.col(ret), chunk)
+    value, peak = F.col("product") * capital, F.greatest(F.lit(1.0), "peak") * capital
+    return walked.select(
+        *returns.columns,
+        value.alias("portfolio_value"),
+        peak.alias("peak"),
+        (F.col("product") - 1).alias("cumulative_return"),
+        F.when(peak != 0, value / peak - 1).otherwise(0.0).alias("drawdown"),
+    )
+
+
 def with_benchmark_value(paths: DataFrame, benchmark: str = "benchmark") -> DataFrame:
     """Value of the benchmark on the same date; null on the benchmark's own rows.
 

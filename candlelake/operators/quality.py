@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import functions as F
 
 from candlelake.functions import ohlc_rules, over_lookback
+from candlelake.operators import bitmaps
 
 
 # columns that the range rules look at
@@ -60,24 +61,11 @@ def gaps(candles: DataFrame, unit_seconds: int, chunk: str = "day") -> DataFrame
 
 
 def missing_slots(candles: DataFrame, unit_seconds: int) -> DataFrame:
-    """Missing bars per symbol and day, from its first day to the table's last; days without any bar included."""
-    per_day = 86400 // unit_seconds
-    slot = F.floor(F.unix_seconds("timestamp") / unit_seconds)
-    # one row per slot first: repeated candles of a slot never meet in one task
-    slots = candles.select("symbol", F.to_date("timestamp").alias("date"), slot.alias("slot")).distinct()
-    present = slots.groupBy("symbol", "date").agg(F.count(F.lit(1)).alias("n_present"))
-    last = present.agg(F.max("date")).scalar()
-    calendar = (
-        present.groupBy("symbol")
-        .agg(F.min("date").alias("first"))
-        .select("symbol", F.explode(F.sequence(F.col("first"), last)).alias("date"))
-    )
-    return calendar.join(present, ["symbol", "date"], "left").select(
-        "symbol",
-        "date",
-        F.coalesce("n_present", F.lit(0)).alias("n_present"),
-        (F.lit(per_day) - F.coalesce("n_present", F.lit(0))).alias("n_missing"),
-    )
+    """Missing bars per symbol and day, from its first day to the table's last; days without any bar included.
+
+    Bars become bits before anything is shuffled, and repeated candles set one bit.
+    """
+    return bitmaps.missing_slots(bitmaps.slot_bitmaps(candles, unit_seconds), unit_seconds)
 
 
 def freshness(candles: DataFrame, now: Column, limit_seconds: int = 300) -> DataFrame:
@@ -123,13 +111,14 @@ def guard_report(
 
     Prices are checked where a return is measured from them: on all dates of the panel but the last.
     """
-    members = closes.join(universe.select("symbol"), "symbol", "left_semi")
+    # counted by union and group: a symbol list may hold constants, which a join by key would turn into a join without one
+    listed = universe.select("symbol", F.lit(1).alias("listed"), F.lit(0).alias("known"))
+    both = listed.unionByName(closes.select("symbol", F.lit(0).alias("listed"), F.lit(1).alias("known")))
+    seen = both.groupBy("symbol").agg(F.max("listed").alias("listed"), F.max("known").alias("known"))
     earlier = panel.where(F.col("date") < panel.agg(F.max("date")).scalar())
     checks = {
         "price_not_positive": earlier.agg(F.count_if(F.col("close") <= 0)),
-        "symbol_without_history": universe.join(
-            members.select("symbol").distinct(), "symbol", "left_anti"
-        ).agg(F.count(F.lit(1))),
+        "symbol_without_history": seen.agg(F.count_if((F.col("listed") == 1) & (F.col("known") == 0))),
         "benchmark_missing": universe.agg(
             F.when(F.count_if(F.col("symbol") == benchmark) > 0, 0).otherwise(1)
         ),

@@ -19,6 +19,45 @@ def flatten_snapshots(payloads: DataFrame, text: str = "payload") -> DataFrame:
     return parsed.select(F.col("p.snapshot_time").alias("snapshot_time"), F.inline("p.coins"))
 
 
+# why a payload is rejected
+NOT_JSON, NO_TIME, NO_COINS = "not JSON", "no snapshot_time", "no list of coins"
+
+
+def parse_payloads(payloads: DataFrame, text: str = "payload") -> DataFrame:
+    """``payload, snapshot_time, coins, reject``: payloads as variants, so no field has to be known beforehand.
+
+    ``coins`` is an array of variants. ``reject`` says why a payload gives no coins, and is null for a good one; no payload vanishes.
+    """
+    whole = payloads.select(F.col(text).alias("payload"), F.try_parse_json(text).alias("v"))
+    read = whole.select(
+        "payload",
+        "v",
+        F.try_variant_get("v", "$.snapshot_time", "timestamp").alias("snapshot_time"),
+        F.try_variant_get("v", "$.coins", "array<variant>").alias("coins"),
+    )
+    reject = (
+        F.when(F.isnull("v") | F.is_variant_null("v"), NOT_JSON)
+        .when(F.isnull("snapshot_time"), NO_TIME)
+        .when(F.isnull("coins"), NO_COINS)
+    )
+    return read.select("payload", "snapshot_time", "coins", reject.alias("reject"))
+
+
+def flatten_variants(parsed: DataFrame, **more: str) -> DataFrame:
+    """One row per coin of the good payloads, with the whole coin as a variant ``coin`` and further fields ``more`` (name: type) taken from it.
+
+    A field that is missing or of another type is null in its column and unchanged in ``coin``.
+    """
+    coins = parsed.where(F.isnull("reject")).select("snapshot_time", F.explode("coins").alias("coin"))
+    fields = {"coin_id": "string", "current_price": "double", "total_volume": "double", **more}
+    return coins.select("snapshot_time", *(F.try_variant_get("coin", f"$.{n}", t).alias(n) for n, t in fields.items()), "coin")
+
+
+def rejected_payloads(parsed: DataFrame) -> DataFrame:
+    """``reject, n_payloads`` of the payloads that give no coins."""
+    return parsed.where(F.isnotnull("reject")).groupBy("reject").agg(F.count(F.lit(1)).alias("n_payloads"))
+
+
 def trending_frequency(trending: DataFrame) -> DataFrame:
     """How often each coin trended, per day."""
     return trending.groupBy(F.to_date("snapshot_time").alias("date"), "coin_id").agg(

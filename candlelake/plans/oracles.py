@@ -13,7 +13,11 @@ from candlelake.plans.registry import (
     EVENT_LOOKBACK,
     EVENT_MIN_HISTORY,
     EXCLUDED,
+    LANDINGS,
     NOW,
+    RECENT_DAYS,
+    SETTLED,
+    SHORT_HISTORY,
     SPLIT,
 )
 from candlelake.schemas import CANDLE_COLUMNS, DOUBLE_COLUMNS
@@ -395,6 +399,22 @@ def oracle_sql() -> dict[str, str]:
             UNION ALL SELECT *, 'none' FROM closes)""",
     )
 
+    q["footer_bounds"] = f"WITH {MINUTE} " + select(
+        "date@ n_rows# min_open_ms# max_open_ms# min_number_of_trades# max_number_of_trades# min_close~ max_close~",
+        """FROM (SELECT CAST("timestamp" AS DATE) AS date, count(*) AS n_rows, min(epoch_ms("timestamp")) AS min_open_ms,
+              max(epoch_ms("timestamp")) AS max_open_ms, min(number_of_trades) AS min_number_of_trades,
+              max(number_of_trades) AS max_number_of_trades, min(close) AS min_close, max(close) AS max_close FROM bars GROUP BY 1)""",
+    )
+    keys = {"events": "event_id", "lineitem": "l_orderkey", "orders": "o_orderkey", "documents": "doc_id"}
+    q["footer_totals"] = " UNION ALL ".join(
+        f"SELECT '{name}' AS table_name, count(*) AS n_rows, min({key}) AS first_key, max({key}) AS last_key FROM {name}" for name, key in keys.items()
+    )
+    q["lake_universe_scan"] = f"WITH {MINUTE} " + select(
+        CANDLE_SPEC + " date@",
+        """FROM (SELECT *, CAST("timestamp" AS DATE) AS date FROM bars
+              WHERE symbol IN (SELECT symbol FROM (SELECT symbol, row_number() OVER (ORDER BY symbol) AS n FROM bars GROUP BY symbol) WHERE n > 2))""",
+    )
+
     # sinks
     for name in ("partitioned_overwrite", "partitioned_append", "append_missing_partitions", "serving_load"):
         q[name] = f"WITH {MINUTE} " + DATED
@@ -467,6 +487,9 @@ def oracle_sql() -> dict[str, str]:
         "symbol date@ n_present# n_missing#",
         "FROM (SELECT symbol, date, coalesce(n, 0) AS n_present, 1440 - coalesce(n, 0) AS n_missing FROM span LEFT JOIN days USING (symbol, date))",
     )
+    q["bitmap_missing_slots"] = q["missing_slots"]
+    q["bitmap_gaps"] = q["minute_gaps"]
+    q["bitmap_common_dates"] = f"WITH {PRIORITY_CLOSES}, {universe()} " + select("date@", "FROM common")
     q["duplicate_keys"] = f"WITH {MINUTE}, {DIRTY} " + select(
         "symbol timestamp n_rows#",
         'FROM (SELECT trim(symbol) AS symbol, "timestamp", count(*) AS n_rows FROM dirty GROUP BY 1, 2 HAVING count(*) > 1)',
@@ -569,6 +592,14 @@ def oracle_sql() -> dict[str, str]:
         + panel_sql(CONFIG.lookback, CONFIG.min_history, CONFIG.lookback + CONFIG.buffer)
         + select("symbol ord% date@ close~", " FROM panel")
     )
+    cases = [
+        select(
+            "symbol ord% date@ close~ days%",
+            f"FROM (WITH {PRIORITY_CLOSES}, {universe()}, {panel_sql(CONFIG.lookback, SHORT_HISTORY, days)} SELECT *, {days} AS days FROM panel)",
+        )
+        for days in RECENT_DAYS
+    ]
+    q["panel_fallback_cases"] = " UNION ALL ".join(cases)
     q["asset_returns"] = EVENT_RETURNS + select("symbol ord% date@ ret~", " FROM rets")
     q["return_stats"] = EVENT_RETURNS + select("symbol ord% mean_return~ stddev_return~ n_returns#", " FROM stats")
     q["covariance_matrix"] = f"{EVENT_RETURNS}, {MATRIX} " + select("symbol_x symbol_y covariance~", "FROM matrix")
@@ -583,6 +614,18 @@ def oracle_sql() -> dict[str, str]:
               r AS daily_return, portfolio_value / peak - 1 AS drawdown FROM p)""",
     )
 
+    q["value_paths"] = f"""WITH {MINUTE}, {RETURNS},
+      v AS (SELECT *, product(1 + coalesce(ret, 0)) OVER w AS portfolio_value FROM rr WINDOW w AS (PARTITION BY symbol ORDER BY "timestamp")),
+      p AS (SELECT *, greatest(1.0, max(portfolio_value) OVER (PARTITION BY symbol ORDER BY "timestamp")) AS peak FROM v)
+      """ + select(
+        "symbol timestamp portfolio_value~ peak~ cumulative_return~ drawdown~",
+        "FROM (SELECT *, portfolio_value - 1 AS cumulative_return, portfolio_value / peak - 1 AS drawdown FROM p)",
+    )
+    q["strict_runs"] = f"""SELECT * FROM (VALUES
+      ('sound', NULL), ('benchmark', 'benchmark symbol BRAND#0 is missing or stale'),
+      ('history', 'need at least 100001 common dates, got 0'), ('price', 'close is not positive for BRAND#10'),
+      ('weights', 'weight string of baseline rejected: 0 bad items, total 1.25')) t(inputs, reason)"""
+
     # portfolios
     def scenario(spec: str, source: str) -> str:
         return SCENARIO + "\n" + select(spec, source)
@@ -670,7 +713,49 @@ def oracle_sql() -> dict[str, str]:
               FROM (SELECT * FROM numbered UNION ALL SELECT * FROM numbered WHERE m % 3 = 0) GROUP BY 1)""",
     )
 
+    q["stream_hourly_restart"] = q["stream_hourly"]
+    q["stream_metrics"] = f"WITH {MESSAGES} " + select(
+        "n_rows# n_malformed# n_unclosed# n_violations# n_closed# newest lag_seconds#",
+        f"""FROM (SELECT count(*) + count(*) FILTER (m % 3 = 0) + count(*) FILTER (m % 2 = 0) + count(*) FILTER (m % 5 = 0) AS n_rows,
+              count(*) FILTER (m % 5 = 0) AS n_malformed, count(*) FILTER (m % 2 = 0) AS n_unclosed,
+              count(*) FILTER (NOT ({STRICT})) AS n_violations, count(*) + count(*) FILTER (m % 3 = 0) AS n_closed,
+              max("timestamp") AS newest, epoch(TIMESTAMP '{NOW}') - epoch(max("timestamp")) AS lag_seconds FROM numbered)""",
+    )
+    loads = []
+    for unit in ("minute", "hour"):
+        parts = [bars(unit), DIRTY, first_rows("complete", "cleaned")]
+        known = "low IS NOT NULL AND close IS NOT NULL AND NOT isnan(close)"
+        loads.append(f"""SELECT * FROM (WITH {", ".join(parts)}
+          SELECT '{unit}s' AS run_id, (SELECT count(*) FROM dirty) AS rows_before, (SELECT count(*) FROM cleaned WHERE {STRICT}) AS rows_after,
+                 (SELECT count(*) FROM dirty WHERE {known} AND NOT ({STRICT})) AS n_violations,
+                 (SELECT count(*) FROM dirty WHERE NOT ({known})) AS n_incomplete)""")
+    q["load_metrics"] = select(
+        "run_id rows_before# rows_after# rows_dropped# n_violations# n_incomplete#",
+        f"FROM (SELECT *, rows_before - rows_after AS rows_dropped FROM ({' UNION ALL '.join(loads)}))",
+    )
+    # stored: keys no load had settled when they came; the stream stops after half of the span from 2024-01-01 on
+    middle = f"TIMESTAMP '2024-01-01' + (TIMESTAMP '{NOW}' - TIMESTAMP '2024-01-01') / {LANDINGS} * {LANDINGS // 2}"
+    q["stream_unsettled"] = f"WITH {MINUTE} " + select(
+        "symbol timestamp close~",
+        f"""FROM bars WHERE "timestamp" >= TIMESTAMP '{SETTLED[1]}'
+              OR ("timestamp" >= TIMESTAMP '{SETTLED[0]}' AND "timestamp" < {middle})""",
+    )
+    q["stream_features"] = f"SELECT *, false AS is_late FROM ({q['moving_averages']})"
+
     # snapshots
+    changing = """changing AS (
+      SELECT ts, event_id AS n, 'coin-' || json_extract_string(props, '$.k') AS coin_id, value, user_id FROM events)"""
+    q["snapshot_variants"] = f"WITH {changing} " + select(
+        "snapshot_time coin_id current_price~ total_volume~ rank% price_missing",
+        """FROM (SELECT ts AS snapshot_time, coin_id, CASE WHEN n % 5 <> 0 THEN value END AS current_price, user_id AS total_volume,
+                        CASE WHEN n % 3 = 0 THEN user_id % 7 + 1 END AS rank, n % 5 = 0 AS price_missing
+                 FROM changing WHERE n % 7 NOT IN (1, 2, 3))""",
+    )
+    q["snapshot_rejects"] = f"WITH {changing} " + select(
+        "reject n_payloads#",
+        """FROM (SELECT CASE n % 7 WHEN 1 THEN 'not JSON' WHEN 2 THEN 'no snapshot_time' ELSE 'no list of coins' END AS reject, count(*) AS n_payloads
+                 FROM changing WHERE n % 7 IN (1, 2, 3) GROUP BY 1)""",
+    )
     q["snapshot_flatten"] = select(
         "snapshot_time coin_id current_price~ total_volume~",
         """FROM (SELECT ts AS snapshot_time, 'coin-' || json_extract_string(props, '$.k') AS coin_id, value AS current_price, user_id AS total_volume FROM events

@@ -11,13 +11,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from candlelake import sources, streaming
-from candlelake.operators import bars, clean, features, panel, portfolio, quality, setops, snapshots, upsert
+from candlelake.operators import bars, bitmaps, clean, features, panel, portfolio, quality, setops, snapshots, upsert
 from candlelake.operators.candidates import candidate_weights as weights_of_legs
 from candlelake.operators.candidates import best_candidate, feasible_range
 from candlelake.operators.risk import full_matrix, upper_matrix
 from candlelake.plans import bindings as b
 from candlelake.plans import dashboard, etl
-from candlelake.plans.scenario import Scenario, ScenarioConfig, publish, read_results, scenario_counts
+from candlelake.plans.scenario import Scenario, ScenarioConfig, publish, read_results, scenario_counts, stop_reason
 from candlelake.plans.staging import staged
 from candlelake.schemas import CANDLE_COLUMNS, CANDLE_SCHEMA
 from candlelake.session import use_utc, work_path
@@ -32,6 +32,8 @@ NOW = "2024-01-31 00:00:00"
 DAY = "2024-01-15"
 BACKFILL_START = "2024-01-05"
 SPLIT = "2024-01-15 12:00:00"
+# ends of two batch loads; the stream stands still in between, at the middle of its messages
+SETTLED = ("2024-01-10", "2024-01-20")
 EXCLUDED = ("error", "signup")
 CONFIG = ScenarioConfig(
     scenario_id="weekly_brands",
@@ -47,6 +49,8 @@ CONFIG = ScenarioConfig(
 )
 BASELINE_TEXT = "BRAND#10:0.5,BRAND#2:0.5"
 EVENT_LOOKBACK, EVENT_MIN_HISTORY = 365, 15
+# recent windows in days, and the returns they must give
+RECENT_DAYS, SHORT_HISTORY = (120, 2), 3
 
 
 def query(build: Query) -> Query:
@@ -182,6 +186,34 @@ def file_level_total(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.agg(F.sum("n_rows").alias("n_rows"), F.count(F.lit(1)).alias("n_files"))
 
 
+@query
+def footer_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows and bounds per date folder, answered by the footers of the files."""
+    root = work_path(spark, "lake")
+    dated = b.candles(spark, sf_dir).withColumn("date", F.to_date("timestamp")).withColumn("open_ms", F.unix_millis("timestamp"))
+    sinks.write_partitioned(dated, root, ["date"])
+    return sources.footer_stats(spark, root, ["open_ms", "number_of_trades", "close"], ["date"])
+
+
+@query
+def footer_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows and bounds of whole given tables, from their footers alone."""
+    keys = {"events": "event_id", "lineitem": "l_orderkey", "orders": "o_orderkey", "documents": "doc_id"}
+    parts = [
+        sources.footer_stats(spark, f"{sf_dir}/{name}.parquet", [key]).toDF("n_rows", "first_key", "last_key").withColumn("table_name", F.lit(name))
+        for name, key in keys.items()
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+@query
+def lake_universe_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Candles of the symbols a stored universe holds; the folders of the others are pruned when the job runs."""
+    root = _lake(spark, sf_dir, ["symbol", "date"])
+    symbols = staged(b.numbered_symbols(b.ticks(spark, sf_dir)), "universe")
+    return sources.read_universe(spark, root, symbols.where(F.col("ord") >= 2))
+
+
 @query
 def json_lines_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = work_path(spark, "json")
@@ -467,6 +499,28 @@ def range_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.range_violations(dirty.withColumn("symbol", F.trim("symbol")))
 
 
+@query
+def bitmap_missing_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Missing minutes from the stored bitmaps of two loads that overlap."""
+    minute = b.candles(spark, sf_dir)
+    split, day = F.lit(SPLIT).cast("timestamp"), F.lit(DAY).cast("timestamp")
+    loads = [minute.where(F.col("timestamp") < split), minute.where(F.col("timestamp") >= day)]
+    stored = [staged(bitmaps.slot_bitmaps(load, 60), "bitmaps") for load in loads]
+    return bitmaps.missing_slots(bitmaps.merged(*stored), 60)
+
+
+@query
+def bitmap_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bitmaps.gaps(bitmaps.slot_bitmaps(b.candles(spark, sf_dir), 60), 60)
+
+
+@query
+def bitmap_common_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dates on which all order priorities have a close."""
+    closes = staged(b.priority_daily(spark, sf_dir), "closes")
+    return bitmaps.common_dates(bitmaps.date_bitmaps(closes), b.numbered_symbols(closes))
+
+
 @query
 def freshness(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.freshness(b.ticks(spark, sf_dir), F.lit(NOW).cast("timestamp"))
@@ -494,6 +548,25 @@ def guard_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.guard_report(closes, listed, dates, aligned, "6-NONE", CONFIG.min_history)
 
 
+@query
+def strict_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a strict run says for sound inputs and for inputs that break one guard each."""
+    closes = staged(b.brand_weekly(spark, sf_dir), "closes")
+    known = b.brands(spark, sf_dir)
+    baseline = sources.weights_from_string(spark, "baseline", BASELINE_TEXT)
+    broken = closes.withColumn("close", F.when(F.col("symbol") == "BRAND#10", 0.0).otherwise(F.col("close")))
+    heavy = sources.weights_from_string(spark, "baseline", "BRAND#10:0.5,BRAND#2:0.75")
+    inputs = {
+        "sound": (closes, baseline, CONFIG),
+        "benchmark": (closes, baseline, replace(CONFIG, benchmark_symbol="BRAND#0")),
+        "history": (closes, baseline, replace(CONFIG, min_history=100_000)),
+        "price": (broken, baseline, CONFIG),
+        "weights": (closes, heavy, CONFIG),
+    }
+    said = [(name, stop_reason(prices, known, weights, config)) for name, (prices, weights, config) in inputs.items()]
+    return spark.createDataFrame(said, "inputs string, reason string")
+
+
 @query
 def feasible_assets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Feasible numbers of assets for the brand universe."""
@@ -619,6 +692,18 @@ def panel_with_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def panel_fallback_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A recent window that is long enough, though shorter than the look-back, and one that is too short: all history then."""
+    closes = staged(b.priority_daily(spark, sf_dir), "closes")
+    known = b.numbered_symbols(closes)
+    parts = [
+        panel.panel_with_fallback(closes, known, CONFIG.lookback, days - CONFIG.lookback, SHORT_HISTORY).withColumn("days", F.lit(days))
+        for days in RECENT_DAYS
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def _event_returns(spark: SparkSession, sf_dir: str) -> DataFrame:
     closes = staged(b.daily_panel(spark, sf_dir), "closes")
     aligned = panel.aligned_panel(
@@ -652,6 +737,14 @@ def two_asset_backtest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return portfolio.backtest(portfolio.portfolio_returns(returns, lower), CONFIG.initial_capital)
 
 
+@query
+def value_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Value, peak and drawdown after every minute bar of all symbols, from a capital of 1."""
+    returns = features.bar_returns(b.candles(spark, sf_dir))
+    paths = portfolio.value_paths(returns, 1.0, F.date_trunc("day", "timestamp"))
+    return paths.select("symbol", "timestamp", "portfolio_value", "peak", "cumulative_return", "drawdown")
+
+
 # --- portfolios: one scenario over the brands --------------------------------
 
 
@@ -811,12 +904,14 @@ def _landed(spark: SparkSession, sf_dir: str, late: bool = False) -> DataFrame:
     return streaming.parse_messages(streaming.message_stream(spark, root, FILES))
 
 
-def _drain(spark: SparkSession, stream: DataFrame, partition_by: tuple[str, ...] = ()) -> DataFrame:
+def _drain(
+    spark: SparkSession, stream: DataFrame, partition_by: tuple[str, ...] = (), checkpoint: str | None = None
+) -> DataFrame:
     target = work_path(spark, "stream")
     streaming.run_available(
         stream,
         target,
-        work_path(spark, "checkpoint"),
+        checkpoint or work_path(spark, "checkpoint"),
         partition_by,
         state_partitions=spark.sparkContext.defaultParallelism,
     )
@@ -853,11 +948,88 @@ def stream_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def stream_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Hours closed by the watermark, completed with those still open when the stream ends."""
+    """Hours closed by the watermark, and from the state store those that are still open when the stream ends."""
+    checkpoint = work_path(spark, "checkpoint")
     deduplicated = streaming.dedup_stream(streaming.closed_candles(_landed(spark, sf_dir)))
-    archived = _drain(spark, deduplicated)
-    emitted = _drain(spark, streaming.hourly_stream(deduplicated, late_limit=None))
-    return streaming.complete_hours(emitted, archived)
+    emitted = _drain(spark, streaming.hourly_stream(deduplicated, late_limit=None), checkpoint=checkpoint)
+    return emitted.unionByName(streaming.open_hours(spark, checkpoint))
+
+
+@query
+def stream_hourly_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with a stop in the middle of the data: open hours go on from the state, and no hour is emitted twice."""
+    root, target, checkpoint = (work_path(spark, name) for name in ("messages", "stream", "checkpoint"))
+    lines = staged(b.stream_messages(spark, sf_dir), "lines")
+    half = LANDINGS // 2
+    for spans in (range(half), range(half, LANDINGS), range(0)):
+        _land(lines, root, spans)
+        closed = streaming.closed_candles(streaming.parse_messages(streaming.message_stream(spark, root, FILES)))
+        hours = streaming.hourly_stream(streaming.dedup_stream(closed), late_limit=None)
+        streaming.run_available(hours, target, checkpoint, state_partitions=spark.sparkContext.defaultParallelism)
+    emitted = spark.read.schema(hours.schema).parquet(target)
+    return emitted.unionByName(streaming.open_hours(spark, checkpoint))
+
+
+@query
+def stream_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals of the metrics that the archiving job itself observed, with a stop and a restart between."""
+    root, target, metrics, checkpoint = (work_path(spark, name) for name in ("messages", "archive", "metrics", "checkpoint"))
+    lines = staged(b.stream_messages(spark, sf_dir), "lines")
+    half = LANDINGS // 2
+    for spans in (range(half), range(half, LANDINGS), range(0)):
+        _land(lines, root, spans)
+        parsed = streaming.parse_messages(streaming.message_stream(spark, root, FILES))
+        streaming.archive_with_metrics(parsed, target, metrics, checkpoint, F.lit(NOW).cast("timestamp"))
+    stored = spark.read.parquet(metrics)
+    names = ("n_rows", "n_malformed", "n_unclosed", "n_violations")
+    closed = (F.sum("n_stored") + F.sum("n_duplicates")).alias("n_closed")
+    return stored.agg(*(F.sum(n).alias(n) for n in names), closed, F.max("newest").alias("newest"), F.min("lag_seconds").alias("lag_seconds"))
+
+
+@query
+def load_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Metrics of two batch loads, one of them run twice under its id."""
+    dirty, metrics = b.dirty_candles(spark, sf_dir), work_path(spark, "metrics")
+    cleaned = lambda rows: quality.quality_strict(clean.clean_candles(rows))
+    hourly = b.dirty_candles(spark, sf_dir, "hour")
+    for run_id, rows in (("minutes", dirty), ("hours", hourly), ("hours", hourly)):
+        table = streaming.load_with_metrics(
+            rows, cleaned, lambda df: sinks.write_by_date(df, work_path(spark, "silver")), metrics, run_id
+        )
+    return table.withColumn("run_id", F.col("run_id").cast("string"))
+
+
+@query
+def stream_unsettled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the stream stores beside a batch table that grows while the stream stands still; late messages of settled keys come at the end."""
+    root, target, settled, checkpoint = (work_path(spark, name) for name in ("messages", "stream", "settled", "checkpoint"))
+    lines = staged(b.stream_messages(spark, sf_dir), "lines")
+    minute, half = b.candles(spark, sf_dir), LANDINGS // 2
+    until = ["2024-01-01", *SETTLED]
+    for spans, low, high in zip((range(half), range(half, LANDINGS)), until, until[1:]):
+        sinks.write_by_date(minute.where((F.col("timestamp") >= low) & (F.col("timestamp") < high)), settled, "append")
+        _land(lines, root, spans, late=True)
+        closed = streaming.closed_candles(streaming.parse_messages(streaming.message_stream(spark, root, FILES)))
+        streaming.land_unsettled(
+            streaming.dedup_stream(closed), settled, target, checkpoint, state_partitions=spark.sparkContext.defaultParallelism
+        )
+    return spark.read.parquet(target).select("symbol", "timestamp", "close")
+
+
+@query
+def stream_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Moving averages of minute bars, computed as they arrive over four runs of the stream."""
+    root, target, tails, checkpoint = (work_path(spark, name) for name in ("messages", "features", "tails", "checkpoint"))
+    lines = staged(b.stream_messages(spark, sf_dir), "lines")
+    columns = {f"ma_{n}": lambda w, n=n: F.avg("close").over(w.rowsBetween(1 - n, 0)) for n in (5, 15)}
+    for number in range(LANDINGS):
+        _land(lines, root, range(number, number + 1))
+        closed = streaming.closed_candles(streaming.parse_messages(streaming.message_stream(spark, root)))
+        bars_ = streaming.dedup_stream(closed).select("timestamp", "symbol", "close")
+        streaming.store_features(
+            bars_, columns, 14, target, tails, checkpoint, state_partitions=spark.sparkContext.defaultParallelism
+        )
+    return spark.read.parquet(target).select("symbol", "timestamp", "close", "ma_5", "ma_15", "is_late")
 
 
 @query
@@ -905,6 +1077,49 @@ def snapshot_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
     return snapshots.flatten_snapshots(b.table(spark, sf_dir, "events").select(payload.alias("payload")))
 
 
+def _changing_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A payload per event: its coin gains a rank if event_id % 3 = 0 and has its price as text if event_id % 5 = 0.
+
+    If event_id % 7 is 1 the payload breaks off, if 2 it lacks its time, if 3 its coins.
+    """
+    e = b.table(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    coin = lambda price, *more: F.struct(
+        F.concat(F.lit("coin-"), F.get_json_object("props", "$.k")).alias("coin_id"),
+        price.alias("current_price"),
+        F.col("user_id").cast("double").alias("total_volume"),
+        *more,
+    )
+    rank = (F.col("user_id") % 7 + 1).cast("int").alias("rank")
+    n, price = F.col("event_id"), F.col("value")
+    time, options = F.col("ts").alias("snapshot_time"), {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
+    whole = lambda c: F.to_json(F.struct(time, F.array(c).alias("coins")), options)
+    text = (
+        F.when(n % 7 == 1, F.concat(F.lit('{"snapshot_time": '), n.cast("string")))
+        .when(n % 7 == 2, F.to_json(F.struct(F.array(coin(price)).alias("coins"))))
+        .when(n % 7 == 3, F.to_json(F.struct(time), options))
+        .when(n % 15 == 0, whole(coin(F.lit("n/a"), rank)))
+        .when(n % 5 == 0, whole(coin(F.lit("n/a"))))
+        .when(n % 3 == 0, whole(coin(price, rank)))
+        .otherwise(whole(coin(price)))
+    )
+    return e.select(text.alias("payload"))
+
+
+@query
+def snapshot_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Coins of payloads whose fields change; a price that is no number stays readable in the kept coin."""
+    parsed = snapshots.parse_payloads(_changing_payloads(spark, sf_dir))
+    coins = snapshots.flatten_variants(parsed, rank="int")
+    return coins.withColumn("price_text", F.try_variant_get("coin", "$.current_price", "string")).select(
+        "snapshot_time", "coin_id", "current_price", "total_volume", "rank", (F.col("price_text") == "n/a").alias("price_missing")
+    )
+
+
+@query
+def snapshot_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return snapshots.rejected_payloads(snapshots.parse_payloads(_changing_payloads(spark, sf_dir)))
+
+
 @query
 def daily_coin_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return snapshots.daily_coin_metrics(b.coin_snapshots(spark, sf_dir), b.trending_snapshots(spark, sf_dir))

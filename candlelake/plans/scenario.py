@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -236,6 +237,26 @@ def check_benchmark(universe: DataFrame, symbol: str) -> None:
         raise ValueError(f"benchmark symbol {symbol} is missing or stale")
 
 
+# what a strict run says when it stops
+_REASONS = re.compile(
+    r"benchmark symbol \S+ is missing or stale|need at least \d+ common dates, got \d+|close is not positive for \S+"
+    r"|weight string of \S+ rejected: \d+ bad items, total [\w.]+"
+)
+
+
+def stop_reason(closes: DataFrame, universe: DataFrame, baseline: DataFrame, config: ScenarioConfig) -> str | None:
+    """Why a strict run over these inputs stops before its results, or null if it would not. Other errors are passed on."""
+    try:
+        run = Scenario(closes, universe, baseline, config).prepare(strict=True)
+        staged(dense_weights(run.universe, baseline, BASELINE), "weights")
+    except Exception as error:  # a check inside a scalar subquery comes as an error of the bridge to the JVM
+        found = _REASONS.search(str(error))
+        if not found:
+            raise
+        return found[0]
+    return None
+
+
 def publish(tables: dict[str, DataFrame], root: str, scenario_id: str) -> None:
     """Store the result tables of one scenario; its earlier rows are replaced in all of them, other scenarios stay.
 

@@ -54,16 +54,29 @@ def write_daily_folder(df: DataFrame, base: str, day: str | dt.date) -> None:
 def replace_partitions(df: DataFrame, path: str, by: Sequence[str], scope: Sequence[str] = ()) -> None:
     """Replace the partitions present in ``df``; the rest stays as it is.
 
-    ``scope`` names folders that are replaced in any case: those for which ``df`` has no rows are
-    deleted once the new rows are in place.
+    ``scope`` names folders of the first partition column that are replaced in any case: those for which ``df`` has no rows are
+    deleted once the new rows are in place. ``df`` is computed once; which folders it filled is read back from
+    their files, whose names are new.
     """
-    write_partitioned(df, path, by, dynamic=True)
     spark = df.sparkSession
-    if scope:
-        first = by[0]
-        # one short text per partition value
-        written = {f"{first}={r[0]}" for r in df.select(F.col(first).cast("string")).distinct().collect()}
-        _delete_folders(spark, path, [name for name in scope if name not in written])
+    before = {name: _files(spark, path, name) for name in scope}
+    write_partitioned(df, path, by, dynamic=True)
+    _delete_folders(spark, path, [name for name, old in before.items() if not _files(spark, path, name) - old])
+
+
+def _files(spark: SparkSession, path: str, name: str) -> set[str]:
+    """Parquet files of a partition folder, at any depth."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    folder = hadoop.Path(path, name)
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(folder):
+        return set()
+    found, files = set(), fs.listFiles(folder, True)
+    while files.hasNext():
+        file = files.next().getPath().toString()
+        if file.endswith(".parquet"):
+            found.add(file)
+    return found
 
 
 def _delete_folders(spark: SparkSession, path: str, names: Sequence[str]) -> None:

@@ -1,11 +1,13 @@
 from candlelake.sources.files import (
     file_row_counts,
+    footer_stats,
     partition_stats,
     read_csv_archive,
     read_daily_folder,
     read_day,
     read_json_lines,
     read_partitioned,
+    read_universe,
 )
 from candlelake.sources.klines import (
     cast_kline_columns,
@@ -27,6 +29,7 @@ __all__ = [
     "decode_kline_arrays",
     "decode_kline_messages",
     "file_row_counts",
+    "footer_stats",
     "normalise_weights",
     "parse_weight_strings",
     "partition_stats",
@@ -35,6 +38,7 @@ __all__ = [
     "read_day",
     "read_json_lines",
     "read_partitioned",
+    "read_universe",
     "weight_string_checks",
     "weights_from_string",
     "within_dates",

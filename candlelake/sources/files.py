@@ -54,6 +54,16 @@ def read_partitioned(
     return to_canonical(raw, keep=["date"] if "date" in raw.columns else [])
 
 
+def read_universe(spark: SparkSession, base: str, universe: DataFrame) -> DataFrame:
+    """Candles of the symbols of ``universe`` from a lake laid out as ``symbol=<S>/date=<D>/``; folders of other symbols are never opened.
+
+    The universe is known only when the job runs, so folders are pruned then, by the symbols that the join broadcasts.
+    """
+    # a bound on the symbol lets the optimizer expect that the universe leaves some out
+    members = universe.select("symbol").where(F.length("symbol") > 0)
+    return read_partitioned(spark, base).join(members, "symbol", "left_semi")
+
+
 def read_day(spark: SparkSession, base: str, day: str | dt.date) -> DataFrame:
     """Candles of one date partition, selected by partition pruning."""
     lake = _named(spark.read, spark.read.parquet(base).schema).parquet(base)
@@ -105,6 +115,31 @@ def partition_stats(lake: DataFrame, partition: str = "date") -> DataFrame:
     )
 
 
+def footer_session(spark: SparkSession) -> SparkSession:
+    """A session with the settings of ``spark`` whose Parquet reader answers counts, least and greatest values from file footers."""
+    other = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if key.startswith("spark.sql.") and other.conf.isModifiable(key):
+            other.conf.set(key, value)
+    # the reader that can do so is used for formats that are not on this list
+    kept = [name for name in other.conf.get("spark.sql.sources.useV1SourceList").split(",") if name.strip() != "parquet"]
+    other.conf.set("spark.sql.sources.useV1SourceList", ",".join(kept))
+    other.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    return other
+
+
+def footer_stats(spark: SparkSession, path: str, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+    """``n_rows`` and ``min_c, max_c`` of each column ``c``, per value of the partition columns ``by``, without reading a row group.
+
+    Footers hold bounds of whole numbers, dates and doubles; times have to be stored as numbers. A row group whose column is wholly null or
+    holds a NaN has none: bounds of such a column fail with the name of the file, while counts never do. Rows that a filter would have to look
+    at can't be answered from footers, so there is none.
+    """
+    lake = footer_session(spark).read.parquet(path)
+    bounds = [f(c).alias(f"{name}_{c}") for c in columns for name, f in (("min", F.min), ("max", F.max))]
+    return lake.groupBy(*by).agg(F.count(F.lit(1)).alias("n_rows"), *bounds)
+
+
 def read_json_lines(spark: SparkSession, paths: str | Sequence[str], schema: str | T.StructType) -> DataFrame:
     """One JSON object per line; blank lines are skipped."""
     return spark.read.schema(schema).option("mode", "FAILFAST").json(

@@ -6,7 +6,7 @@ The transformations accept batch and streaming frames alike. State is keyed by
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -70,11 +70,19 @@ def hourly_stream(candles: DataFrame, late_limit: str | None = LATE_LIMIT) -> Da
     ).select(F.col("hour.start").alias("timestamp"), "symbol", "open", "high", "low", "close", "volume")
 
 
-def complete_hours(emitted: DataFrame, candles: DataFrame) -> DataFrame:
-    """The emitted hours and, from the archived candles, those that the stream still holds open at its end."""
-    key = ["symbol", "timestamp"]
-    every = hourly_stream(candles.dropDuplicates(key), late_limit=None)
-    return emitted.unionByName(every.join(emitted.select(key), key, "left_anti").select(emitted.columns))
+def open_hours(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """The hours that a stopped ``hourly_stream`` still holds open, read from its state store; none was emitted yet.
+
+    Only state is read: no message is read or aggregated again.
+    """
+    operators = spark.read.format("state-metadata").load(checkpoint)
+    # a row per stateful operator of the query
+    (number,) = [r["operatorId"] for r in operators.where("operatorName = 'stateStoreSave'").select("operatorId").distinct().collect()]
+    state = spark.read.format("statestore").option("operatorId", number).load(checkpoint)
+    # buffers stand in the order of the aggregates; two of them share their names, so they are renamed by place
+    buffers = "open:double,open_at:timestamp,high:double,low:double,close:double,close_at:timestamp,volume:double"
+    held = state.select("key", F.col("value").cast(f"struct<{buffers}>").alias("v"))
+    return held.select(F.col("key.window.start").alias("timestamp"), "key.symbol", "v.open", "v.high", "v.low", "v.close", "v.volume")
 
 
 def archive_columns(candles: DataFrame) -> DataFrame:
@@ -131,6 +139,38 @@ def run_available(
     return query
 
 
+def run_batches(
+    stream: DataFrame, store: Callable[[DataFrame, int], None], checkpoint: str, state_partitions: int | None = None
+) -> StreamingQuery:
+    """Hand every micro-batch of all landed data to ``store(batch, batch_id)`` and stop.
+
+    A micro-batch that failed half way comes again with the same number, so ``store`` should replace what it wrote for that number.
+    """
+    writer = stream.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint).trigger(availableNow=True)
+    with _state_partitions(stream.sparkSession, state_partitions):
+        query = writer.start()
+        query.awaitTermination()
+    return query
+
+
+def land_unsettled(
+    stream: DataFrame, settled_path: str, path: str, checkpoint: str, key: Sequence[str] = ("symbol", "timestamp"), state_partitions: int | None = None
+) -> StreamingQuery:
+    """Store the stream's rows whose key the batch table does not hold: what a batch load has settled never lands again.
+
+    The batch table (folders by ``date``) is looked up anew for every micro-batch, so loads that come while the stream runs or stands
+    still count from then on. Only the dates of the micro-batch are read from it. A repeated micro-batch overwrites its own folder.
+    """
+
+    def store(batch: DataFrame, batch_id: int) -> None:
+        dates = batch.agg(F.min(F.to_date("timestamp")).alias("first"), F.max(F.to_date("timestamp")).alias("last")).first()
+        settled = batch.sparkSession.read.parquet(settled_path).where(F.col("date").between(dates["first"], dates["last"]))
+        new = batch.join(settled.select(*key), list(key), "left_anti").select(batch.columns)
+        new.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+
+    return run_batches(stream, store, checkpoint, state_partitions)
+
+
 def count_malformed(parsed: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     """Store row and malformed counts of every micro-batch.
 
@@ -141,11 +181,4 @@ def count_malformed(parsed: DataFrame, path: str, checkpoint: str) -> StreamingQ
             F.count(F.lit(1)).alias("n_rows"), F.count_if("is_malformed").alias("n_malformed")
         ).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
-    query = (
-        parsed.writeStream.foreachBatch(store)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
-    return query
+    return run_batches(parsed, store, checkpoint)

@@ -12,7 +12,7 @@ SMALL, LARGER = "/root/testdata/sf0.001", "/root/testdata/sf0.01"
 NEEDS_DATES = {
     "aligned_panel", "panel_with_fallback", "correlation_long", "candidate_weights", "candidate_scores", "optimal_candidate",
     "portfolio_metrics", "portfolio_returns", "portfolio_backtest", "diversification", "ranked_weights", "scenario_row",
-    "publish_scenario", "panel_allocation", "panel_kpis", "panel_value_path", "panel_corr_subset", "panel_search_space", "guard_report",
+    "publish_scenario", "panel_fallback_cases", "bitmap_common_dates", "strict_runs", "panel_allocation", "panel_kpis", "panel_value_path", "panel_corr_subset", "panel_search_space", "guard_report",
 }
 # results that may be empty
 MAY_BE_EMPTY = {"skipped_symbols", "spike_events", "ticker_except", "snapshot_quality"}
