@@ -30,14 +30,19 @@ def _slot(*key: str) -> Column:
     return F.pmod(F.xxhash64(*key), F.lit(FILTER_WORDS * 64))
 
 
-def _repeated(rows: DataFrame, *key: str) -> DataFrame:
-    """``word, bits``: the filter of the keys that more than one row has."""
-    slots = rows.groupBy(*key).count().where("count > 1").select(_slot(*key).alias("slot"))
+def bit_filter(rows: DataFrame, *key: str) -> DataFrame:
+    """``word, bits``: a filter of the keys of ``rows``."""
     bit = F.expr("shiftleft(1L, cast(slot & 63L as int))")
+    slots = rows.select(_slot(*key).alias("slot"))
     return slots.groupBy(F.expr("shiftright(slot, 6)").alias("word")).agg(F.bit_or(bit).alias("bits"))
 
 
-def _passing(rows: DataFrame, filter_: DataFrame, *key: str) -> DataFrame:
+def _repeated(rows: DataFrame, *key: str) -> DataFrame:
+    """The filter of the keys that more than one row has."""
+    return bit_filter(rows.groupBy(*key).count().where("count > 1"), *key)
+
+
+def passing(rows: DataFrame, filter_: DataFrame, *key: str) -> DataFrame:
     """``rows`` with ``passes``, which is false only where the key is not in the filter."""
     slotted = rows.withColumn("slot", _slot(*key)).withColumn("word", F.expr("shiftright(slot, 6)"))
     found = F.expr("shiftright(bits, cast(slot & 63L as int)) & 1L = 1L")
@@ -54,9 +59,9 @@ def _sketched(base: DataFrame) -> DataFrame:
 def _refined(base: DataFrame) -> tuple[DataFrame, DataFrame]:
     """``base`` (with ``text``, normalised) with ``passes``: whether another text may be equal; and what to drop afterwards."""
     sketches = stage(_sketched(base).select("length", "prefix"), "sketches")
-    alike = _passing(sketches, stage(_repeated(sketches, "length"), "lengths", small=True), "length").where("passes")
+    alike = passing(sketches, stage(_repeated(sketches, "length"), "lengths", small=True), "length").where("passes")
     prefixes = stage(_repeated(alike, "length", "prefix"), "prefixes", small=True)
-    return _passing(_sketched(base), prefixes, "length", "prefix").drop("length", "prefix"), sketches
+    return passing(_sketched(base), prefixes, "length", "prefix").drop("length", "prefix"), sketches
 
 
 def _firsts(rows: DataFrame) -> DataFrame:

@@ -1,10 +1,11 @@
-"""Near copies by the Jaccard index of word shingles: SimHash finds candidates, the shingles decide.
-
-Two sets of Jaccard index ``J`` differ in a bit of a SimHash with a chance of ``acos(2J / (1 + J)) / pi`` at most, so at 0.8 about
-10 of 64 bits differ, which balls of a small radius can't reach. Here a fingerprint has 1,024 bits in ``SEGMENTS`` parts of
-16, and is filed once under each part. At 0.8 a part is equal with a chance of 0.07, so 99 % of such pairs share one, and more of
-likelier ones. A text of at most ``SHORT`` shingles is also filed under the least of them, as many as any set of index
-0.8 must share one of: those pairs are all found. Rows of a bucket whose first 128 bits are near are candidates.
+"""Near copies by the Jaccard index of word shingles: SimHash finds candidates by Hamming balls, the shingles decide.
+
+Two sets of Jaccard index ``J`` differ in a bit of a SimHash with a chance of ``acos(2J / (1 + J)) / pi`` at most, 0.15 at 0.8, so about
+10 of 64 bits differ, which balls of a small radius can't reach. Here a fingerprint has 256 bits in ``SEGMENTS`` parts of
+16. A text is filed under each part and looks into the ball of radius one around it. At 0.8 a part is within that radius with a chance of 0.28, so
+99.5 % of such pairs meet, and more of likelier ones. A text of at most ``SHORT`` shingles is also filed under the least of them, as many as any
+set of index 0.8 must share one of: those pairs are all found. What meets is compared by the first half of the bits, then by the complete
+distance, then by the shingles of both texts, which are computed for candidates only.
 """
 
 from __future__ import annotations
@@ -18,16 +19,18 @@ from pyspark.sql import functions as F
 
 from candlelake.llm import hashing
 from candlelake.llm.components import components
-from candlelake.llm.stages import parts, stage
+from candlelake.llm.exact_copies import bit_filter, passing
+from candlelake.llm.stages import drop, parts, stage
 
 WORDS, LEAST_LIKENESS = 5, 0.8
-SEGMENTS, SHORT = 64, 40
-# differing bits of 128 up to which rows of a bucket are candidates: by equal parts, by equal shingles
-NEAR, NEAR_SHORT = 36, 48
-# candidates per row above which a bucket is crowded
-_CROWDED = 8
+SEGMENTS, WIDTH, SHORT = 16, 16, 40
+# bits that may differ: of the first 128 by parts and by shingles, and of all 256
+NEAR, NEAR_SHORT, NEAR_ALL = 36, 48, 66
+# candidates of a row that are tested in the first round, and how this grows by round
+FIRST_ROUND, GROWTH = 8, 4
 _CHUNK = 255 * 16
-_ODD = hashing._stream(1 << 42, SEGMENTS // 4) | np.uint64(1)
+_LONGS = SEGMENTS * WIDTH // 64
+_ODD = hashing._stream(1 << 42, _LONGS) | np.uint64(1)
 _FACTORS = hashing._stream(1 << 43, WORDS) | np.uint64(1)
 
 
@@ -50,8 +53,8 @@ def shingles(text: str | None) -> np.ndarray:
 
 
 def wide_fingerprint(found: np.ndarray) -> np.ndarray:
-    """1,024 bits, as 16 numbers: a bit is set if it is set in more than half of the hashes of the distinct shingles."""
-    total = np.zeros(SEGMENTS * 16, np.int64)
+    """256 bits, as 4 numbers: a bit is set if it is set in more than half of the hashes of the distinct shingles."""
+    total = np.zeros(_LONGS * 64, np.int64)
     for low in range(0, len(found), _CHUNK):
         hashes = hashing.mix(found[low : low + _CHUNK, None] * _ODD[None, :])
         bits = np.unpackbits(hashes.view(np.uint8), axis=1, bitorder="little")
@@ -60,16 +63,16 @@ def wide_fingerprint(found: np.ndarray) -> np.ndarray:
     return np.packbits(total * 2 > len(found), bitorder="little").view("<u8")
 
 
-def _slots(found: np.ndarray, fp: np.ndarray) -> np.ndarray:
-    """Where a text is filed: its parts, and for short texts the least shingles, marked by the sign."""
-    slots = fp.view("<u2").astype(np.int64) + (np.arange(SEGMENTS) << 16)
-    if len(found) <= SHORT:
-        least = len(found) - math.ceil(LEAST_LIKENESS * len(found) - 1e-9) + 1
-        slots = np.concatenate([slots, (found[:least] | np.uint64(1 << 63)).view(np.int64)])
-    return slots
+def _least(found: np.ndarray) -> np.ndarray:
+    """The least shingles of a short text, of which any text of enough likeness shares one; marked by the sign."""
+    if len(found) > SHORT:
+        return np.zeros(0, np.int64)
+    n = len(found) - math.ceil(LEAST_LIKENESS * len(found) - 1e-9) + 1
+    return (found[:n] | np.uint64(1 << 63)).view(np.int64)
 
 
-_MARKED = "did long, th long, key long, c0 long, c1 long, slots array<long>, shingles array<long>"
+_FP = [f"f{i}" for i in range(_LONGS)]
+_MARKED = "did long, th long, key long, " + ", ".join(f"{c} long" for c in _FP) + ", least array<long>"
 
 
 def _marked(docs: DataFrame) -> DataFrame:
@@ -81,27 +84,46 @@ def _marked(docs: DataFrame) -> DataFrame:
             keys, rest = [], []
             for text in batch["text"]:
                 found = shingles(text.as_py())
-                key = int(hashing.mix(found).sum().view(np.int64)) if len(found) else 0
+                key = _key(found)
                 keys.append(key)
                 if key in seen or not len(found):
-                    rest.append((None,) * 4)
+                    rest.append((None,) * (_LONGS + 1))
                     continue
                 seen.add(key)
-                fp = wide_fingerprint(found)
-                rest.append((*fp[:2].view(np.int64).tolist(), _slots(found, fp), found.view(np.int64)))
-            c0, c1, slots, sets = zip(*rest) if rest else ((),) * 4
-            lists = pa.list_(pa.int64())
+                rest.append((*wide_fingerprint(found).view(np.int64).tolist(), _least(found)))
+            columns = list(zip(*rest)) if rest else [()] * (_LONGS + 1)
             yield pa.RecordBatch.from_arrays(
-                [
-                    batch["did"], batch["th"], pa.array(keys, pa.int64()), pa.array(c0, pa.int64()), pa.array(c1, pa.int64()),
-                    pa.array(slots, lists), pa.array(sets, lists),
-                ],
-                names=["did", "th", "key", "c0", "c1", "slots", "shingles"],
+                [batch["did"], batch["th"], pa.array(keys, pa.int64()), *(pa.array(c, pa.int64()) for c in columns[:-1]), pa.array(columns[-1], pa.list_(pa.int64()))],
+                names=["did", "th", "key", *_FP, "least"],
             )
 
     return docs.select("did", "th", "text").mapInArrow(compute, _MARKED)
 
 
+def _key(found: np.ndarray) -> int:
+    return int(hashing.mix(found).sum().view(np.int64)) if len(found) else 0
+
+
+def bucket_rows(nodes: DataFrame) -> DataFrame:
+    """``bucket, probe, key, f0, f1``: where each text is filed (0) and where it looks (1).
+
+    Of the ball of radius one it looks only at the values with an added bit: the other text of such a pair looks the other way.
+    """
+    slots = []
+    for number in range(SEGMENTS):
+        first = number * WIDTH % 64
+        value = F.shiftrightunsigned(_FP[number * WIDTH // 64], first).bitwiseAND((1 << WIDTH) - 1)
+        own = value.bitwiseOR(F.lit(number << WIDTH))
+        slots.append(F.struct(own.alias("bucket"), F.lit(0).alias("probe")))
+        for bit in range(WIDTH):
+            absent = value.bitwiseAND(F.lit(1 << bit)) == 0
+            slots.append(F.when(absent, F.struct(own.bitwiseOR(F.lit(1 << bit)).alias("bucket"), F.lit(1).alias("probe"))))
+    least = F.transform("least", lambda x: F.struct(x.alias("bucket"), F.lit(0).alias("probe")))
+    every = F.concat(F.array_compact(F.array(*slots)), least)
+    rows = nodes.select(F.explode(every).alias("slot"), "key", "f0", "f1")
+    return rows.select("slot.bucket", "slot.probe", "key", "f0", "f1")
+
+
 def _buckets(batches, columns: list[str]):
     """The buckets of sorted rows, as arrays of their columns."""
     held: list = []
@@ -126,79 +148,94 @@ def _split(rows):
         yield [c[edges[i] : edges[i + 1]] for c in rows]
 
 
-def _near(bucket: int, c0: np.ndarray, c1: np.ndarray):
-    """Ranges of rows and the distances to all rows of the bucket, with those that are near."""
-    limit = NEAR if bucket >= 0 else NEAR_SHORT
-    step = max(1, (1 << 20) // len(c0))
-    for low in range(0, len(c0), step):
-        apart = np.bitwise_count(c0[low : low + step, None] ^ c0[None, :]).astype(np.int16)
-        apart += np.bitwise_count(c1[low : low + step, None] ^ c1[None, :])
-        yield low, apart, apart <= limit
-
-
-def _emit(found: list):
-    for low in range(0, len(found), 1 << 16):
-        rows = list(zip(*found[low : low + (1 << 16)]))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(rows[0], pa.int64()), pa.array(rows[1], pa.int64()), pa.array(rows[2], pa.int32()), pa.array(rows[3], pa.int64())],
-            names=["a", "b", "apart", "crowded"],
-        )
-
-
-def _first_look(batches):
-    """All candidates of a bucket; of a crowded one, for every row the least and the nearest one, and the bucket."""
-    out: list = []
-    for buckets, keys, c0, c1 in _buckets(batches, ["bucket", "key", "c0", "c1"]):
-        bucket, n, count, pairs, few = int(buckets[0]), len(keys), 0, [], []
-        u0, u1 = c0.view(np.uint64), c1.view(np.uint64)
-        for low, apart, near in _near(bucket, u0, u1):
-            rows = np.arange(low, low + len(apart))
-            near[rows - low, rows] = False
-            count += int(near.sum())
-            some = np.flatnonzero(near.any(1))
-            if not len(some):
+def _candidates(bucket: int, filed: int, rows, low: int, high: int, roots):
+    """Pairs of rows of a bucket, of which the first ``filed`` are filed there, and whether some row has more than ``high`` near ones.
+
+    Every row is paired with the near filed ones; of these, in the order of their distance, those in places ``low`` to ``high`` come out unless
+    both ends have the same root.
+    """
+    f0, f1 = rows
+    limit, pairs, more = NEAR if bucket >= 0 else NEAR_SHORT, [], False
+    step = max(1, (1 << 20) // filed)
+    for start in range(0, len(f0), step):
+        apart = np.bitwise_count(f0[start : start + step, None] ^ f0[None, :filed]).astype(np.int16)
+        apart += np.bitwise_count(f1[start : start + step, None] ^ f1[None, :filed])
+        own = np.arange(start, min(start + len(apart), filed))
+        apart[own - start, own] = 999
+        near = apart <= limit
+        for i in np.flatnonzero(near.any(1)).tolist():
+            others = np.flatnonzero(near[i])
+            if len(others) > low:
+                more |= len(others) > high
+                others = others[np.argsort(apart[i, others], kind="stable")][low:high]
+                if roots is not None:
+                    others = others[roots[others] != roots[start + i]]
+                pairs += [(start + i, j) for j in others.tolist()]
+    return pairs, more
+
+
+def _look(low: int, high: int, rooted: bool):
+    """``a, b, short`` for the candidates of a round; a bucket with rows that have more of them comes as ``a`` alone."""
+    columns = ["bucket", "probe", "key", "f0", "f1", *(["root"] if rooted else [])]
+
+    def emit(out: list):
+        for at in range(0, len(out), 1 << 16):
+            a, b, short = zip(*out[at : at + (1 << 16)])
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(short, pa.bool_())], names=["a", "b", "short"])
+
+    def run(batches):
+        out: list = []
+        for buckets, probes, keys, f0, f1, *roots in _buckets(batches, columns):
+            filed = len(probes) - int(probes.sum())
+            if not filed:
                 continue
-            # rows are sorted by key, so the first is the least
-            least = near[some].argmax(1)
-            nearest = np.where(near[some], apart[some], 999).argmin(1)
-            few += [(int(keys[low + i]), int(keys[j]), int(apart[i, j]), bucket) for js in (least, nearest) for i, j in zip(some, js)]
-            if count <= 2 * _CROWDED * n:
-                i, j = np.nonzero(near)
-                once = low + i < j
-                pairs += [(int(keys[low + x]), int(keys[y]), 0, None) for x, y in zip(i[once], j[once])]
-        out += few if count > 2 * _CROWDED * n else pairs
-        if len(out) > 1 << 16:
-            yield from _emit(out)
-            out = []
-    yield from _emit(out)
-
-
-def _second_look(batches):
-    """The candidates between different components."""
-    out: list = []
-    for buckets, keys, c0, c1, roots in _buckets(batches, ["bucket", "key", "c0", "c1", "root"]):
-        if (roots == roots[0]).all():
-            continue
-        for low, _, near in _near(int(buckets[0]), c0.view(np.uint64), c1.view(np.uint64)):
-            near &= roots[low : low + len(near), None] != roots[None, :]
-            i, j = np.nonzero(near)
-            once = low + i < j
-            out += [(int(keys[low + x]), int(keys[y]), 0, None) for x, y in zip(i[once], j[once])]
+            bucket, keys_ = int(buckets[0]), keys.tolist()
+            pairs, more = _candidates(
+                bucket, filed, (f0.view(np.uint64), f1.view(np.uint64)), low, high, roots[0] if roots else None
+            )
+            out += [(min(keys_[i], keys_[j]), max(keys_[i], keys_[j]), bucket < 0) for i, j in pairs if keys_[i] != keys_[j]]
+            if more:
+                out.append((bucket, None, None))
             if len(out) > 1 << 16:
-                yield from _emit(out)
+                yield from emit(out)
                 out = []
-    yield from _emit(out)
+        yield from emit(out)
 
-
-_PAIRS = "a long, b long, apart int, crowded long"
+    return run
 
 
 def _dealt(rows: DataFrame) -> DataFrame:
-    return rows.repartition(parts(rows.sparkSession), "bucket").sortWithinPartitions("bucket", "key")
+    return rows.repartition(parts(rows.sparkSession), "bucket").sortWithinPartitions("bucket", "probe", "key")
+
+
+def _complete(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """``a, b`` whose complete fingerprints are near. Pairs that share a shingle of short texts need not be: few shingles make wild bits."""
+    distinct = pairs.groupBy("a", "b").agg(F.max("short").alias("short"))
+    x = nodes.select(F.col("key").alias("a"), *(F.col(c).alias(f"x{c}") for c in _FP))
+    y = nodes.select(F.col("key").alias("b"), *(F.col(c).alias(f"y{c}") for c in _FP))
+    apart = sum((F.bit_count(F.col(f"x{c}").bitwiseXOR(F.col(f"y{c}"))) for c in _FP), F.lit(0))
+    return distinct.join(x, "a").join(y, "b").where(F.col("short") | (apart <= NEAR_ALL)).select("a", "b")
+
+
+def _sets(pairs: DataFrame, marked: DataFrame, docs: DataFrame) -> DataFrame:
+    """``key, shingles`` of the keys of ``pairs``, from one text of each; only these texts are read again and shuffled."""
+    keys = pairs.select(F.col("a").alias("key")).union(pairs.select("b")).distinct()
+    where = F.min(F.struct(F.coalesce("did", F.lit(0)).alias("d"), F.isnull("did").alias("unnamed"), "th")).alias("text")
+    chosen = marked.join(keys, "key", "left_semi").groupBy("key").agg(where).select("key", "text.*")
+    chosen = stage(chosen, "chosen-texts", small=True)
+    named = docs.select(F.coalesce("did", F.lit(0)).alias("d"), F.isnull("did").alias("unnamed"), "th", "text")
+    filter_ = stage(bit_filter(chosen, "d", "unnamed", "th"), "chosen-filter", small=True)
+    texts = passing(named, filter_, "d", "unnamed", "th").where("passes").drop("passes")
+    found = texts.join(chosen, ["d", "unnamed", "th"]).select("key", "text").dropDuplicates(["key"])
 
+    def compute(batches):
+        for batch in batches:
+            lists = [shingles(t.as_py()).view(np.int64) for t in batch["text"]]
+            yield pa.RecordBatch.from_arrays([batch["key"], pa.array(lists, pa.list_(pa.int64()))], names=["key", "shingles"])
 
-def _ordered(pairs: DataFrame) -> DataFrame:
-    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    sets = stage(found.mapInArrow(compute, "key long, shingles array<long>"), "sets")
+    drop(chosen, filter_)
+    return sets
 
 
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -221,50 +258,64 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInArrow(test, "a long, b long")
 
 
-def _roots(marked: DataFrame) -> DataFrame:
-    """``node, root`` of every key that has a near copy of another key."""
-    sets = marked.where("shingles is not null")
-    nodes = stage(sets.select("key", "c0", "c1", "slots").dropDuplicates(["key"]), "nodes")
-    unique = sets.select("key", "shingles").dropDuplicates(["key"])
-    rows = nodes.select(F.explode("slots").alias("bucket"), "key", "c0", "c1")
-    seen = stage(_dealt(rows).mapInArrow(_first_look, _PAIRS), "candidates")
-    crowded = seen.where("crowded is not null")
-    best = crowded.groupBy("a").agg(F.min("b").alias("least"), F.min(F.struct("apart", "b")).alias("nearest"))
-    tested = stage(
-        _ordered(
-            seen.where("crowded is null").select("a", "b")
-            .union(best.select("a", "least"))
-            .union(best.select("a", "nearest.b"))
-        ),
-        "tested",
-    )
-    links = stage(_verified(tested, unique), "links")
-    groups = components(links)
-    if crowded.isEmpty():
-        return groups
-    # a crowded bucket had only some candidates tested: now all those that would join two components
-    again = rows.join(crowded.select(F.col("crowded").alias("bucket")).distinct(), "bucket", "left_semi")
-    rooted = again.join(groups.withColumnRenamed("node", "key"), "key", "left").withColumn("root", F.coalesce("root", "key"))
-    left = _ordered(_dealt(rooted.select("bucket", "key", "c0", "c1", "root")).mapInArrow(_second_look, _PAIRS))
-    left = stage(left.join(tested, ["a", "b"], "left_anti"), "candidates")
-    more = stage(_verified(left, unique), "links")
-    return groups if more.isEmpty() else components(links.union(more))
+def _roots(marked: DataFrame, docs: DataFrame) -> DataFrame:
+    """``node, root`` of every key that has a near copy of another key; a stored table.
+
+    Rounds: first the nearest few candidates of every row are tested. Buckets in which some row has more are looked at again, ``GROWTH`` times
+    as many at a time and only between texts that are not connected yet, until no row has more. So a large group of near copies costs a few
+    links a row, and no candidate between two groups is left out.
+    """
+    nodes = stage(marked.where("f0 is not null").dropDuplicates(["key"]).select("key", *_FP, "least"), "nodes", small=True)
+    low, high, links, groups, crowded = 0, FIRST_ROUND, [], None, None
+    while True:
+        rows = bucket_rows(nodes)
+        if crowded is not None:
+            rows = rows.join(crowded, "bucket", "left_semi")
+            rooted = groups.withColumnRenamed("node", "key")
+            rows = rows.join(rooted, "key", "left").withColumn("root", F.coalesce("root", "key"))
+        found = stage(_dealt(rows).mapInArrow(_look(low, high, crowded is not None), "a long, b long, short boolean"), "candidates")
+        tested = stage(_complete(found.where("b is not null"), nodes), "tested", small=True)
+        more = stage(found.where("b is null").select(F.col("a").alias("bucket")).distinct(), "crowded", small=True)
+        drop(found, *([crowded] if crowded is not None else []))
+        if not tested.isEmpty() or groups is None:
+            sets = _sets(tested, marked, docs)
+            links.append(stage(_verified(tested, sets), "links", small=True))
+            drop(sets, *([groups] if groups is not None else []))
+            every = links[0]
+            for other in links[1:]:
+                every = every.union(other)
+            groups = components(every)
+        drop(tested)
+        crowded, low, high = more, high, high * GROWTH
+        if crowded.isEmpty():
+            drop(nodes, crowded, *links)
+            return groups
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
     """Rows of ``docs``, one of each group of near copies: that of the least id (null ids last), then of the least text hash.
 
-    Rows are connected if their sets of ``WORDS``-word shingles have a Jaccard index of ``LEAST_LIKENESS`` or more. Texts without
-    words are a group. Rows that share an id but not the text are apart. An empty table gives no rows.
+    Rows are connected if their sets of ``WORDS``-word shingles have a Jaccard index of ``LEAST_LIKENESS`` or more. Null and empty texts and
+    texts without words are one group. Rows that share an id but not the text are apart. Of rows that share both, one stays. Texts of any
+    length are read whole; an empty table gives no rows. All columns stay as they are, whatever their names.
+
+    Rows outside of any group of two pass without being shuffled.
     """
     row = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")
     text = F.coalesce(F.col("text"), F.lit(""))
     base = docs.select(row, F.col("doc_id").cast("long").alias("did"), F.xxhash64(text).alias("th"), text.alias("text"))
-    marked = stage(_marked(base), "shingles")
+    marked = stage(_marked(base), "fingerprints")
+    roots = _roots(marked, base)
+    rooted = marked.select("did", "th", "key").join(roots.withColumnRenamed("node", "key"), "key", "left")
+    rooted = rooted.select("did", "th", F.coalesce("root", "key").alias("root"))
     me = F.min(F.struct(F.isnull("did").alias("unnamed"), "did", "th")).alias("first")
-    firsts = marked.groupBy("key").agg(me)
-    rooted = firsts.join(_roots(marked).withColumnRenamed("node", "key"), "key", "left")
-    chosen = rooted.groupBy(F.coalesce("root", "key")).agg(F.min("first").alias("first")).select("first.did", "first.th")
-    same = base["did"].eqNullSafe(chosen["did"]) & (base["th"] == chosen["th"])
-    kept = base.select("did", "th", "row").join(chosen, same, "left_semi").dropDuplicates(["did", "th"])
-    return kept.select("row.*")
+    groups = stage(rooted.groupBy("root").agg(me, F.count(F.lit(1)).alias("n")), "groups", small=True)
+    crowd = rooted.join(groups.where("n > 1").select("root"), "root", "left_semi")
+    filter_ = stage(bit_filter(crowd, "did", "th"), "group-filter", small=True)
+    chosen = stage(groups.select("first.did", "first.th"), "chosen", small=True)
+    drop(marked, roots, groups)
+    passed = passing(base.select("did", "th", "row"), filter_, "did", "th")
+    grouped = passed.where("passes")
+    same = grouped["did"].eqNullSafe(chosen["did"]) & (grouped["th"] == chosen["th"])
+    kept = grouped.join(chosen, same, "left_semi").dropDuplicates(["did", "th"])
+    return passed.where("not passes").select("row").union(kept.select("row")).select("row.*")
