@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from candlelake.llm import (
     bisectors,
@@ -24,9 +26,7 @@ from candlelake.llm import (
 from candlelake.session import use_utc
 
 Query = Callable[[SparkSession, str], DataFrame]
-# folder of the public vocabularies
-TOKENIZERS = "/opt/tokenizers"
-VOCABULARY = f"{TOKENIZERS}/word_bpe_49k.json"
+VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 
 # shares of the tokens by domain, and the probability under which a language counts as unrecognised
 TARGETS = {"good": 0.85, "poor": 0.1, "toxic": 0.05}
@@ -95,7 +95,7 @@ ORACLES["op6_license_statements"] = licenses.statements_oracle()
 @query
 def op7_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = vectors.usable(table(spark, sf_dir, "embeddings"), "vec_id", "embedding")
-    return vectors.search(found, found.where("vec_id % 20 = 0"))
+    return vectors.search_lengths(found, F.expr("vec_id % 20 = 0")).drop("query_variant", "variant")
 
 
 @query
