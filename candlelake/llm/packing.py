@@ -18,9 +18,11 @@ from pyspark.sql import functions as F
 
 from candlelake.llm.hashing import mix, word_hashes, words_of
 from candlelake.llm.stages import map_arrow, parts, runs_of_rows, stage, starts_of_parts, text_bytes
-from candlelake.llm.tokens import document_ids
+from candlelake.llm.tokens import ids_of_batch
 
 DIMENSIONS, BITS = 4, 12
+# texts on which the stretches of the curve are balanced
+SAMPLE = 1 << 16
 
 
 def hilbert_keys(points: np.ndarray, bits: int = BITS) -> np.ndarray:
@@ -75,8 +77,37 @@ def points_of(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return np.clip(out * (half / 8) + half, 0, 2 * half - 1).astype(np.int64)
 
 
+def _splitters(docs: DataFrame, n: int) -> np.ndarray:
+    """Curve keys that cut the curve into ``n`` stretches of about equal bytes, found on a sample of at most about ``SAMPLE`` texts.
+
+    They decide which task takes what, and never the result.
+    """
+    rows = max(1, docs.count())
+    sample = docs.sample(min(1.0, SAMPLE / rows), seed=7)
+    found = curve_keys(sample).select("curve", "tie", F.coalesce(F.octet_length("text"), F.lit(0)).alias("size")).toArrow()
+    if not found.num_rows:
+        return np.zeros((0, 2), np.int64)
+    keys = np.column_stack([np.asarray(found["curve"]), np.asarray(found["tie"])])
+    order = np.lexsort((keys[:, 1], keys[:, 0]))
+    # an empty text costs something too
+    weight = np.cumsum(np.asarray(found["size"], np.int64)[order] + 64)
+    cuts = np.searchsorted(weight, weight[-1] * np.arange(1, n) / n)
+    return np.unique(keys[order][cuts], axis=0)
+
+
+def _stretch(splitters: np.ndarray, curve: np.ndarray, tie: np.ndarray) -> np.ndarray:
+    """How many splitters are at or before each row."""
+    if not len(splitters):
+        return np.zeros(len(curve), np.int64)
+    low = np.searchsorted(splitters[:, 0], curve, side="left")
+    high = np.searchsorted(splitters[:, 0], curve, side="right")
+    for i in np.flatnonzero(low < high):  # several texts may share a key of the curve
+        low[i] += np.searchsorted(splitters[low[i] : high[i], 1], tie[i], side="right")
+    return low
+
+
 def curve_keys(docs: DataFrame) -> DataFrame:
-    """``doc_id, text`` with ``curve``, the Hilbert key of the text (null: empty)."""
+    """``doc_id, text, tie`` with ``curve``, the Hilbert key of the text (null: empty); ``tie`` tells rows of one key apart."""
 
     def keys(batch):
         text = batch["text"]
@@ -86,12 +117,12 @@ def curve_keys(docs: DataFrame) -> DataFrame:
             for a, b in runs_of_rows(offsets)
         ]
         yield pa.RecordBatch.from_arrays(
-            [batch["doc_id"], text, pa.array(np.concatenate(out))], names=["doc_id", "text", "curve"]
+            [batch["doc_id"], text, batch["tie"], pa.array(np.concatenate(out))], names=["doc_id", "text", "tie", "curve"]
         )
 
-    return map_arrow(
-        docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), keys, "doc_id long, text string, curve long"
-    )
+    named = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    tied = named.withColumn("tie", F.xxhash64("text", "doc_id"))
+    return map_arrow(tied, keys, "doc_id long, text string, tie long, curve long")
 
 
 def pack(docs: DataFrame, vocabulary: str, capacity: int = 2048) -> DataFrame:
@@ -106,27 +137,30 @@ def pack(docs: DataFrame, vocabulary: str, capacity: int = 2048) -> DataFrame:
     def encode(batches):
         local = 0
         for batch in batches:
-            texts, ids, starts = batch["text"], [], []
-            for text in texts:
-                coded = document_ids(vocabulary, text.as_py())
-                wide = np.frombuffer(coded, "<u4")
+            for low, high, found, counts in ids_of_batch(vocabulary, batch["text"]):
+                ends = np.cumsum(counts)
+                starts = ends - counts
                 # vocabularies of up to 65,536 ids are stored in two bytes
-                ids.append(wide.astype("<u2").tobytes() if wide.max() < 1 << 16 else coded + b"w")
-                starts.append(local)
-                local += len(wide)
-            counts = np.diff(np.array([*starts, local], np.int64))
-            yield pa.RecordBatch.from_arrays(
-                [batch["part"], batch["doc_id"], pa.array(starts, pa.int64()), pa.array(counts), pa.array(ids, pa.binary())],
-                names=["part", "doc_id", "local", "doc_tokens", "ids"],
-            )
-
-    ordered = (
-        curve_keys(docs)
-        .withColumn("tie", F.xxhash64("text", "doc_id"))
-        .repartitionByRange(parts(docs.sparkSession), "curve", "tie")
-        .sortWithinPartitions("curve", "tie", "doc_id")
-        .select(F.spark_partition_id().alias("part"), "doc_id", "text")
-    )
+                narrow = found.max() < 1 << 16
+                raw, size = (found.astype("<u2").tobytes(), 2) if narrow else (found.tobytes(), 4)
+                ids = [raw[a * size : b * size] + (b"" if narrow else b"w") for a, b in zip(starts.tolist(), ends.tolist())]
+                rows = batch.slice(low, high - low)
+                yield pa.RecordBatch.from_arrays(
+                    [rows["part"], rows["doc_id"], pa.array(starts + local), pa.array(counts), pa.array(ids, pa.binary())],
+                    names=["part", "doc_id", "local", "doc_tokens", "ids"],
+                )
+                local += int(ends[-1])
+
+    n = parts(docs.sparkSession)
+    send = docs.sparkSession.sparkContext.broadcast(_splitters(docs, n))
+
+    def assign(batch):
+        stretch = _stretch(send.value, np.asarray(batch["curve"]), np.asarray(batch["tie"]))
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(stretch.astype(np.int32))], names=[*batch.schema.names, "stretch"])
+
+    keyed = map_arrow(curve_keys(docs), assign, "doc_id long, text string, tie long, curve long, stretch int")
+    ordered = keyed.repartitionById(n, "stretch").sortWithinPartitions("curve", "tie", "doc_id")
+    ordered = ordered.select(F.spark_partition_id().alias("part"), "doc_id", "text")
     coded = stage(
         ordered.mapInArrow(encode, "part int, doc_id long, local long, doc_tokens long, ids binary"), "packing"
     )

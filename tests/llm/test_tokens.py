@@ -3,8 +3,9 @@
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
-from hypothesis import given
+from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
@@ -111,3 +112,67 @@ def test_empty_table(spark):
     empty = spark.createDataFrame([], SCHEMA)
     assert tokens.token_file_report(empty, VOCABULARY).count() == 0
     assert packing.pack(empty, VOCABULARY).count() == 0
+
+
+PARTS = st.sampled_from(["the", "École", "é", "É.", "it's", "'re", "12", "a.b", "x" * 30, "ß,", "İ", "Å", "é", "日本", "½", "\x85", "\x1c", "\x00", "<|endoftext|>", "…", ";;;"])
+
+
+@settings(deadline=None)
+@given(st.lists(st.lists(st.one_of(PARTS, st.text(max_size=6), st.sampled_from([" ", "\n", "\t\x0b"])), max_size=12).map("".join), min_size=1, max_size=6))
+def test_batches_encode_like_the_library(texts):
+    texts = [t.encode("utf-8", "ignore").decode() for t in texts]
+    coder = tokens.encoder(VOCABULARY)
+    ids, counts = coder.encode_all(pa.array([*texts, None], pa.string()))
+    ends = np.cumsum(counts)
+    assert counts[-1] == 0
+    for text, end, count in zip(texts, ends, counts):
+        want = coder.tokenizer.encode(text, add_special_tokens=False).ids
+        assert ids[end - count : end].tolist() == want
+        assert np.frombuffer(coder.encode(text.encode()), "<u4").tolist() == want
+
+
+def test_blocks_hold_whole_documents(spark):
+    rows = [(i, "word " * (i * 37 % 900)) for i in range(400)] + [(1000, "long " * 40_000)]
+    file = tokens.write_ids(spark.createDataFrame(rows, "doc_id long, text string"), VOCABULARY)
+    blocks = file.orderBy("part", "block").collect()
+    assert [d for b in blocks for d in b.doc_ids] == sorted(r[0] for r in rows)
+    last = {b.part: b.block for b in blocks}
+    for b in blocks:
+        assert b.ends[-1] == b.n_ids and (b.n_ids >= tokens.BLOCK_IDS or b.block == last[b.part])
+        assert len(b.ends) == 1 or b.ends[-2] < tokens.BLOCK_IDS
+    got = tokens.read_ids(file).collect()
+    assert {r.doc_id: r.ids for r in got} == {d: expected(t).tobytes() for d, t in rows}
+
+
+def test_crowded_id_is_split(spark):
+    """A third of the rows share an id: their texts range over several tasks, and the file keeps its order."""
+    rows = [(5 if i % 3 == 0 else i, f"text {i}") for i in range(900)] + [(None, "x y")] * 300
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert tokens._crowded(docs, 8) and not tokens._crowded(docs.where("doc_id <> 5"), 8)
+    blocks = tokens.write_ids(docs, VOCABULARY).orderBy("part", "block").collect()
+    ids = [d for b in blocks for d in b.doc_ids]
+    assert ids == sorted((d for d, _ in rows), key=lambda d: (d is not None, d or 0))
+    assert len({b.part for b in blocks if 5 in b.doc_ids}) > 1
+
+
+def test_stretches_of_the_curve_hold_equal_bytes(spark):
+    """Long texts that lie together on the curve are dealt to several tasks."""
+    rng = np.random.default_rng(3)
+    words = [f"w{i}" for i in range(500)]
+    rows = [(i, " ".join(rng.choice(words, 4000 if i < 60 else 5))) for i in range(800)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    splitters = packing._splitters(docs, 8)
+    keys = packing.curve_keys(docs).collect()
+    stretch = packing._stretch(splitters, np.array([k.curve for k in keys]), np.array([k.tie for k in keys]))
+    sizes = np.bincount(stretch, weights=[len(k.text) for k in keys])
+    assert len(sizes) == 8 and sizes.max() < 1.5 * sizes.sum() / 8
+    order = sorted(range(len(keys)), key=lambda i: (keys[i].curve, keys[i].tie))
+    assert (np.diff(stretch[order]) >= 0).all()
+
+
+def test_ranges_do_not_change_the_packing(spark, monkeypatch):
+    rows = [(i, "a b c " * (i % 40)) for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    want = sorted(map(tuple, packing.pack(docs, VOCABULARY).collect()))
+    monkeypatch.setattr(packing, "SAMPLE", 10)
+    assert sorted(map(tuple, packing.pack(docs, VOCABULARY).collect())) == want
