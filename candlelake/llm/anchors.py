@@ -191,6 +191,7 @@ class Repeats:
 
 def search(keyed: DataFrame, units: Units, keep_first: bool) -> Repeats:
     """Find the places where windows can repeat. ``keep_first``: the first member of a class isn't settled by it."""
+    keyed = keyed.select("did", "th", "text")
     rows = stage(anchor_rows(keyed, units), "anchors")
     # joins read stored tables on both sides, so that Spark can split a gram with many rows
     repeated = stage(
@@ -330,14 +331,14 @@ def _ranges(contexts: DataFrame, units: Units) -> DataFrame:
     return map_arrow(contexts.select("key", "did", "at", "near", "far", "left", "units"), rows, _CONTEXT + ", context long")
 
 
-Solver = Callable[[list[tuple[int, int, int, int, bytes]]], Iterator[tuple[int, int, int, int]]]
+Solver = Callable[[list[tuple[int, int, int, int, bytes, int]]], Iterator[tuple[int, int, int, int]]]
 
 
 def solve(repeats: Repeats, spark, solver: Solver, most: int) -> DataFrame:
     """``did, th, low, high``: settled spans and those that ``solver`` finds.
 
     The solver gets the contexts of whole keys, in ascending ``(did, place)`` order, as
-    ``(key, did, place, left, units)``; several small keys come together, up to ``most`` contexts. It yields
+    ``(key, did, place, left, units, th)``; several small keys come together, up to ``most`` contexts. It yields
     ``(number of the context, low, high)`` spans in units of the text.
     """
 
@@ -355,7 +356,7 @@ def solve(repeats: Repeats, spark, solver: Solver, most: int) -> DataFrame:
             yield found(held)
 
     def found(rows):
-        spans = list(solver([(k, did, at >> _HIGH, left, raw) for k, did, at, left, raw in rows]))
+        spans = list(solver([(k, did, at >> _HIGH, left, raw, at & 0xFFFFFFFF) for k, did, at, left, raw in rows]))
         which = np.array([s[0] for s in spans], np.int64)
         th = np.array([r[2] & 0xFFFFFFFF for r in rows], np.uint32).view(np.int32)
         did = np.array([r[1] for r in rows], np.int64)

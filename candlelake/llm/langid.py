@@ -150,11 +150,14 @@ def train(docs: DataFrame) -> Model:
     share = F.lit(0)
     for language, rows in rows_of.items():
         share = F.when(F.col("lang") == language, int(_SHARES * min(1.0, 1.3 * each / rows)) + 1).otherwise(share)
-    drawn = known.select("doc_id", "lang").where(F.pmod(F.xxhash64(F.lit("draw"), "doc_id"), F.lit(_SHARES)) < share)
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy(order, "doc_id"))
-    chosen = drawn.withColumn("rank", rank).where(F.col("rank") <= each).select("doc_id")
-    # at most MOST_TRAINING ids
-    sample = known.join(F.broadcast(chosen.distinct()), "doc_id").withColumn("order", order)
+    # rows that repeat id, text and language count once, so the sample is bounded however often an id repeats
+    row = ["doc_id", "lang", "th"]
+    hashed = known.withColumn("th", F.xxhash64("text"))
+    drawn = hashed.where(F.pmod(F.xxhash64(F.lit("draw"), "doc_id"), F.lit(_SHARES)) < share).select(row).distinct()
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy(order, "doc_id", "th"))
+    chosen = drawn.withColumn("rank", rank).where(F.col("rank") <= each).select(row)
+    # at most MOST_TRAINING rows
+    sample = hashed.join(F.broadcast(chosen), row).dropDuplicates(row).withColumn("order", order)
     index = {language: i for i, language in enumerate(languages)}
 
     def vectors(batch):
@@ -224,7 +227,11 @@ def identify(docs: DataFrame) -> DataFrame:
 
 
 def keep_identified(docs: DataFrame, least_score: float) -> DataFrame:
-    """Rows of ``docs`` with a predicted language of at least ``least_score``; the others are rejected."""
+    """Rows of ``docs`` with a predicted language of at least ``least_score``; the others are rejected.
+
+    Null texts and texts without a letter are rejected, and so is every text if nothing was learned. Texts of any length are read whole. Repeated
+    rows, and rows that share an id, are judged one by one. Columns stay as they are, whatever their names; an empty table gives no rows.
+    """
     names = ("_lang_pred", "_score")
     while set(names) & set(docs.columns):
         names = tuple(f"_{n}" for n in names)

@@ -238,7 +238,12 @@ def mixing_rates(docs: DataFrame, labels: DataFrame, targets: dict[str, float])
 
 
 def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float]) -> DataFrame:
-    """Rows of ``docs`` repeated by their copies; rows with none are dropped. Columns stay as they are."""
+    """Rows of ``docs`` repeated by their copies; rows with none are dropped.
+
+    Null and empty texts have no tokens and the prior as posteriors. Texts of any length are scored whole. Rows that repeat id and text draw
+    alike and are each repeated as often. Without labels all domains are alike. Columns stay as they are, whatever their names; an
+    empty table gives no rows.
+    """
     text = F.xxhash64(F.coalesce("text", F.lit("")))
     keyed = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), F.col("doc_id").alias("did"), text.alias("th"))
     base = docs.select("doc_id", text.alias("th"), "text")

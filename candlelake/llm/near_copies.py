@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from candlelake.llm import hashing
 from candlelake.llm.components import components
 from candlelake.llm.exact_copies import bit_filter, passing
+from candlelake.llm.simhash import _counting, _spans
 from candlelake.llm.stages import drop, parts, stage
 
 WORDS, LEAST_LIKENESS = 5, 0.8
@@ -29,6 +30,8 @@ NEAR, NEAR_SHORT, NEAR_ALL = 36, 48, 66
 # candidates of a row that are tested in the first round, and how this grows by round
 FIRST_ROUND, GROWTH = 8, 4
 _CHUNK = 255 * 16
+# comparisons of one bucket up to which buckets are compared together
+_SMALL = 4096
 _LONGS = SEGMENTS * WIDTH // 64
 _ODD = hashing._stream(1 << 42, _LONGS) | np.uint64(1)
 _FACTORS = hashing._stream(1 << 43, WORDS) | np.uint64(1)
@@ -124,8 +127,8 @@ def bucket_rows(nodes: DataFrame) -> DataFrame:
     return rows.select("slot.bucket", "slot.probe", "key", "f0", "f1")
 
 
-def _buckets(batches, columns: list[str]):
-    """The buckets of sorted rows, as arrays of their columns."""
+def _chunks(batches, columns: list[str]):
+    """Sorted rows as arrays of their columns, cut between buckets."""
     held: list = []
     for batch in batches:
         if not batch.num_rows:
@@ -135,17 +138,34 @@ def _buckets(batches, columns: list[str]):
             continue  # the bucket may go on
         joined = [np.concatenate(c) for c in zip(*held)]
         end = int(np.searchsorted(joined[0], joined[0][-1]))
-        yield from _split([c[:end] for c in joined])
+        if end:
+            yield [c[:end] for c in joined]
         held = [[c[end:] for c in joined]]
     if held:
-        yield from _split([np.concatenate(c) for c in zip(*held)])
-
-
-def _split(rows):
-    cuts = np.flatnonzero(np.diff(rows[0])) + 1
-    edges = np.concatenate([[0], cuts, [len(rows[0])]])
-    for i in np.flatnonzero(np.diff(edges) > 1):
-        yield [c[edges[i] : edges[i + 1]] for c in rows]
+        yield [np.concatenate(c) for c in zip(*held)]
+
+
+def _near_pairs(buckets, f0, f1, heads, sizes, filed, high: int):
+    """Near pairs (a filed row, a later row) of small buckets, all at once; and which buckets are left: large ones, and those with a crowded row."""
+    compared = filed * sizes - filed * (filed + 1) // 2
+    small = np.flatnonzero((compared > 0) & (compared <= _SMALL))
+    first = np.repeat(heads[small], filed[small]) + _counting(filed[small])
+    later = np.repeat(heads[small] + sizes[small], filed[small]) - first - 1
+    found = [(np.zeros(0, np.int64),) * 2]
+    for low, top in _spans(later, 1 << 20):
+        a = np.repeat(first[low:top], later[low:top])
+        b = a + 1 + _counting(later[low:top])
+        apart = np.bitwise_count(f0[a] ^ f0[b]).astype(np.int16) + np.bitwise_count(f1[a] ^ f1[b])
+        near = apart <= np.where(buckets[a] >= 0, NEAR, NEAR_SHORT)
+        found.append((a[near], b[near]))
+    a, b = (np.concatenate(c) for c in zip(*found))
+    number = np.searchsorted(heads, a, side="right") - 1
+    is_filed = b < (heads + filed)[number]
+    near_ones = np.bincount(b, minlength=len(buckets)) + np.bincount(a[is_filed], minlength=len(buckets))
+    crowded = np.maximum.reduceat(near_ones, heads) > high
+    left = np.flatnonzero((compared > _SMALL) | crowded)
+    plain = ~crowded[number]
+    return a[plain], b[plain], left
 
 
 def _candidates(bucket: int, filed: int, rows, low: int, high: int, roots):
@@ -185,17 +205,24 @@ def _look(low: int, high: int, rooted: bool):
 
     def run(batches):
         out: list = []
-        for buckets, probes, keys, f0, f1, *roots in _buckets(batches, columns):
-            filed = len(probes) - int(probes.sum())
-            if not filed:
-                continue
-            bucket, keys_ = int(buckets[0]), keys.tolist()
-            pairs, more = _candidates(
-                bucket, filed, (f0.view(np.uint64), f1.view(np.uint64)), low, high, roots[0] if roots else None
-            )
-            out += [(min(keys_[i], keys_[j]), max(keys_[i], keys_[j]), bucket < 0) for i, j in pairs if keys_[i] != keys_[j]]
-            if more:
-                out.append((bucket, None, None))
+        for buckets, probes, keys, f0, f1, *roots in _chunks(batches, columns):
+            f0, f1 = f0.view(np.uint64), f1.view(np.uint64)
+            heads = np.flatnonzero(np.concatenate([[True], buckets[1:] != buckets[:-1]]))
+            sizes = np.diff(np.append(heads, len(buckets)))
+            filed = np.add.reduceat(1 - probes.astype(np.int64), heads)
+            left = np.flatnonzero((filed > 0) & (sizes > 1))
+            if not roots:
+                a, b, left = _near_pairs(buckets, f0, f1, heads, sizes, filed, high)
+                x, y, short = keys[a], keys[b], buckets[a] < 0
+                apart = x != y
+                out += zip(np.minimum(x, y)[apart].tolist(), np.maximum(x, y)[apart].tolist(), short[apart].tolist())
+            for i in left.tolist():
+                rows = slice(heads[i], heads[i] + sizes[i])
+                bucket, own = int(buckets[heads[i]]), keys[rows].tolist()
+                pairs, more = _candidates(bucket, int(filed[i]), (f0[rows], f1[rows]), low, high, roots[0][rows] if roots else None)
+                out += [(min(own[x], own[y]), max(own[x], own[y]), bucket < 0) for x, y in pairs if own[x] != own[y]]
+                if more:
+                    out.append((bucket, None, None))
             if len(out) > 1 << 16:
                 yield from emit(out)
                 out = []

@@ -131,7 +131,7 @@ def pack(docs: DataFrame, vocabulary: str, capacity: int = 2048) -> DataFrame:
     ``doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset`` and
     ``ids``, the piece's ids as little-endian 32-bit bytes. A null or empty text is
     the end id alone. Rows with equal ids or texts are packed one by one, equal
-    texts side by side. An empty table gives no rows.
+    texts side by side. A text of any length is cut wherever a sequence ends. Other columns play no part; an empty table gives no rows.
     """
 
     def encode(batches):

@@ -223,12 +223,3 @@ def near_groups(docs: DataFrame, words_per_shingle: int = 4, max_bits: int = 4)
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
 
-
-def keep_one(docs: DataFrame, words_per_shingle: int = 4, max_bits: int = 4) -> DataFrame:
-    """Rows of ``docs`` that are the first of their group: their id is its ``component_id``.
-
-    Rows of a null id, which no group can name, stay. Of rows that repeat the kept id, one stays.
-    """
-    first = near_groups(docs, words_per_shingle, max_bits).where("doc_id = component_id").select("doc_id").distinct()
-    named = docs.where("doc_id is not null").join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return named.select(docs.columns).union(docs.where("doc_id is null"))

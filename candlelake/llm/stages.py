@@ -49,9 +49,9 @@ def parts(spark: SparkSession) -> int:
 
 
 def keyed_docs(docs: DataFrame, *more: str) -> DataFrame:
-    """``did, th, text``: id (null: NULL_ID), a hash of the text and the text (null: empty); and columns ``more``.
+    """``did, th, text``: id (null: NULL_ID), a short hash of the text and the text (null: empty); and columns ``more``.
 
-    ``did, th`` tells apart rows that share an id but not the text.
+    ``did, th`` tells apart most rows that share an id but not the text; ``told_apart`` and ``numbered`` tell apart all.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
     return docs.select(
@@ -62,6 +62,30 @@ def keyed_docs(docs: DataFrame, *more: str) -> DataFrame:
     )
 
 
+def told_apart(keyed: DataFrame) -> DataFrame:
+    """``keyed_docs`` with the id as ``id``, and as ``did`` a 64-bit hash of id and text: with ``th``, 96 bits for each row."""
+    return keyed.withColumnRenamed("did", "id").withColumn("did", F.xxhash64("id", "text"))
+
+
+def numbered(keyed: DataFrame) -> DataFrame:
+    """``keyed_docs`` with a ``th`` that differs between rows that share an id, but not the text, for certain.
+
+    Nothing changes if no id repeats, which takes a look at the ids alone. Otherwise the distinct rows are numbered in the order of id and hash of the text,
+    over all tasks, and ``th`` is that number in 32 bits: neither nulls nor any id, however often it repeats, meet in one place.
+    """
+    if keyed.groupBy("did").count().where("count > 1").isEmpty():
+        return keyed
+    wide = keyed.drop("th").withColumn("wide", F.xxhash64("text"))
+    rows = wide.select("did", "wide").distinct().repartitionByRange(parts(keyed.sparkSession), "did", "wide")
+    marked = rows.sortWithinPartitions("did", "wide").withColumn("mark", F.monotonically_increasing_id())
+    # a mark holds the number of the task above that of the row
+    told = stage(marked.select("did", "wide", F.shiftright("mark", 33).alias("part"), F.col("mark").bitwiseAND((1 << 33) - 1).alias("own")), "numbers", small=True)
+    bases = F.broadcast(starts_of_parts(told.withColumn("one", F.lit(1)), "part", "one"))
+    low = (F.col("base") + F.col("own")).bitwiseAND((1 << 32) - 1)
+    signed = F.when(low >= 1 << 31, low - (1 << 32)).otherwise(low).cast("int")
+    return wide.join(told.join(bases, "part").select("did", "wide", signed.alias("th")), ["did", "wide"]).drop("wide")
+
+
 def doc_id(column: str = "did"):
     return F.when(F.col(column) != NULL_ID, F.col(column))
 

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from candlelake.llm import anchors
 from candlelake.llm.hashing import word_hashes, words_of
-from candlelake.llm.stages import doc_id, keyed_docs, map_arrow
+from candlelake.llm.stages import doc_id, keyed_docs, map_arrow, numbered
 
 GRAM = 8
 # words of a broadcast reference, in all and in one shard
@@ -97,7 +97,7 @@ class SuffixAutomaton:
 def _solver(window: int):
     def solve(rows):
         """Passages of a shard in ascending order of their place; later ones give way to earlier ones."""
-        order = sorted(range(len(rows)), key=lambda i: rows[i][1:3])
+        order = sorted(range(len(rows)), key=lambda i: (*rows[i][1:3], rows[i][5]))
         shard, tag, passages = SuffixAutomaton(), 0, []
         for i in order:
             words = np.frombuffer(rows[i][4], np.int64).tolist()
@@ -105,16 +105,17 @@ def _solver(window: int):
             shard.add(words, tag)
             tag += len(words)
         # where the tag's word lies: document and place
-        docs = np.repeat([rows[i][1] for i in order], [len(p[2]) for p in passages]).tolist()
+        sizes = [len(p[2]) for p in passages]
+        docs, texts = (np.repeat([rows[i][c] for i in order], sizes).tolist() for c in (1, 5))
         places = np.concatenate(
             [np.arange(len(words)) + rows[i][2] - rows[i][3] for i, _, words in passages]
         ).tolist()
         for i, _, words in passages:
-            did, begin = rows[i][1], rows[i][2] - rows[i][3]
+            did, begin, text = rows[i][1], rows[i][2] - rows[i][3], rows[i][5]
             low = high = None
             for place, first in shard.stream(words, window):
                 end = begin + place
-                if (docs[first], places[first]) >= (did, end):
+                if (docs[first], places[first], texts[first]) >= (did, end, text):
                     continue
                 if high == end:
                     high = end + 1
@@ -171,9 +172,10 @@ def remove_repeats(docs: DataFrame, window: int = 20) -> DataFrame:
     ``window`` consecutive words covers it whose sequence also starts earlier: in a row of a smaller id, or
     earlier in the same row. Windows are judged on the input. ``kept`` joins the remaining words by a space. A
     null text has no words; a null id comes before all others. Of rows with one id neither is earlier, unless
-    their texts differ: then a repeat counts as earlier by its place in the text. An empty table gives no rows.
+    their texts differ: then a repeat counts as earlier by its place in the text, at equal places by a number of the text. An empty table
+    gives no rows.
     """
-    keyed = keyed_docs(docs)
+    keyed = numbered(keyed_docs(docs))
     joined = anchors.with_spans(keyed, repeated_spans(keyed, window))
     return _result(map_arrow(joined.select("did", "text", "lows", "highs"), _cut(window), _RESULT))
 

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from candlelake.llm import anchors
-from candlelake.llm.stages import doc_id, keyed_docs, map_arrow
+from candlelake.llm.stages import doc_id, keyed_docs, map_arrow, told_apart
 
 GRAM = 32
 # bytes compared by quicksort, a few at a time, before blind tries take over
@@ -169,8 +169,8 @@ def _solver(window: int):
             while high < len(rows) and rows[high][0] == rows[low][0]:
                 high += 1
             group = rows[low:high]
-            lefts = [raw[:left][::-1] for _, _, _, left, raw in group]
-            rights = [raw[left:] for _, _, _, left, raw in group]
+            lefts = [raw[:left][::-1] for _, _, _, left, raw, _ in group]
+            rights = [raw[left:] for _, _, _, left, raw, _ in group]
             for number, left, right in repeats_of_group(lefts, rights, window):
                 place = group[number][2]
                 yield low + number, place - left, place + right
@@ -196,7 +196,7 @@ def remove_repeats(docs: DataFrame, min_bytes: int = 200) -> DataFrame:
     rows and are judged on the input. A null text is empty; a null id counts as an id. Rows that
     repeat a whole row are texts of their own, so they remove each other. An empty table gives no rows.
     """
-    keyed = keyed_docs(docs)
+    keyed = told_apart(keyed_docs(docs))
     joined = anchors.with_spans(keyed, repeated_spans(keyed, min_bytes))
 
     def cut(batch):
@@ -207,12 +207,12 @@ def remove_repeats(docs: DataFrame, min_bytes: int = 200) -> DataFrame:
         columns = list(zip(*out))
         kinds = [pa.int64()] * 3 + [pa.string(), pa.binary()]
         yield pa.RecordBatch.from_arrays(
-            [batch["did"], *(pa.array(c, k) for c, k in zip(columns, kinds))],
+            [batch["id"], *(pa.array(c, k) for c, k in zip(columns, kinds))],
             names=["did", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"],
         )
 
     schema = "did long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
-    done = map_arrow(joined.select("did", "text", "lows", "highs"), cut, schema)
+    done = map_arrow(joined.select("id", "text", "lows", "highs"), cut, schema)
     return done.select(doc_id().alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept")
 
 
@@ -229,13 +229,17 @@ def cut_repeats(docs: DataFrame, min_bytes: int = 200) -> DataFrame:
     """``docs`` with repeated strings cut out of ``text``, and ``n_chars``, if there, counted anew.
 
     As ``remove_repeats``; a character that loses some of its bytes goes whole. Texts without a repeat, nulls
-    among them, stay as they are, and so do all other columns.
+    among them, stay as they are, and so do all other columns, whatever their names. Very long texts are cut like any other. An empty
+    table gives no rows.
     """
     columns = docs.columns
+    no_text = "_no_text"
+    while no_text in columns:
+        no_text = f"_{no_text}"
     # the text travels once, beside the other columns
-    others = F.struct(*(F.col(f"`{c}`") for c in columns if c != "text"), F.col("text").isNull().alias("_no_text"))
+    others = F.struct(*(F.col(f"`{c}`") for c in columns if c != "text"), F.col("text").isNull().alias(no_text))
     rows = docs.select(others.alias("row"), "doc_id", "text")
-    joined = anchors.with_spans(keyed_docs(rows, "row"), repeated_spans(keyed_docs(docs), min_bytes))
+    joined = anchors.with_spans(told_apart(keyed_docs(rows, "row")), repeated_spans(told_apart(keyed_docs(docs)), min_bytes))
     fields = [T.StructField("kept", T.StringType()), T.StructField("is_cut", T.BooleanType())]
     schema = T.StructType([*rows.select("row").schema.fields, *fields])
 
@@ -248,7 +252,7 @@ def cut_repeats(docs: DataFrame, min_bytes: int = 200) -> DataFrame:
 
     done = map_arrow(joined.select("row", "text", "lows", "highs"), cut, schema)
     values = {c: F.col(f"row.`{c}`") for c in columns if c != "text"}
-    values["text"] = F.when(~F.col("row._no_text"), F.col("kept"))
+    values["text"] = F.when(~F.col(f"row.{no_text}"), F.col("kept"))
     if "n_chars" in values:
         counted = F.length("kept").cast(docs.schema["n_chars"].dataType)
         values["n_chars"] = F.when(F.col("is_cut"), counted).otherwise(values["n_chars"])

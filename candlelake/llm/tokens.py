@@ -271,7 +271,10 @@ def _with_base(file: DataFrame) -> DataFrame:
 
 
 def token_file_report(docs: DataFrame, vocabulary: str) -> DataFrame:
-    """Write the id file of ``docs``, read it back, and describe each document found in it."""
+    """Write the id file of ``docs``, read it back, and describe each document found in it.
+
+    As ``write_ids``: nulls, empty and very long texts, repeated ids and columns of any name are all served; an empty table gives no rows.
+    """
 
     def describe(batch):
         ids = batch["ids"]

@@ -4,7 +4,7 @@ import zlib
 
 import numpy as np
 
-from candlelake.llm import langid
+from candlelake.llm import langid, stages
 from candlelake.llm.queries import QUERIES
 
 SCHEMA = "doc_id long, text string, lang string, score string, lang_pred int"
@@ -66,3 +66,25 @@ def test_l1_makes_weights_sparse():
     rows = [(np.append(f, 5000 + c), np.append(v, 0.5), c) for f, v, c in rows]
     w, _ = langid.fit_weights(rows, 2)
     assert (w == 0).mean() > 0.5 and w[5000, 0] > 0 > w[5000, 1]
+
+
+def test_sample_is_bounded_when_an_id_repeats(spark, monkeypatch):
+    """An id that a third of the rows share brings no more rows into the fitting task than the bound."""
+    monkeypatch.setattr(langid, "MOST_TRAINING", 20)
+    seen = []
+    monkeypatch.setattr(langid, "map_arrow", lambda df, f, schema: seen.append(df.count()) or stages.map_arrow(df, f, schema))
+    rows = [(1, "same words here", "en")] * 200 + [(1, f"other words {i}", "en") for i in range(100)] + [(i, f"das ist {i}", "de") for i in range(300)]
+    langid.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert seen and max(seen) <= 20
+
+
+def test_keep_identified_on_odd_tables(spark):
+    schema = "doc_id long, text string, lang string, _score string, score double"
+    assert langid.keep_identified(spark.createDataFrame([], schema), 0.3).count() == 0
+    rows = [(i % 40, ["the cat and the dog", "der hund und die katze"][i % 2] * 3, ["en", "de"][i % 2], "s", 0.1) for i in range(200)]
+    rows += [(500, None, "en", None, None), (501, "", "en", None, None), (502, "12 34", None, None, None), (None, "the cat and the dog", None, None, None)]
+    docs = spark.createDataFrame(rows, schema)
+    kept = langid.keep_identified(docs, 0.3)
+    assert kept.schema == docs.schema
+    got = kept.collect()
+    assert not {500, 501, 502} & {r.doc_id for r in got} and sum(r.doc_id is None for r in got) == 1 and len(got) == 201

@@ -6,7 +6,9 @@ import re
 import numpy as np
 import pytest
 
-from candlelake.llm import anchors, suffix_array, substring_automaton
+from pyspark.sql import functions as F
+
+from candlelake.llm import anchors, stages, suffix_array, substring_automaton
 
 SCHEMA = "doc_id long, text string, th string, at int, low int"
 SMALLEST = -(2**63)
@@ -106,6 +108,40 @@ def test_repeated_rows(spark):
     assert sorted(r.n_bytes - r.n_removed for r in got) == [0, 0, 0, 0, 6]
 
 
+def test_many_texts_under_one_id(spark, monkeypatch):
+    """Hashes of texts that share an id may be equal; the texts still get their own spans."""
+    monkeypatch.setattr(stages, "F", _Colliding())
+    rng = np.random.default_rng(12)
+    words = [f"w{i}" for i in range(999)]
+    shared = " ".join(rng.choice(words, 45))
+    rows = [(d, " ".join(rng.choice(words, 30)) + (" " + shared if i % 2 else "")) for i in range(12) for d in (None, 5)]
+    rows += [(100 + i, shared) for i in range(3)]
+    got = substring_automaton.remove_repeats(frame(spark, rows)).drop("kept").collect()
+    # null ids come first, and of those, at equal places, one text
+    want = [(d, len(t.split()), 45 if shared in t else 0) for d, t in rows]
+    want[want.index((None, 75, 45))] = (None, 75, 0)
+    assert sorted(((r.doc_id, r.n_words, r.n_removed) for r in got), key=key) == sorted(want, key=key)
+    got = suffix_array.remove_repeats(frame(spark, rows)).drop("kept").collect()
+    assert sorted(map(tuple, got), key=key) == sorted(slow_bytes(rows, 200), key=key)
+    cut = suffix_array.cut_repeats(frame(spark, rows)).collect()
+    assert sorted(len(r.text.encode()) for r in cut) == sorted(n - gone for _, n, gone, _, _ in slow_bytes(rows, 200))
+
+
+class _Colliding:
+    """The functions, with a short hash that gives one value for all."""
+
+    def __getattr__(self, name):
+        return getattr(F, name) if name != "hash" else lambda column: F.lit(7)
+
+
+def test_cut_repeats_with_clashing_columns(spark):
+    text = " ".join(f"w{i}" for i in range(80))
+    docs = spark.createDataFrame([(1, text, True, "a"), (2, text, False, None), (3, None, True, "c")], "doc_id long, text string, _no_text boolean, id string")
+    out = suffix_array.cut_repeats(docs)
+    assert out.schema == docs.schema
+    assert sorted(map(tuple, out.collect())) == [(1, "", True, "a"), (2, "", False, None), (3, None, True, "c")]
+
+
 def test_empty(spark):
     empty = frame(spark, [])
     assert substring_automaton.remove_repeats(empty).count() == 0

@@ -95,11 +95,5 @@ def test_components(spark):
     assert got == {**{i: 0 for i in range(41)}, **{100 + i: 100 for i in range(30)}, 200: 200, 201: 200}
 
 
-def test_keep_one_and_empty(spark):
-    rows = [(2, "a b c"), (1, "A b c"), (1, "A b c"), (None, "a b c"), (3, "something else entirely here")]
-    docs = spark.createDataFrame([(d, t, "x", 1, 2) for d, t in rows], SCHEMA)
-    kept = simhash.keep_one(docs)
-    assert kept.columns == docs.columns
-    assert sorted(str(r.doc_id) for r in kept.collect()) == ["1", "3", "None"]
-    empty = spark.createDataFrame([], SCHEMA)
-    assert simhash.near_groups(empty).count() == 0 and simhash.keep_one(empty).count() == 0
+def test_empty_table(spark):
+    assert simhash.near_groups(spark.createDataFrame([], SCHEMA)).count() == 0
