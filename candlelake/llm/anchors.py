@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from candlelake.llm import hashing
-from candlelake.llm.stages import drop, map_arrow, parts, runs_of_rows, stage, text_bytes
+from candlelake.llm.stages import drop, join_groups, map_arrow, parts, runs_of_rows, stage, text_bytes
 
 MOST_CLASSES = 1000
 RANGES = 4
@@ -243,7 +243,7 @@ def _classes(rows: DataFrame, key: str, same: list[str], keep_first: bool) -> tu
         "classes",
         small=True,
     )
-    settled = rows.join(classes.where("n > 1"), [key, *same])
+    settled = join_groups(rows, classes.where("n > 1"), [key, *same], "n", rows.count())
     if keep_first:
         settled = settled.where(F.struct("did", "at") != F.col("first"))
     contested = stage(classes.groupBy(key).agg(F.count(F.lit(1)).alias("k")).where("k > 1").select(key), "contested", small=True)

@@ -11,14 +11,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from candlelake.llm.stages import drop, stage
+from candlelake.llm.stages import HOT_SHARE, drop, stage
 
 # characters of the second level
 PREFIX = 64
 # numbers of 64 bits in a filter: the broadcast table has at most so many rows of 16 bytes
 FILTER_WORDS = 1 << 20
-# groups that are joined by broadcast: those that hold at least this share of all rows
-HOT_SHARE = 1000
 
 
 def normalised(text: Column) -> Column:
@@ -93,6 +91,7 @@ def groups(docs: DataFrame, digests: bool = False) -> DataFrame:
     members = rows.where("passes")
     lone = rows.where("not passes").select("*", F.lit(None).cast(found.schema["first"].dataType).alias("first"), F.lit(1).cast("long").alias("n"))
     columns = ["did", "at", "digest", "first", "n"]
+    # members that passed by chance are in no group, hence the left join
     all_rows = (
         lone.select(columns)
         .union(members.join(hot, "digest").select(columns))

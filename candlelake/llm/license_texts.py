@@ -69,6 +69,61 @@ _APACHE_NOTICE = (
     "specific language governing permissions and limitations under the License.\n"
 )
 
+_MPL_NOTICE = (
+    "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not "
+    "distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."
+)
+
+
+def _gnu_notices():
+    """The paragraphs that GNU licences ask to stand at the head of a file."""
+    families = (("GPL", "General Public License", ("2", "3")), ("LGPL", "Lesser General Public License", ("2.1", "3")), ("AGPL", "Affero General Public License", ("3",)))
+    for key, name, versions in families:
+        for version in versions:
+            for thing in ("program", "library", "software"):
+                for mark in (":", ";"):
+                    for later in (", either version {v} of the License, or (at your option) any later version.", ", version {v}.", ", version {v} of the License.", "; version {v}."):
+                        grant = f"This {thing} is free software{mark} you can redistribute it and/or modify it under the terms of the GNU {name} as published by the Free Software Foundation"
+                        yield f"{key}-{version if '.' in version else version + '.0'}", grant + later.format(v=version)
+
+
+_GNU_NOTICES = list(_gnu_notices())
+
+# fixed values: names that lines use for a licence
+NAMES = [
+    ("MIT", ("MIT", "the MIT License", "an MIT license")),
+    ("MIT-0", ("MIT-0",)),
+    ("ISC", ("ISC", "the ISC License")),
+    ("0BSD", ("0BSD",)),
+    ("BSD-2-Clause", ("BSD-2-Clause", "the BSD 2-Clause License")),
+    ("BSD-3-Clause", ("BSD-3-Clause", "the BSD 3-Clause License")),
+    ("Zlib", ("the zlib License",)),
+    ("Apache-2.0", ("Apache-2.0", "Apache 2.0", "the Apache License, Version 2.0", "the Apache License 2.0", "the Apache 2.0 License")),
+    ("MPL-2.0", ("MPL-2.0", "MPL 2.0", "the Mozilla Public License, version 2.0", "the Mozilla Public License 2.0")),
+    ("GPL-2.0", ("GPL-2.0", "GPLv2", "the GNU General Public License, version 2", "the GNU General Public License v2.0")),
+    ("GPL-3.0", ("GPL-3.0", "GPLv3", "the GNU General Public License, version 3", "the GNU General Public License v3.0")),
+    ("LGPL-2.1", ("LGPL-2.1", "LGPLv2.1", "the GNU Lesser General Public License, version 2.1")),
+    ("LGPL-3.0", ("LGPL-3.0", "LGPLv3", "the GNU Lesser General Public License, version 3")),
+    ("AGPL-3.0", ("AGPL-3.0", "AGPLv3", "the GNU Affero General Public License, version 3", "the GNU Affero General Public License v3.0")),
+    ("Unlicense", ("the Unlicense",)),
+    ("CC0-1.0", ("CC0", "CC0 1.0", "CC0 1.0 Universal")),
+    *((f"CC-{kind}-{v}", (f"CC-{kind}-{v}", f"CC {kind} {v}", f"a Creative Commons {kind} {v} license")) for kind in ("BY", "BY-SA", "BY-NC", "BY-ND", "BY-NC-SA", "BY-NC-ND") for v in ("3.0", "4.0")),
+]
+# fixed values: lines that state one
+STATEMENTS = (
+    "Licensed under {name}.",
+    "License: {name}",
+    "Released under {name}.",
+    "Distributed under {name}.",
+    "Available under {name}.",
+    "This work is licensed under {name}.",
+    "This project is licensed under {name}.",
+    "This project is licensed under the terms of {name}.",
+    "This software is released under {name}.",
+    "This file is licensed under {name}.",
+    "The code is licensed under {name}.",
+)
+
 # (name, text)
 LICENSES = [
     ("MIT", "MIT License\n\n" + _MIT_GRANT + _MIT_NOTICE + _MIT_WARRANTY),
@@ -84,15 +139,13 @@ LICENSES = [
     ("Zlib", "zlib License\n\n" + _ZLIB),
     ("Zlib", _ZLIB),
     ("Apache-2.0", _APACHE_NOTICE),
-    ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
-    ("Apache-2.0", "SPDX-License-Identifier: Apache-2.0"),
-    ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
-    ("CC-BY-4.0", "Licensed under CC BY 4.0."),
-    ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
-    ("MIT", "Released under the MIT License."),
-    ("MIT", "SPDX-License-Identifier: MIT"),
+    *((name, text) for name, text in _GNU_NOTICES),
+    ("MPL-2.0", _MPL_NOTICE),
     # full texts, as their publishers give them
     *((f.stem, f.read_text()) for f in sorted((Path(__file__).parent / "license_files").glob("*.txt"))),
+    # what a line says of a licence
+    *((key, form.format(name=name)) for key, names in NAMES for name in names for form in STATEMENTS),
+    *((key, f"SPDX-License-Identifier: {key}{more}") for key, _ in NAMES for more in ("", "-only", "-or-later")),
 ]
 
 # (spelling, equivalent), of lower-case words without punctuation

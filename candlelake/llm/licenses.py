@@ -2,15 +2,18 @@
 
 Texts are brought to one form: lower case, no copyright lines, words without
 punctuation, one of several equivalent spellings. The digest of that form is looked up in the digests of
-the known texts by a hash join; the known side is a fixed table of a few rows.
+the known texts by a hash join; the known side is a stored table of digests, of fixed size, so no licence text travels with a plan.
 """
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from candlelake.llm.license_texts import LICENSES, SPELLINGS
+from candlelake.llm.stages import stage
 
 # a line that names a holder or a year, not a sentence about copyright
 COPYRIGHT_LINE = (
@@ -31,10 +34,14 @@ def canonical(text: Column) -> Column:
     return F.trim(out)
 
 
+def _table(spark, texts: list[tuple[str, str]]) -> DataFrame:
+    rows = json.dumps([{"license": name, "text": text} for name, text in texts])
+    return spark.range(1).select(F.inline(F.from_json(F.lit(rows), "array<struct<license:string,text:string>>")))
+
+
 def known(spark, texts: list[tuple[str, str]]) -> DataFrame:
     """``license, digest`` of known texts; of names with equal digests the least counts."""
-    rows = F.array(*(F.struct(F.lit(name).alias("license"), F.lit(text).alias("text")) for name, text in texts))
-    table = spark.range(1).select(F.inline(rows))
+    table = _table(spark, texts)
     return table.groupBy(F.sha2(canonical(F.col("text")), 256).alias("digest")).agg(F.min("license").alias("license"))
 
 
@@ -43,7 +50,7 @@ def scan(docs: DataFrame, texts: list[tuple[str, str]] | None = None) -> DataFra
 
     A null text is empty and no licence. Rows that repeat are scanned one by one. An empty table gives no rows.
     """
-    digests = F.broadcast(known(docs.sparkSession, LICENSES if texts is None else texts))
+    digests = F.broadcast(stage(known(docs.sparkSession, LICENSES if texts is None else texts), "licence-digests"))
     text = F.coalesce(F.col("text"), F.lit(""))
     marked = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.sha2(canonical(text), 256).alias("canonical_sha256"))
     return marked.join(digests, F.col("canonical_sha256") == F.col("digest"), "left").select("doc_id", "canonical_sha256", "license")
@@ -51,6 +58,8 @@ def scan(docs: DataFrame, texts: list[tuple[str, str]] | None = None) -> DataFra
 
 # words that a paragraph of a longer licence must have to stand for it
 LEAST_WORDS = 8
+# characters up to which single lines of a known text stand for it; lines of longer texts are mere fragments
+SHORT_TEXT = 2500
 _LINES, _PARAGRAPHS = r"\n", r"\n[^\S\n]*\n\s*"
 
 
@@ -66,10 +75,10 @@ def _pieces(text: Column) -> Column:
 
 
 def known_pieces(spark, texts: list[tuple[str, str]]) -> DataFrame:
-    """``digest, license`` of whole known texts and of their lines and paragraphs of ``LEAST_WORDS`` words; several names are joined."""
-    rows = F.array(*(F.struct(F.lit(name).alias("license"), F.lit(text).alias("text")) for name, text in texts))
-    table = spark.range(1).select(F.inline(rows))
-    inner = table.select("license", F.explode(_pieces(F.col("text"))["piece"]).alias("text"))
+    """``digest, license`` of whole known texts, of their paragraphs and, if short, their lines of ``LEAST_WORDS`` words; several names are joined."""
+    table = _table(spark, texts)
+    pieces = table.select("license", F.length("text").alias("n"), F.inline(_pieces(F.col("text"))))
+    inner = pieces.where((F.col("kind") == "paragraph") | (F.col("n") < SHORT_TEXT)).select("license", F.col("piece").alias("text"))
     forms = table.select("license", canonical(F.col("text")).alias("form")).union(
         inner.select("license", canonical(F.col("text")).alias("form")).where(F.size(F.split("form", " ")) >= LEAST_WORDS)
     )
@@ -82,7 +91,7 @@ def statements(docs: DataFrame, texts: list[tuple[str, str]] | None = None) -> D
     It is a known text, or a line or paragraph of one; of several licences that share it, all are named. Rows that repeat are scanned one
     by one. Null and empty texts and an empty table give no rows.
     """
-    digests = F.broadcast(known_pieces(docs.sparkSession, LICENSES if texts is None else texts))
+    digests = F.broadcast(stage(known_pieces(docs.sparkSession, LICENSES if texts is None else texts), "licence-digests"))
     pieces = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.inline(_pieces(F.col("text"))))
     marked = pieces.select("doc_id", "kind", "number", F.sha2(canonical(F.col("piece")), 256).alias("digest"))
     return marked.join(digests, "digest").select("doc_id", "kind", "number", "license")
@@ -132,7 +141,9 @@ def statements_oracle(texts: list[tuple[str, str]] = LICENSES) -> str:
     values = ", ".join(f"({_sql_text(name)}, {_sql_text(text)})" for name, text in texts)
     return f"""
         WITH texts AS (SELECT * FROM (VALUES {values}) AS t(name, body)),
-        inner_forms AS (SELECT name, {form("piece")} AS form FROM ({pieces("texts", "name")})),
+        inner_forms AS (
+            SELECT name, {form("piece")} AS form FROM ({pieces("texts", "name, body")}) WHERE kind = 'paragraph' OR length(body) < {SHORT_TEXT}
+        ),
         forms AS (
             SELECT name, {form("body")} AS form FROM texts
             UNION ALL SELECT name, form FROM inner_forms WHERE len(string_split(form, ' ')) >= {LEAST_WORDS}

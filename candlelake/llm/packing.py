@@ -13,6 +13,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -111,10 +112,9 @@ def curve_keys(docs: DataFrame) -> DataFrame:
 
     def keys(batch):
         text = batch["text"]
-        data, offsets = text_bytes(pa.array(text, pa.string()).fill_null(""))
+        ends = np.concatenate([[0], np.cumsum(np.asarray(pc.binary_length(text).fill_null(0), np.int64))])
         out = [
-            hilbert_keys(points_of(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]))
-            for a, b in runs_of_rows(offsets)
+            hilbert_keys(points_of(*text_bytes(text.slice(a, b - a).fill_null("")))) for a, b in runs_of_rows(ends)
         ]
         yield pa.RecordBatch.from_arrays(
             [batch["doc_id"], text, batch["tie"], pa.array(np.concatenate(out))], names=["doc_id", "text", "tie", "curve"]

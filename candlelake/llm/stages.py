@@ -120,6 +120,22 @@ def runs_of_rows(offsets: np.ndarray, limit: int = 1 << 20) -> Iterator[tuple[in
         low = high
 
 
+# groups of at least this share of all rows meet their members by broadcast
+HOT_SHARE = 1000
+
+
+def join_groups(rows: DataFrame, groups: DataFrame, key: list[str], size: str, total: int) -> DataFrame:
+    """``rows.join(groups, key)`` for groups of ``size`` rows each, of ``total`` rows in all; both are stored tables.
+
+    Groups of at least a thousandth of all rows, of which there are at most a thousand, are broadcast, so that their members stay where they are; the
+    others are joined by key, and none of them is large.
+    """
+    limit = max(2, total // HOT_SHARE)
+    hot, cold = F.broadcast(groups.where(F.col(size) >= limit)), groups.where(F.col(size) < limit)
+    rest = rows.join(F.broadcast(hot.select(key)), key, "left_anti").join(cold, key)
+    return rows.join(hot, key).unionByName(rest)
+
+
 def starts_of_parts(df: DataFrame, part: str, size: str) -> DataFrame:
     """``part, base``: the sum of ``size`` over all smaller parts.
 

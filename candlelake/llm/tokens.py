@@ -20,14 +20,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from candlelake.llm import simple8b
-from candlelake.llm.stages import map_arrow, parts, runs_of_rows, stage, starts_of_parts, text_bytes
+from candlelake.llm.stages import map_arrow, parts, runs_of_rows, stage, starts_of_parts
 
 END_ID = 1
-# chunks kept per Python worker (about 150 bytes each)
-MEMO_CHUNKS = 700_000
+# chunks kept per Python worker (about 200 bytes each)
+MEMO_CHUNKS = 400_000
 BLOCK_IDS = 16_384
 # bytes of texts that are cut into chunks at a time; a longer text is a batch of its own
-_BATCH = 1 << 22
+_BATCH = 1 << 21
 # signs that never share a piece with a letter or digit before them: all but the apostrophe
 _TAIL = string.punctuation.replace("'", "").encode()
 _LETTERS = re.compile("[a-zß-öø-ÿ]+")
@@ -97,7 +97,7 @@ class Encoder:
             return self._look(core) + self._look(chunk[len(core) :])
         if not chunk.isascii():
             # a word of Latin letters is one piece, and signs after it are another
-            small = word.lower()[: len(word) - len(chunk) + len(core)]
+            small = word[: len(word) - len(chunk) + len(core)].lower()
             if not _LETTERS.fullmatch(small):
                 return self._whole(word)
             ids = self._run("".join([self.alphabet[b] for b in small.encode()]))
@@ -123,13 +123,15 @@ def document_ids(path: str, text: str | None) -> bytes:
 def ids_of_batch(path: str, texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """``low, high, ids, counts`` for runs of rows of a batch: the ids of all its documents end to end, and the number of each; end ids included."""
     coder = encoder(path)
-    _, offsets = text_bytes(texts.fill_null(""))
+    offsets = np.concatenate([[0], np.cumsum(np.asarray(pc.binary_length(texts).fill_null(0), np.int64))])
     for low, high in runs_of_rows(offsets, _BATCH):
         plain, counts = coder.encode_all(texts.slice(low, high - low))
         counts = counts + 1
         ids = np.full(int(counts.sum()), END_ID, "<u4")
         ids[np.arange(len(plain)) + np.repeat(np.arange(high - low), counts - 1)] = plain
         yield low, high, ids, counts
+    # what the arrays of the batch took goes back at once: two workers and a JVM share an executor
+    pa.default_memory_pool().release_unused()
 
 
 def write_ids(docs: DataFrame, vocabulary: str, name: str = "token-ids") -> DataFrame:

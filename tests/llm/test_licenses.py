@@ -62,6 +62,39 @@ def test_planted_statements(spark):
     assert licenses.statements(spark.createDataFrame([], SCHEMA)).count() == 0
 
 
+AFFERO = """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU Affero General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version."""
+
+
+def test_planted_notices_and_edited_copies(spark):
+    full = {name: text for name, text in LICENSES if len(text) > 5000}
+    commented = "\n".join(f"# {line}" for line in AFFERO.splitlines())
+    rows = [
+        (1, "Prose before.\n\n" + AFFERO + "\n\nProse after."),
+        (2, "def f():\n\n" + commented + "\n\npass"),
+        (3, "This file is licensed under the Mozilla Public License 2.0"),
+        (4, "spdx-license-identifier: AGPL-3.0-or-later"),
+        (5, "x\n\nReleased under a Creative Commons BY-SA 4.0 licence.\n"),
+        (6, "We were released under no licence at all. Distributed under pressure."),
+        (7, AFFERO.replace("free", "costly")),
+        (8, full["GPL-3.0"].replace("\n", "\r\n").upper()),
+        (9, full["GPL-3.0"].replace("freedom", "liberty")),
+    ]
+    docs = spark.createDataFrame([(*r, "", 0) for r in rows], SCHEMA)
+    got = {}
+    for r in licenses.statements(docs).collect():
+        got.setdefault(r.doc_id, set()).add(r.license)
+    assert {d: got.get(d) for d in range(1, 8)} == {
+        1: {"AGPL-3.0"}, 2: {"AGPL-3.0"}, 3: {"MPL-2.0"}, 4: {"AGPL-3.0"}, 5: {"CC-BY-SA-4.0"}, 6: None, 7: None
+    }
+    # an edited copy is no known text as a whole, but most of its paragraphs are
+    whole = {r.doc_id: r.license for r in licenses.scan(docs).collect()}
+    assert whole == {**dict.fromkeys(range(1, 10)), 3: "MPL-2.0", 4: "AGPL-3.0", 8: "GPL-3.0"}
+    assert any("GPL-3.0" in name for name in got[9])
+
+
 def test_statements_equal_sql(spark):
     sf_dir = "/root/testdata/sf0.01"
     df = QUERIES["op6_license_statements"](spark, sf_dir)
