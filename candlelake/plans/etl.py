@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from candlelake.operators.clean import clean_candles, from_date, serving_projection, union_sources
+from candlelake.operators.features import spike_events
 from candlelake.operators.quality import quality_strict
 from candlelake.operators.upsert import latest_wins
 from candlelake.plans.staging import staged
@@ -68,6 +69,18 @@ def backfill(candles: DataFrame, target: str, start: str | dt.date, end: str | d
     replace_partitions(dated, target, ["date"], [f"date={d}" for d in stale])
 
 
+def store_spikes(candles: DataFrame, target: str, start: str | dt.date, end: str | dt.date, **options) -> None:
+    """Store the outlier events of the dates ``start``..``end`` in a table by date, and replace those found there before.
+
+    Bars before ``start`` serve as look-back. Running it again, or for a range that overlaps, gives the same table.
+    """
+    found = spike_events(candles.where(F.to_date("timestamp") <= F.lit(str(end)).cast("date")), **options)
+    dated = within_dates(found.withColumn("date", F.to_date("timestamp")), start, end)
+    first, last = dt.date.fromisoformat(str(start)), dt.date.fromisoformat(str(end))
+    stale = [d for d in existing_dates(candles.sparkSession, target) if first <= d <= last]
+    replace_partitions(dated, target, ["date"], [f"date={d}" for d in stale])
+
+
 def serving_load(silver: DataFrame, target: str) -> None:
     """Append candles to the serving table, partitioned by month."""
     rows = serving_projection(silver).withColumn("ingested_at", F.current_timestamp())

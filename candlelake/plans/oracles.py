@@ -573,6 +573,8 @@ def oracle_sql() -> dict[str, str]:
            WHERE price_spike OR volume_spike""",
     )
 
+    q["stored_spikes"] = q["spike_events"]
+
     # symbol sets
     q["ticker_union"] = f"WITH {HALVES} " + select(
         "symbol n_sources#", "FROM (SELECT symbol, count(*) AS n_sources FROM (SELECT * FROM l UNION ALL SELECT * FROM r) GROUP BY 1)"
@@ -604,6 +606,8 @@ def oracle_sql() -> dict[str, str]:
     q["return_stats"] = EVENT_RETURNS + select("symbol ord% mean_return~ stddev_return~ n_returns#", " FROM stats")
     q["covariance_matrix"] = f"{EVENT_RETURNS}, {MATRIX} " + select("symbol_x symbol_y covariance~", "FROM matrix")
 
+    q["gram_covariance"] = f"{EVENT_RETURNS}, {MATRIX} " + select("symbol_x symbol_y covariance~ correlation~", "FROM matrix")
+
     q["two_asset_backtest"] = f"""{EVENT_RETURNS},
       s AS (SELECT date, sum(0.5 * ret) AS r FROM rets WHERE symbol IN ('click', 'view') GROUP BY date),
       v AS (SELECT *, {CONFIG.initial_capital} * product(1 + r) OVER (ORDER BY date) AS portfolio_value FROM s),

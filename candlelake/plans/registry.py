@@ -14,7 +14,7 @@ from candlelake import sources, streaming
 from candlelake.operators import bars, bitmaps, clean, features, panel, portfolio, quality, setops, snapshots, upsert
 from candlelake.operators.candidates import candidate_weights as weights_of_legs
 from candlelake.operators.candidates import best_candidate, feasible_range
-from candlelake.operators.risk import full_matrix, upper_matrix
+from candlelake.operators.risk import full_matrix, gram_matrix, upper_matrix
 from candlelake.plans import bindings as b
 from candlelake.plans import dashboard, etl
 from candlelake.plans.scenario import Scenario, ScenarioConfig, publish, read_results, scenario_counts, stop_reason
@@ -625,6 +625,19 @@ def spike_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return features.spike_events(b.candles(spark, sf_dir, "hour"), chunk="week")
 
 
+@query
+def stored_spikes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The table of outlier events after loads of three ranges of dates that overlap, the first of them over wrong prices."""
+    target = work_path(spark, "spikes")
+    hourly = b.candles(spark, sf_dir, "hour")
+    wrong = hourly.withColumn("close", F.when(F.hour("timestamp") == 7, F.col("close") * 50).otherwise(F.col("close")))
+    etl.store_spikes(wrong, target, "2024-01-01", DAY, chunk="week")
+    etl.store_spikes(hourly, target, DAY, NOW[:10], chunk="week")
+    etl.store_spikes(hourly, target, "2024-01-01", DAY, chunk="week")
+    schema = features.spike_events(hourly, chunk="week").schema
+    return spark.read.schema(schema).parquet(target).drop("date")
+
+
 # --- symbol sets -------------------------------------------------------------
 
 
@@ -728,6 +741,11 @@ def covariance_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return matrix.select("symbol_x", "symbol_y", "covariance")
 
 
+@query
+def gram_covariance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return full_matrix(gram_matrix(_event_returns(spark, sf_dir))).select("symbol_x", "symbol_y", "covariance", "correlation")
+
+
 @query
 def two_asset_backtest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Value path of half and half in two event types."""

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from candlelake.functions import running_product
-from candlelake.operators import bitmaps, portfolio, quality
+from candlelake.operators import bitmaps, portfolio, quality, risk
 
 T0 = dt.datetime(2024, 1, 1)
 
@@ -143,3 +143,30 @@ def test_no_window_over_a_series(spark):
     # the rows are walked per chunk; what meets by key alone are the rows that sum up chunks
     by_key = [w for w in windows if not re.search(r"\], \[symbol#\d+, _chunk#\d+L?\]", w)]
     assert len(by_key) < len(windows) and all("_key#" in w and "ret#" not in w for w in by_key)
+
+
+@pytest.mark.parametrize("symbols, dates, per_block", [(1, 2, 200), (7, 31, 2), (12, 33, 5), (5, 100, 200)])
+def test_gram_matrix_equals_pairs(spark, symbols, dates, per_block):
+    rng = np.random.default_rng(symbols)
+    x = rng.normal(0, 0.02, (dates, symbols))
+    x[:, 0] = 0.01  # no variance
+    day = dt.date(2024, 1, 1)
+    rows = [(f"S{j}", j, day + dt.timedelta(days=i), float(x[i, j])) for i in range(dates) for j in range(symbols)]
+    returns = spark.createDataFrame(rows, "symbol string, ord int, date date, ret double").repartition(5)
+    got = sorted(tuple(r) for r in risk.gram_matrix(returns, per_block).collect())
+    want = sorted(tuple(r) for r in risk.upper_matrix(returns, per_block).collect())
+    assert len(got) == symbols * (symbols + 1) // 2
+    for g, w in zip(got, want):
+        assert g[:4] == w[:4] and g[4:] == pytest.approx(w[4:], abs=1e-12)
+
+
+def test_gram_matrix_plan(spark):
+    returns = spark.createDataFrame([("A", 0, dt.date(2024, 1, 1), 0.1)], "symbol string, ord int, date date, ret double")
+    plan = risk.gram_matrix(returns)._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "lambda" not in plan and "Cartesian" not in plan
+
+
+def test_one_return_is_too_few(spark):
+    returns = spark.createDataFrame([("A", 0, dt.date(2024, 1, 1), 0.1)], "symbol string, ord int, date date, ret double")
+    with pytest.raises(Exception, match="at least two returns"):
+        risk.gram_matrix(returns).collect()

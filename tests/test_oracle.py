@@ -15,7 +15,7 @@ NEEDS_DATES = {
     "publish_scenario", "panel_fallback_cases", "bitmap_common_dates", "strict_runs", "panel_allocation", "panel_kpis", "panel_value_path", "panel_corr_subset", "panel_search_space", "guard_report",
 }
 # results that may be empty
-MAY_BE_EMPTY = {"skipped_symbols", "spike_events", "ticker_except", "snapshot_quality"}
+MAY_BE_EMPTY = {"skipped_symbols", "spike_events", "stored_spikes", "ticker_except", "snapshot_quality"}
 # plan nodes that no query may contain
 FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "ArrowEvalPython", "BatchEvalPython", "MapInPandas")
 
