@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -35,7 +36,7 @@ from candlelake.operators.risk import full_matrix, upper_matrix
 from candlelake.operators.setops import fresh_symbols, usable_universe
 from candlelake.plans.staging import staged
 from candlelake.schemas import RESULT_SCHEMAS, result_columns
-from candlelake.sinks import replace_partitions
+from candlelake.sinks import delete_folders, write_partitioned
 
 # Portfolio types and the notes stored with their weights.
 BASELINE, OPTIMIZED, BENCHMARK = "baseline", "optimized", "benchmark"
@@ -257,18 +258,33 @@ def stop_reason(closes: DataFrame, universe: DataFrame, baseline: DataFrame, con
     return None
 
 
+_RUNS = "runs"
+
+
 def publish(tables: dict[str, DataFrame], root: str, scenario_id: str) -> None:
-    """Store the result tables of one scenario; its earlier rows are replaced in all of them, other scenarios stay.
+    """Store the result tables of one scenario as one: readers see all tables of its last complete run, or those of the run before.
 
-    The scenario's own row comes last: until it is there, a reader that starts from it sees the old scenario.
+    Every table gets the rows as a run of its own; then one row appended to the list of runs makes them current, also for tables in which
+    the scenario has no rows any more. A failure before that leaves the old results whole. Runs that are no longer current are deleted
+    afterwards; other scenarios stay.
     """
-    for name in sorted(tables, key=lambda name: name == "portfolio_scenarios"):
-        replace_partitions(tables[name], f"{root}/{name}", ["scenario_id"], [f"scenario_id={scenario_id}"])
+    spark = next(iter(tables.values())).sparkSession
+    run_id = uuid.uuid4().hex
+    for name, df in tables.items():
+        write_partitioned(df.withColumn("run_id", F.lit(run_id)), f"{root}/{name}", ["scenario_id", "run_id"], "append")
+    done = spark.range(1).select(F.lit(scenario_id).alias("scenario_id"), F.lit(run_id).alias("run_id"), F.current_timestamp().alias("published_at"))
+    done.coalesce(1).write.mode("append").parquet(f"{root}/{_RUNS}")
+    for name in tables:
+        delete_folders(spark, f"{root}/{name}/scenario_id={scenario_id}", keep=[f"run_id={run_id}"])
 
 
 def read_results(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """A published table in its column order."""
-    return spark.read.schema(RESULT_SCHEMAS[name]).parquet(f"{root}/{name}").select(result_columns(name))
+    """A published table in its column order: the current run of every scenario."""
+    runs = spark.read.schema("scenario_id string, run_id string, published_at timestamp").parquet(f"{root}/{_RUNS}")
+    # a row per scenario; the length lets the optimizer expect that folders can be left out
+    current = runs.where(F.length("run_id") > 0).groupBy("scenario_id").agg(F.max_by("run_id", "published_at").alias("run_id"))
+    stored = spark.read.schema(f"{RESULT_SCHEMAS[name]}, run_id string").parquet(f"{root}/{name}")
+    return stored.join(current, ["scenario_id", "run_id"], "left_semi").select(result_columns(name))
 
 
 def scenario_counts(spark: SparkSession, root: str, scenario_id: str) -> DataFrame:

@@ -1,6 +1,7 @@
 from candlelake.sinks.tables import (
     add_missing_columns,
     append_missing_dates,
+    delete_folders,
     existing_dates,
     load_delta,
     register_external_table,
@@ -14,6 +15,7 @@ from candlelake.sinks.tables import (
 __all__ = [
     "add_missing_columns",
     "append_missing_dates",
+    "delete_folders",
     "existing_dates",
     "load_delta",
     "register_external_table",

@@ -86,6 +86,15 @@ def _delete_folders(spark: SparkSession, path: str, names: Sequence[str]) -> Non
         fs.delete(spark._jvm.org.apache.hadoop.fs.Path(root, name), True)
 
 
+def delete_folders(spark: SparkSession, path: str, keep: Sequence[str]) -> None:
+    """Delete the partition folders directly below ``path`` but those named in ``keep``."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    if fs.exists(root):
+        names = [status.getPath().getName() for status in fs.listStatus(root) if status.isDirectory()]
+        _delete_folders(spark, path, [name for name in names if "=" in name and name not in keep])
+
+
 def existing_dates(spark: SparkSession, path: str) -> list[dt.date]:
     """Dates of the ``date=`` folders below ``path`` that hold a Parquet file.
 

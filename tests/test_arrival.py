@@ -203,3 +203,38 @@ def test_weight_strings_fail_when_read(spark, text, total):
     weights = sources.weights_from_string(spark, "main", text)
     with pytest.raises(Exception, match=rf"weight string of main rejected: \d bad items, total {total}"):
         weights.collect()
+
+
+def test_a_scenario_is_published_as_one(spark, tmp_path):
+    """A run that fails half way leaves the results of the run before in all tables."""
+    from candlelake.plans.scenario import publish, read_results
+    from candlelake.schemas import RESULT_SCHEMAS, result_columns
+
+    root = str(tmp_path)
+
+    def tables(scenario, n, broken=False):
+        out = {}
+        for name, schema in RESULT_SCHEMAS.items():
+            types = dict(part.split() for part in schema.split(", "))
+            values = {"scenario_id": F.lit(scenario), "symbol": F.lit(f"run of {n}")}
+            df = spark.range(n).select(*(values.get(c, F.lit(None)).cast(types[c]).alias(c) for c in result_columns(name)))
+            out[name] = df.where(F.raise_error(F.lit("lost")).isNull()) if broken and name == "portfolio_metrics" else df
+        return out
+
+    def counts():
+        return {name: sorted((r.scenario_id, r["count"]) for r in read_results(spark, root, name).groupBy("scenario_id").count().collect()) for name in RESULT_SCHEMAS}
+
+    publish(tables("a", 3), root, "a")
+    publish(tables("b", 2), root, "b")
+    before = counts()
+    assert set(map(tuple, before.values())) == {(("a", 3), ("b", 2))}
+    with pytest.raises(Exception, match="lost"):
+        publish(tables("a", 7, broken=True), root, "a")
+    assert counts() == before
+    publish(tables("a", 5), root, "a")
+    assert set(map(tuple, counts().values())) == {(("a", 5), ("b", 2))}
+    # what was stored by the failed run and by the first one is gone
+    kept = [p for p in (tmp_path / "portfolio_weights" / "scenario_id=a").iterdir() if p.is_dir()]
+    assert len(kept) == 1
+    publish({name: df.limit(0) for name, df in tables("b", 1).items()}, root, "b")
+    assert set(map(tuple, counts().values())) == {(("a", 5),)}
