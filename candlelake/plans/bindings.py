@@ -142,12 +142,13 @@ def coin_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
     )
     by_cap = W.partitionBy("snapshot_time").orderBy(F.desc("market_cap"), "coin_id")
-    day = 86400
-    day_before = (
-        W.partitionBy("coin_id").orderBy(F.unix_seconds("snapshot_time")).rangeBetween(-day, -day)
+    # joined by coin and time, so no task holds the history of a coin
+    day_before = facts.select(
+        "coin_id", (F.col("snapshot_time") + F.expr("INTERVAL 1 DAY")).alias("snapshot_time"), F.col("current_price").alias("_before")
     )
-    return facts.withColumn("market_cap_rank", F.row_number().over(by_cap)).withColumn(
-        "price_change_24h", F.col("current_price") - F.first("current_price").over(day_before)
+    ranked = facts.withColumn("market_cap_rank", F.row_number().over(by_cap)).join(day_before, ["coin_id", "snapshot_time"], "left")
+    return ranked.withColumn("price_change_24h", F.col("current_price") - F.col("_before")).select(
+        *facts.columns, "market_cap_rank", "price_change_24h"
     )
 
 
