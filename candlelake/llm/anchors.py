@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from candlelake.llm import hashing
-from candlelake.llm.stages import drop, join_groups, map_arrow, parts, runs_of_rows, stage, text_bytes
+from candlelake.llm.stages import drop, giving_back, join_groups, map_arrow, parts, runs_of_rows, stage, text_bytes
 
 MOST_CLASSES = 1000
 RANGES = 4
@@ -377,7 +377,7 @@ def solve(repeats: Repeats, spark, solver: Solver, most: int) -> DataFrame:
             .repartition(parts(spark), "key")
             .sortWithinPartitions("key", "did", "at")
         )
-        out.append(rows.mapInArrow(run, "did long, th int, low int, high int"))
+        out.append(rows.mapInArrow(giving_back(run), "did long, th int, low int, high int"))
     spans = out[0]
     for more in out[1:]:
         spans = spans.union(more)

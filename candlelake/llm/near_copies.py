@@ -21,7 +21,7 @@ from candlelake.llm import hashing
 from candlelake.llm.components import components
 from candlelake.llm.exact_copies import bit_filter, passing
 from candlelake.llm.simhash import _counting, _spans
-from candlelake.llm.stages import drop, parts, stage
+from candlelake.llm.stages import drop, giving_back, parts, stage
 
 WORDS, LEAST_LIKENESS = 5, 0.8
 SEGMENTS, WIDTH, SHORT = 16, 16, 40
@@ -100,7 +100,7 @@ def _marked(docs: DataFrame) -> DataFrame:
                 names=["did", "th", "key", *_FP, "least"],
             )
 
-    return docs.select("did", "th", "text").mapInArrow(compute, _MARKED)
+    return docs.select("did", "th", "text").mapInArrow(giving_back(compute), _MARKED)
 
 
 def _key(found: np.ndarray) -> int:
@@ -260,7 +260,7 @@ def _sets(pairs: DataFrame, marked: DataFrame, docs: DataFrame) -> DataFrame:
             lists = [shingles(t.as_py()).view(np.int64) for t in batch["text"]]
             yield pa.RecordBatch.from_arrays([batch["key"], pa.array(lists, pa.list_(pa.int64()))], names=["key", "shingles"])
 
-    sets = stage(found.mapInArrow(compute, "key long, shingles array<long>"), "sets")
+    sets = stage(found.mapInArrow(giving_back(compute), "key long, shingles array<long>"), "sets")
     drop(chosen, filter_)
     return sets
 
@@ -282,7 +282,7 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
     x = sets.select(F.col("key").alias("a"), F.col("shingles").alias("x"))
     y = sets.select(F.col("key").alias("b"), F.col("shingles").alias("y"))
-    return pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInArrow(test, "a long, b long")
+    return pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInArrow(giving_back(test), "a long, b long")
 
 
 def _roots(marked: DataFrame, docs: DataFrame) -> DataFrame:
@@ -300,7 +300,7 @@ def _roots(marked: DataFrame, docs: DataFrame) -> DataFrame:
             rows = rows.join(crowded, "bucket", "left_semi")
             rooted = groups.withColumnRenamed("node", "key")
             rows = rows.join(rooted, "key", "left").withColumn("root", F.coalesce("root", "key"))
-        found = stage(_dealt(rows).mapInArrow(_look(low, high, crowded is not None), "a long, b long, short boolean"), "candidates")
+        found = stage(_dealt(rows).mapInArrow(giving_back(_look(low, high, crowded is not None)), "a long, b long, short boolean"), "candidates")
         tested = stage(_complete(found.where("b is not null"), nodes), "tested", small=True)
         more = stage(found.where("b is null").select(F.col("a").alias("bucket")).distinct(), "crowded", small=True)
         drop(found, *([crowded] if crowded is not None else []))

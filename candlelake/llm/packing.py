@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from candlelake.llm.hashing import mix, word_hashes, words_of
-from candlelake.llm.stages import map_arrow, parts, runs_of_rows, stage, starts_of_parts, text_bytes
+from candlelake.llm.stages import giving_back, map_arrow, parts, runs_of_rows, stage, starts_of_parts, text_bytes
 from candlelake.llm.tokens import ids_of_batch
 
 DIMENSIONS, BITS = 4, 12
@@ -162,7 +162,7 @@ def pack(docs: DataFrame, vocabulary: str, capacity: int = 2048) -> DataFrame:
     ordered = keyed.repartitionById(n, "stretch").sortWithinPartitions("curve", "tie", "doc_id")
     ordered = ordered.select(F.spark_partition_id().alias("part"), "doc_id", "text")
     coded = stage(
-        ordered.mapInArrow(encode, "part int, doc_id long, local long, doc_tokens long, ids binary"), "packing"
+        ordered.mapInArrow(giving_back(encode), "part int, doc_id long, local long, doc_tokens long, ids binary"), "packing"
     )
     # a row per task: small at any size of the corpus
     placed = coded.join(F.broadcast(starts_of_parts(coded, "part", "doc_tokens")), "part")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -90,6 +91,24 @@ def doc_id(column: str = "did"):
     return F.when(F.col(column) != NULL_ID, F.col(column))
 
 
+def give_back() -> None:
+    """Return what a worker has freed to the system: workers outlive their tasks, and share an executor's memory with the JVM."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
+def giving_back(function):
+    """A function of a partition's batches that gives memory back after the last one."""
+
+    def run(batches):
+        yield from function(batches)
+        give_back()
+
+    return run
+
+
 def map_arrow(df: DataFrame, function: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
     """Apply a function of one Arrow batch; it may yield any number of batches."""
 
@@ -98,7 +117,7 @@ def map_arrow(df: DataFrame, function: Callable[[pa.RecordBatch], Iterator[pa.Re
             if batch.num_rows:
                 yield from function(batch)
 
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(giving_back(run), schema)
 
 
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

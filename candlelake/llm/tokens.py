@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from candlelake.llm import simple8b
-from candlelake.llm.stages import map_arrow, parts, runs_of_rows, stage, starts_of_parts
+from candlelake.llm.stages import give_back, giving_back, map_arrow, parts, runs_of_rows, stage, starts_of_parts
 
 END_ID = 1
 # chunks kept per Python worker (about 200 bytes each)
@@ -130,8 +130,7 @@ def ids_of_batch(path: str, texts: pa.Array) -> Iterator[tuple[int, int, np.ndar
         ids = np.full(int(counts.sum()), END_ID, "<u4")
         ids[np.arange(len(plain)) + np.repeat(np.arange(high - low), counts - 1)] = plain
         yield low, high, ids, counts
-    # what the arrays of the batch took goes back at once: two workers and a JVM share an executor
-    pa.default_memory_pool().release_unused()
+    give_back()
 
 
 def write_ids(docs: DataFrame, vocabulary: str, name: str = "token-ids") -> DataFrame:
@@ -210,7 +209,7 @@ def write_ids(docs: DataFrame, vocabulary: str, name: str = "token-ids") -> Data
         .select(F.spark_partition_id().alias("part"), "doc_id", "text")
     )
     coded = ordered.mapInArrow(
-        blocks,
+        giving_back(blocks),
         "part int, block int, doc_ids array<long>, ends array<long>, words binary, marks array<long>, escapes binary, n_ids long, before long",
     )
     return stage(coded, name)
