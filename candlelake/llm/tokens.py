@@ -24,12 +24,13 @@ from candlelake.llm.stages import give_back, giving_back, map_arrow, parts, runs
 
 END_ID = 1
 # chunks kept per Python worker (about 200 bytes each)
-MEMO_CHUNKS = 400_000
+MEMO_CHUNKS = 300_000
 BLOCK_IDS = 16_384
-# bytes of texts that are cut into chunks at a time; a longer text is a batch of its own
+# bytes of texts that are cut into chunks at a time; a longer text is cut at white space
 _BATCH = 1 << 21
 # signs that never share a piece with a letter or digit before them: all but the apostrophe
 _TAIL = string.punctuation.replace("'", "").encode()
+_SPACE = re.compile(rb"[\x20\x09-\x0D]")
 _LETTERS = re.compile("[a-zß-öø-ÿ]+")
 # how the vocabulary cuts chunks, as far as they are lower-case ASCII
 _PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
@@ -120,12 +121,27 @@ def document_ids(path: str, text: str | None) -> bytes:
     return (encoder(path).encode(text.encode()) if text else b"") + END_ID.to_bytes(4, "little")
 
 
+def _cut(text: bytes) -> Iterator[str]:
+    """A long text in pieces that end before white space, so that no chunk is cut."""
+    low = 0
+    while low < len(text):
+        space = _SPACE.search(text, low + _BATCH)
+        high = space.start() if space else len(text)
+        yield text[low:high].decode()
+        low = high
+
+
 def ids_of_batch(path: str, texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """``low, high, ids, counts`` for runs of rows of a batch: the ids of all its documents end to end, and the number of each; end ids included."""
     coder = encoder(path)
     offsets = np.concatenate([[0], np.cumsum(np.asarray(pc.binary_length(texts).fill_null(0), np.int64))])
     for low, high in runs_of_rows(offsets, _BATCH):
-        plain, counts = coder.encode_all(texts.slice(low, high - low))
+        if offsets[high] - offsets[low] > _BATCH:  # one long text
+            pieces = [coder.encode_all(pa.array([p], pa.string()))[0] for p in _cut(texts[low].as_py().encode())]
+            plain = np.concatenate(pieces)
+            counts = np.array([len(plain)])
+        else:
+            plain, counts = coder.encode_all(texts.slice(low, high - low))
         counts = counts + 1
         ids = np.full(int(counts.sum()), END_ID, "<u4")
         ids[np.arange(len(plain)) + np.repeat(np.arange(high - low), counts - 1)] = plain

@@ -176,3 +176,12 @@ def test_ranges_do_not_change_the_packing(spark, monkeypatch):
     want = sorted(map(tuple, packing.pack(docs, VOCABULARY).collect()))
     monkeypatch.setattr(packing, "SAMPLE", 10)
     assert sorted(map(tuple, packing.pack(docs, VOCABULARY).collect())) == want
+
+
+def test_long_texts_are_cut_between_chunks(monkeypatch):
+    monkeypatch.setattr(tokens, "_BATCH", 50)
+    texts = ["don't stop, É. " * 30, "x" * 400, "a b", None, "tail " * 9 + "<|endoftext|>" + " z" * 40, " \n" * 60]
+    (ids, counts) = zip(*[(i, c) for _, _, i, c in tokens.ids_of_batch(VOCABULARY, pa.array(texts, pa.string()))])
+    ids, ends = np.concatenate(ids), np.cumsum(np.concatenate(counts))
+    for text, low, high in zip(texts, [0, *ends], ends):
+        assert ids[low:high].tolist() == expected(text).tolist()
