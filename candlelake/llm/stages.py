@@ -17,21 +17,28 @@ CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 NULL_ID = -(2**63)
 
 
-def stage(df: DataFrame, name: str, small: bool = False) -> DataFrame:
+ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def stage(df: DataFrame, name: str, small: bool = False, arrow_rows: int | None = None) -> DataFrame:
     """Write ``df`` below ``spark.checkpoint.dir`` and read it back.
 
     The stored table survives lost executors and cuts the lineage. Shuffle files
     of the job that wrote it are of no further use, so Spark may drop them. A ``small`` table, of
-    a few numbers a row, is written by an eighth of the tasks: starting files would cost more than filling them.
+    a few numbers a row, is written by an eighth of the tasks: starting files would cost more than filling them. ``arrow_rows`` bounds the rows of
+    whole texts that a Python worker gets at a time.
     """
     spark = df.sparkSession
     path = work_path(spark, name)
-    before = spark.conf.get(CLEANUP, "false")
-    spark.conf.set(CLEANUP, "true")
+    settings = {CLEANUP: "true", **({ARROW_ROWS: str(arrow_rows)} if arrow_rows else {})}
+    before = {key: spark.conf.get(key, None) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
     try:
         (df.coalesce(max(12, parts(spark) // 8)) if small else df).write.parquet(path)
     finally:
-        spark.conf.set(CLEANUP, before)
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
     return spark.read.schema(df.schema).parquet(path)
 
 

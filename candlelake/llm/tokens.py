@@ -26,6 +26,8 @@ END_ID = 1
 # chunks kept per Python worker (about 200 bytes each)
 MEMO_CHUNKS = 300_000
 BLOCK_IDS = 16_384
+# rows of whole texts that a worker gets at a time
+_ARROW_ROWS = 2000
 # bytes of texts that are cut into chunks at a time; a longer text is cut at white space
 _BATCH = 1 << 21
 # signs that never share a piece with a letter or digit before them: all but the apostrophe
@@ -228,7 +230,7 @@ def write_ids(docs: DataFrame, vocabulary: str, name: str = "token-ids") -> Data
         giving_back(blocks),
         "part int, block int, doc_ids array<long>, ends array<long>, words binary, marks array<long>, escapes binary, n_ids long, before long",
     )
-    return stage(coded, name)
+    return stage(coded, name, arrow_rows=_ARROW_ROWS)
 
 
 def _crowded(rows: DataFrame, n: int) -> bool:
