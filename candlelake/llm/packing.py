@@ -24,6 +24,8 @@ from candlelake.llm.tokens import ids_of_batch
 DIMENSIONS, BITS = 4, 12
 # texts on which the stretches of the curve are balanced
 SAMPLE = 1 << 16
+# rows of whole texts that a worker gets at a time
+ARROW_ROWS = 2000
 
 
 def hilbert_keys(points: np.ndarray, bits: int = BITS) -> np.ndarray:
@@ -85,7 +87,8 @@ def _splitters(docs: DataFrame, n: int) -> np.ndarray:
     """
     rows = max(1, docs.count())
     sample = docs.sample(min(1.0, SAMPLE / rows), seed=7)
-    found = curve_keys(sample).select("curve", "tie", F.coalesce(F.octet_length("text"), F.lit(0)).alias("size")).toArrow()
+    sizes = curve_keys(sample).select("curve", "tie", F.coalesce(F.octet_length("text"), F.lit(0)).alias("size"))
+    found = stage(sizes, "curve-sample", arrow_rows=ARROW_ROWS).toArrow()
     if not found.num_rows:
         return np.zeros((0, 2), np.int64)
     keys = np.column_stack([np.asarray(found["curve"]), np.asarray(found["tie"])])
@@ -162,7 +165,7 @@ def pack(docs: DataFrame, vocabulary: str, capacity: int = 2048) -> DataFrame:
     ordered = keyed.repartitionById(n, "stretch").sortWithinPartitions("curve", "tie", "doc_id")
     ordered = ordered.select(F.spark_partition_id().alias("part"), "doc_id", "text")
     coded = stage(
-        ordered.mapInArrow(giving_back(encode), "part int, doc_id long, local long, doc_tokens long, ids binary"), "packing"
+        ordered.mapInArrow(giving_back(encode), "part int, doc_id long, local long, doc_tokens long, ids binary"), "packing", arrow_rows=ARROW_ROWS
     )
     # a row per task: small at any size of the corpus
     placed = coded.join(F.broadcast(starts_of_parts(coded, "part", "doc_tokens")), "part")
