@@ -12,8 +12,9 @@ places are anchors; only they are shuffled, as hashes:
    class meet by gram, and an operator's own method decides which windows repeat.
 
 A gram with more than ``MOST_CLASSES`` classes is not solved in one task: its windows are split by
-their distance from the gram; each part shares a longer core, which is the new key, and classes
-are formed anew, until groups are small. At the last step window and core are one.
+their distance from the gram; each part shares a longer core, which is the new key. Cores that occur
+once are gone after a count, as single grams are, and classes are formed anew, until groups are small. At
+the last step window and core are one.
 """
 
 from __future__ import annotations
@@ -218,16 +219,17 @@ def search(keyed: DataFrame, units: Units, keep_first: bool) -> Repeats:
             contested.append(pending)
             return Repeats(spans, contested)
         contested.append(pending.join(large, "key", "left_anti"))
-        ranges = stage(_ranges(pending.join(large, "key", "left_semi"), units), "ranges", small=True)
+        large_ones = pending.join(large, "key", "left_semi")
+        pieces = stage(_ranges(large_ones, units), "ranges")
+        # most cores occur once; the others alone are compared, and their units cut out
+        cores = stage(
+            pieces.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key"), "repeated-cores", small=True
+        )
+        ranges = stage(pieces.join(cores, "key"), "repeated-ranges", small=True)
+        drop(pieces, cores)
         settled, firsts = _classes(ranges, "key", ["context", "near", "far"], keep_first)
         spans.append(_spans(settled, F.col("far"), F.lit(units.window) - F.col("near")))
-        pending = stage(
-            ranges.join(firsts.select("key", "context", "did", "at"), ["key", "context", "did", "at"]).dropDuplicates(
-                ["key", "context"]
-            ).drop("context"),
-            "contexts",
-            small=True,
-        )
+        pending = stage(_cut(large_ones, firsts, units), "contexts", small=True)
 
 
 def _spans(settled: DataFrame, before, after) -> DataFrame:
@@ -298,37 +300,59 @@ def _contexts(docs: DataFrame, units: Units) -> DataFrame:
 
 
 def _ranges(contexts: DataFrame, units: Units) -> DataFrame:
-    """Each context in parts: its windows, which begin ``near`` to ``far`` units before the anchor, in equal ranges."""
-    size, window = units.size, units.window
+    """Each context in parts: its windows, which begin ``near`` to ``far`` units before the anchor, in equal ranges.
 
-    def digest(piece: bytes, salt: int) -> int:
-        values = units.values(np.frombuffer(piece, np.uint8 if size == 1 else np.uint64))
-        n = np.array([len(values)])
-        return int(hashing.mix(Ranges(values)(n * 0, n) + np.uint64(salt))[0].view(np.int64))
+    ``key`` is the hash of the core that the windows of a range share, ``context`` that of all their units.
+    """
+    size, window = units.size, units.window
 
     def rows(batch):
-        out = []
-        for r in batch.to_pylist():
-            raw, left = r["units"], r["left"]
-            n = len(raw) // size
-            step = -(-(r["far"] + 1 - r["near"]) // RANGES)
-            for near in range(r["near"], r["far"] + 1, step):
-                far = min(near + step - 1, r["far"])
-                core = (left - near, left - far + window)
-                if core[0] < 0 or core[1] > n:
-                    continue  # the text has no such window
-                low, high = max(0, left - far), min(n, left - near + window)
-                context = raw[low * size : high * size]
-                key = digest(raw[core[0] * size : core[1] * size], near << 20 | far)
-                out.append((key, r["did"], r["at"], near, far, left - low, context, digest(context, left - low)))
-        columns = list(zip(*out)) if out else [[]] * 8
-        kinds = [pa.int64()] * 3 + [pa.int32()] * 3 + [pa.binary(), pa.int64()]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(c, k) for c, k in zip(columns, kinds)],
-            names=["key", "did", "at", "near", "far", "left", "units", "context"],
-        )
+        data, offsets = text_bytes(batch["units"])
+        did, at = np.asarray(batch["did"]), np.asarray(batch["at"])
+        columns = [np.asarray(batch[c]).astype(np.int64) for c in ("left", "near", "far")]
+        for first, last in runs_of_rows(offsets, BLOCK):
+            bounds = (offsets[first : last + 1] - offsets[first]) // size
+            begin, n = bounds[:-1], np.diff(bounds)
+            part = data[offsets[first] : offsets[last]]
+            ranges = Ranges(units.values(part if size == 1 else part.view(np.uint64)))
+            left, least, most = (c[first:last] for c in columns)
+            step = -(-(most + 1 - least) // RANGES)
+            for number in range(RANGES):
+                near = least + number * step
+                far = np.minimum(near + step - 1, most)
+                # a text may have no such window
+                has = np.flatnonzero((near <= most) & (near <= left) & (left - far + window <= n))
+                if not len(has):
+                    continue
+                b, l, x, y = begin[has], left[has], near[has], far[has]
+                low, high = np.maximum(0, l - y), np.minimum(n[has], l - x + window)
+                key = hashing.mix(ranges(b + l - x, b + l - y + window) + (x << 20 | y).astype(np.uint64))
+                context = hashing.mix(ranges(b + low, b + high) + (l - low).astype(np.uint64))
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(key.view(np.int64)),
+                        pa.array(did[first:last][has]),
+                        pa.array(at[first:last][has]),
+                        pa.array(x.astype(np.int32)),
+                        pa.array(y.astype(np.int32)),
+                        pa.array(context.view(np.int64)),
+                    ],
+                    names=["key", "did", "at", "near", "far", "context"],
+                )
+
+    schema = "key long, did long, at long, near int, far int, context long"
+    return map_arrow(contexts.select("did", "at", "near", "far", "left", "units"), rows, schema)
+
 
-    return map_arrow(contexts.select("key", "did", "at", "near", "far", "left", "units"), rows, _CONTEXT + ", context long")
+def _cut(contexts: DataFrame, firsts: DataFrame, units: Units) -> DataFrame:
+    """The parts ``firsts`` of ``contexts``, with their units."""
+    whole = contexts.select("did", "at", "left", "units", F.col("near").alias("least"), F.col("far").alias("most"))
+    found = whole.join(firsts, ["did", "at"]).where("near >= least and far <= most").dropDuplicates(["key", "context"])
+    low = F.greatest(F.lit(0), F.col("left") - F.col("far"))
+    length = F.col("left") - F.col("near") + F.lit(units.window) - low
+    # what reaches over the end of the units is cut there
+    piece = F.substring("units", low * units.size + 1, length * units.size)
+    return found.select("key", "did", "at", "near", "far", (F.col("left") - low).alias("left"), piece.alias("units"))
 
 
 Solver = Callable[[list[tuple[int, int, int, int, bytes, int]]], Iterator[tuple[int, int, int, int]]]
