@@ -6,6 +6,9 @@ Two sets of Jaccard index ``J`` differ in a bit of a SimHash with a chance of ``
 99.5 % of such pairs meet, and more of likelier ones. A text of at most ``SHORT`` shingles is also filed under the least of them, as many as any
 set of index 0.8 must share one of: those pairs are all found. What meets is compared by the first half of the bits, then by the complete
 distance, then by the shingles of both texts, which are computed for candidates only.
+
+Of a crowd that is near by its bits only the nearest are tested at once. Further ones that are not connected by then are compared by ``PARITIES``
+bits first, which bound the index from above: what they exclude is below 0.8 for certain, so the pairs of a crowd of unlike texts are never written.
 """
 
 from __future__ import annotations
@@ -27,11 +30,13 @@ WORDS, LEAST_LIKENESS = 5, 0.8
 SEGMENTS, WIDTH, SHORT = 16, 16, 40
 # bits that may differ: of the first 128 by parts and by shingles, and of all 256
 NEAR, NEAR_SHORT, NEAR_ALL = 36, 48, 66
-# candidates of a row that are tested in the first round, and how this grows by round
-FIRST_ROUND, GROWTH = 8, 4
+# candidates of a row in a bucket that are tested by their bits
+NEAREST = 1
+# bits of the bound on the index
+PARITIES = 2048
 _CHUNK = 255 * 16
-# comparisons of one bucket up to which buckets are compared together
-_SMALL = 4096
+# comparisons at a time
+_BLOCK = 1 << 18
 _LONGS = SEGMENTS * WIDTH // 64
 _ODD = hashing._stream(1 << 42, _LONGS) | np.uint64(1)
 _FACTORS = hashing._stream(1 << 43, WORDS) | np.uint64(1)
@@ -66,6 +71,12 @@ def wide_fingerprint(found: np.ndarray) -> np.ndarray:
     return np.packbits(total * 2 > len(found), bitorder="little").view("<u8")
 
 
+def parities(found: np.ndarray) -> bytes:
+    """Whether an even or odd number of hashes has each value modulo ``PARITIES``. Two sets differ in as many shingles at least as in these bits."""
+    counts = np.bincount((hashing.mix(found) % np.uint64(PARITIES)).astype(np.int64), minlength=PARITIES)
+    return np.packbits(counts & 1).tobytes()
+
+
 def _least(found: np.ndarray) -> np.ndarray:
     """The least shingles of a short text, of which any text of enough likeness shares one; marked by the sign."""
     if len(found) > SHORT:
@@ -75,7 +86,7 @@ def _least(found: np.ndarray) -> np.ndarray:
 
 
 _FP = [f"f{i}" for i in range(_LONGS)]
-_MARKED = "did long, th long, key long, " + ", ".join(f"{c} long" for c in _FP) + ", least array<long>"
+_MARKED = "did long, th long, key long, " + ", ".join(f"{c} long" for c in _FP) + ", least array<long>, n int, parities binary"
 
 
 def _marked(docs: DataFrame) -> DataFrame:
@@ -90,14 +101,15 @@ def _marked(docs: DataFrame) -> DataFrame:
                 key = _key(found)
                 keys.append(key)
                 if key in seen or not len(found):
-                    rest.append((None,) * (_LONGS + 1))
+                    rest.append((None,) * (_LONGS + 3))
                     continue
                 seen.add(key)
-                rest.append((*wide_fingerprint(found).view(np.int64).tolist(), _least(found)))
-            columns = list(zip(*rest)) if rest else [()] * (_LONGS + 1)
+                rest.append((*wide_fingerprint(found).view(np.int64).tolist(), _least(found), len(found), parities(found)))
+            columns = list(zip(*rest)) if rest else [()] * (_LONGS + 3)
+            kinds = [pa.int64()] * _LONGS + [pa.list_(pa.int64()), pa.int32(), pa.binary()]
             yield pa.RecordBatch.from_arrays(
-                [batch["did"], batch["th"], pa.array(keys, pa.int64()), *(pa.array(c, pa.int64()) for c in columns[:-1]), pa.array(columns[-1], pa.list_(pa.int64()))],
-                names=["did", "th", "key", *_FP, "least"],
+                [batch["did"], batch["th"], pa.array(keys, pa.int64()), *(pa.array(c, k) for c, k in zip(columns, kinds))],
+                names=["did", "th", "key", *_FP, "least", "n", "parities"],
             )
 
     return docs.select("did", "th", "text").mapInArrow(giving_back(compute), _MARKED)
@@ -107,8 +119,8 @@ def _key(found: np.ndarray) -> int:
     return int(hashing.mix(found).sum().view(np.int64)) if len(found) else 0
 
 
-def bucket_rows(nodes: DataFrame) -> DataFrame:
-    """``bucket, probe, key, f0, f1``: where each text is filed (0) and where it looks (1).
+def bucket_rows(nodes: DataFrame, *more: str) -> DataFrame:
+    """``bucket, probe, key, f0...`` and columns ``more``: where each text is filed (0) and where it looks (1).
 
     Of the ball of radius one it looks only at the values with an added bit: the other text of such a pair looks the other way.
     """
@@ -123,8 +135,8 @@ def bucket_rows(nodes: DataFrame) -> DataFrame:
             slots.append(F.when(absent, F.struct(own.bitwiseOR(F.lit(1 << bit)).alias("bucket"), F.lit(1).alias("probe"))))
     least = F.transform("least", lambda x: F.struct(x.alias("bucket"), F.lit(0).alias("probe")))
     every = F.concat(F.array_compact(F.array(*slots)), least)
-    rows = nodes.select(F.explode(every).alias("slot"), "key", "f0", "f1")
-    return rows.select("slot.bucket", "slot.probe", "key", "f0", "f1")
+    rows = nodes.select(F.explode(every).alias("slot"), "key", *_FP, *more)
+    return rows.select("slot.bucket", "slot.probe", "key", *_FP, *more)
 
 
 def _chunks(batches, columns: list[str]):
@@ -145,88 +157,105 @@ def _chunks(batches, columns: list[str]):
         yield [np.concatenate(c) for c in zip(*held)]
 
 
-def _near_pairs(buckets, f0, f1, heads, sizes, filed, high: int):
-    """Near pairs (a filed row, a later row) of small buckets, all at once; and which buckets are left: large ones, and those with a crowded row."""
-    compared = filed * sizes - filed * (filed + 1) // 2
-    small = np.flatnonzero((compared > 0) & (compared <= _SMALL))
-    first = np.repeat(heads[small], filed[small]) + _counting(filed[small])
-    later = np.repeat(heads[small] + sizes[small], filed[small]) - first - 1
-    found = [(np.zeros(0, np.int64),) * 2]
-    for low, top in _spans(later, 1 << 20):
-        a = np.repeat(first[low:top], later[low:top])
-        b = a + 1 + _counting(later[low:top])
-        apart = np.bitwise_count(f0[a] ^ f0[b]).astype(np.int16) + np.bitwise_count(f1[a] ^ f1[b])
-        near = apart <= np.where(buckets[a] >= 0, NEAR, NEAR_SHORT)
-        found.append((a[near], b[near]))
-    a, b = (np.concatenate(c) for c in zip(*found))
-    number = np.searchsorted(heads, a, side="right") - 1
-    is_filed = b < (heads + filed)[number]
-    near_ones = np.bincount(b, minlength=len(buckets)) + np.bincount(a[is_filed], minlength=len(buckets))
-    crowded = np.maximum.reduceat(near_ones, heads) > high
-    left = np.flatnonzero((compared > _SMALL) | crowded)
-    plain = ~crowded[number]
-    return a[plain], b[plain], left
-
-
-def _candidates(bucket: int, filed: int, rows, low: int, high: int, roots):
-    """Pairs of rows of a bucket, of which the first ``filed`` are filed there, and whether some row has more than ``high`` near ones.
-
-    Every row is paired with the near filed ones; of these, in the order of their distance, those in places ``low`` to ``high`` come out unless
-    both ends have the same root.
+def _are_near(a, b, buckets, bits) -> np.ndarray:
+    """Which pairs of rows are near by their first bits, then by all, and meet here first."""
+    f0, f1 = bits[:, 0], bits[:, 1]
+    apart = np.bitwise_count(f0[a] ^ f0[b]).astype(np.int16) + np.bitwise_count(f1[a] ^ f1[b])
+    near = np.flatnonzero(apart <= np.where(buckets[a] >= 0, NEAR, NEAR_SHORT))
+    differing = bits[a[near]] ^ bits[b[near]]
+    by_part = np.bitwise_count(differing.view(np.uint16))
+    # few shingles make wild bits: pairs that share one of short texts need not be near by all
+    is_part, all_near = buckets[a[near]] >= 0, by_part.sum(1, dtype=np.int16) <= NEAR_ALL
+    meets = by_part <= 1
+    first = np.where(meets.any(1), meets.argmax(1), SEGMENTS)
+    half = apart[near] <= NEAR
+    here = np.where(is_part, all_near & (first == buckets[a[near]] >> WIDTH), ~(half & all_near & (first < SEGMENTS)))
+    return near[here]
+
+
+def _places(row, other, keys, bits) -> np.ndarray:
+    """The place of each pair among those of its row, in the order of their distance."""
+    apart = np.bitwise_count(bits[row] ^ bits[other]).sum(1, dtype=np.int16)
+    order = np.lexsort((keys[other], apart, row))
+    heads = np.flatnonzero(np.diff(row[order], prepend=-1))
+    places = np.empty(len(row), np.int64)
+    places[order] = _counting(np.diff(np.append(heads, len(row))))
+    return places
+
+
+def _blocks(heads, sizes, filed):
+    """Runs of filed rows of sorted buckets and how many rows each is compared with, ``_BLOCK`` comparisons at a time.
+
+    A run is ``rows, first, counts``: each of ``rows`` is compared with the ``counts`` rows from ``first`` on.
     """
-    f0, f1 = rows
-    limit, pairs, more = NEAR if bucket >= 0 else NEAR_SHORT, [], False
-    step = max(1, (1 << 20) // filed)
-    for start in range(0, len(f0), step):
-        apart = np.bitwise_count(f0[start : start + step, None] ^ f0[None, :filed]).astype(np.int16)
-        apart += np.bitwise_count(f1[start : start + step, None] ^ f1[None, :filed])
-        own = np.arange(start, min(start + len(apart), filed))
-        apart[own - start, own] = 999
-        near = apart <= limit
-        for i in np.flatnonzero(near.any(1)).tolist():
-            others = np.flatnonzero(near[i])
-            if len(others) > low:
-                more |= len(others) > high
-                others = others[np.argsort(apart[i, others], kind="stable")][low:high]
-                if roots is not None:
-                    others = others[roots[others] != roots[start + i]]
-                pairs += [(start + i, j) for j in others.tolist()]
-    return pairs, more
-
-
-def _look(low: int, high: int, rooted: bool):
-    """``a, b, short`` for the candidates of a round; a bucket with rows that have more of them comes as ``a`` alone."""
-    columns = ["bucket", "probe", "key", "f0", "f1", *(["root"] if rooted else [])]
-
-    def emit(out: list):
-        for at in range(0, len(out), 1 << 16):
-            a, b, short = zip(*out[at : at + (1 << 16)])
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(short, pa.bool_())], names=["a", "b", "short"])
+    compared = filed * sizes
+    small = np.flatnonzero((compared > 0) & (sizes > 1) & (compared <= _BLOCK))
+    for low, top in _spans(compared[small], _BLOCK):
+        some = small[low:top]
+        yield np.repeat(heads[some], sizes[some]) + _counting(sizes[some]), np.repeat(heads[some], sizes[some]), np.repeat(filed[some], sizes[some])
+    for i in np.flatnonzero(compared > _BLOCK).tolist():
+        step = max(1, (_BLOCK) // int(filed[i]))
+        for start in range(0, int(sizes[i]), step):
+            rows = heads[i] + np.arange(start, min(start + step, int(sizes[i])))
+            yield rows, np.full(len(rows), heads[i]), np.full(len(rows), filed[i])
+
+
+def _may_be_alike(a, b, n, marks) -> np.ndarray:
+    """Which pairs may have an index of ``LEAST_LIKENESS`` by their sizes and parities."""
+    both = n[a] + n[b]
+    differing = np.bitwise_count(marks[a] ^ marks[b]).sum(1, dtype=np.int64)
+    fits = np.minimum(n[a], n[b]) >= LEAST_LIKENESS * np.maximum(n[a], n[b]) - 1e-9
+    return fits & (both - differing >= LEAST_LIKENESS * (both + differing) - 1e-6)
+
+
+def _look(columns: list[str]):
+    """``a, b``: every row with its ``NEAREST`` in each bucket; a bucket with rows that have more of them comes as ``a`` alone.
+
+    With ``root``: instead, as ``a`` alone, the rows of pairs that are near, but neither among the nearest nor connected. With ``parities`` too: all
+    pairs that are near, not connected, and may be alike enough.
+    """
+    rooted, bounded = "root" in columns, "parities" in columns
 
     def run(batches):
-        out: list = []
-        for buckets, probes, keys, f0, f1, *roots in _chunks(batches, columns):
-            f0, f1 = f0.view(np.uint64), f1.view(np.uint64)
+        for chunk in _chunks(batches, columns):
+            chunk = dict(zip(columns, chunk))
+            buckets, probes, keys = (chunk[c] for c in ("bucket", "probe", "key"))
+            bits = np.stack([chunk[c] for c in _FP], axis=1).view(np.uint64)
+            if bounded:
+                n, marks = chunk["n"].astype(np.int64), np.frombuffer(b"".join(chunk["parities"]), np.uint64).reshape(len(keys), -1)
             heads = np.flatnonzero(np.concatenate([[True], buckets[1:] != buckets[:-1]]))
             sizes = np.diff(np.append(heads, len(buckets)))
             filed = np.add.reduceat(1 - probes.astype(np.int64), heads)
-            left = np.flatnonzero((filed > 0) & (sizes > 1))
-            if not roots:
-                a, b, left = _near_pairs(buckets, f0, f1, heads, sizes, filed, high)
-                x, y, short = keys[a], keys[b], buckets[a] < 0
-                apart = x != y
-                out += zip(np.minimum(x, y)[apart].tolist(), np.maximum(x, y)[apart].tolist(), short[apart].tolist())
-            for i in left.tolist():
-                rows = slice(heads[i], heads[i] + sizes[i])
-                bucket, own = int(buckets[heads[i]]), keys[rows].tolist()
-                pairs, more = _candidates(bucket, int(filed[i]), (f0[rows], f1[rows]), low, high, roots[0][rows] if roots else None)
-                out += [(min(own[x], own[y]), max(own[x], own[y]), bucket < 0) for x, y in pairs if own[x] != own[y]]
-                if more:
-                    out.append((bucket, None, None))
-            if len(out) > 1 << 16:
-                yield from emit(out)
-                out = []
-        yield from emit(out)
+            found, open_ = [], []
+            for rows, first, counts in _blocks(heads, sizes, filed):
+                row = np.repeat(rows, counts)
+                other = np.repeat(first, counts) + _counting(counts)
+                near = _are_near(row, other, buckets, bits)
+                near = near[keys[row[near]] != keys[other[near]]]
+                row, other = row[near], other[near]
+                if bounded:
+                    apart = (keys[row] < keys[other]) | (probes[row] > 0)
+                    apart &= chunk["root"][row] != chunk["root"][other]
+                    row, other = row[apart], other[apart]
+                    alike = _may_be_alike(row, other, n, marks)
+                    x, y = keys[row[alike]], keys[other[alike]]
+                    found.append(np.stack([np.minimum(x, y), np.maximum(x, y)], axis=1))
+                    continue
+                place = _places(row, other, keys, bits)
+                if rooted:
+                    roots = chunk["root"]
+                    left = (place >= NEAREST) & (roots[row] != roots[other])
+                    open_.append(np.unique(np.concatenate([keys[row[left]], keys[other[left]]])))
+                else:
+                    open_.append(np.unique(buckets[row[place >= NEAREST]]))
+                    x, y = keys[row[place < NEAREST]], keys[other[place < NEAREST]]
+                    found.append(np.unique(np.stack([np.minimum(x, y), np.maximum(x, y)], axis=1), axis=0))
+            if found:
+                a, b = (pa.array(c.copy()) for c in np.unique(np.concatenate(found), axis=0).T)
+                yield pa.RecordBatch.from_arrays([a, b], names=["a", "b"])
+            if open_:
+                a = pa.array(np.unique(np.concatenate(open_)))
+                yield pa.RecordBatch.from_arrays([a, pa.nulls(len(a), pa.int64())], names=["a", "b"])
 
     return run
 
@@ -235,18 +264,8 @@ def _dealt(rows: DataFrame) -> DataFrame:
     return rows.repartition(parts(rows.sparkSession), "bucket").sortWithinPartitions("bucket", "probe", "key")
 
 
-def _complete(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """``a, b`` whose complete fingerprints are near. Pairs that share a shingle of short texts need not be: few shingles make wild bits."""
-    distinct = pairs.groupBy("a", "b").agg(F.max("short").alias("short"))
-    x = nodes.select(F.col("key").alias("a"), *(F.col(c).alias(f"x{c}") for c in _FP))
-    y = nodes.select(F.col("key").alias("b"), *(F.col(c).alias(f"y{c}") for c in _FP))
-    apart = sum((F.bit_count(F.col(f"x{c}").bitwiseXOR(F.col(f"y{c}"))) for c in _FP), F.lit(0))
-    return distinct.join(x, "a").join(y, "b").where(F.col("short") | (apart <= NEAR_ALL)).select("a", "b")
-
-
-def _sets(pairs: DataFrame, marked: DataFrame, docs: DataFrame) -> DataFrame:
-    """``key, shingles`` of the keys of ``pairs``, from one text of each; only these texts are read again and shuffled."""
-    keys = pairs.select(F.col("a").alias("key")).union(pairs.select("b")).distinct()
+def _sets(keys: DataFrame, marked: DataFrame, docs: DataFrame) -> DataFrame:
+    """``key, shingles`` of ``keys``, from one text of each; only these texts are read again and shuffled."""
     where = F.min(F.struct(F.coalesce("did", F.lit(0)).alias("d"), F.isnull("did").alias("unnamed"), "th")).alias("text")
     chosen = marked.join(keys, "key", "left_semi").groupBy("key").agg(where).select("key", "text.*")
     chosen = stage(chosen, "chosen-texts", small=True)
@@ -285,38 +304,50 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInArrow(giving_back(test), "a long, b long")
 
 
+def _linked(pairs: DataFrame, marked: DataFrame, docs: DataFrame, links: list[DataFrame]) -> DataFrame:
+    """The groups by ``links`` and by those of ``pairs`` that are verified, which become links."""
+    sets = _sets(pairs.select(F.col("a").alias("key")).union(pairs.select("b")).distinct(), marked, docs)
+    links.append(stage(_verified(pairs, sets), "links", small=True))
+    drop(sets)
+    every = links[0]
+    for other in links[1:]:
+        every = every.union(other)
+    return components(every)
+
+
 def _roots(marked: DataFrame, docs: DataFrame) -> DataFrame:
     """``node, root`` of every key that has a near copy of another key; a stored table.
 
-    Rounds: first the nearest few candidates of every row are tested. Buckets in which some row has more are looked at again, ``GROWTH`` times
-    as many at a time and only between texts that are not connected yet, until no row has more. So a large group of near copies costs a few
+    First the nearest few candidates of every row are tested. Buckets in which some row has more are looked at again, for rows with a near one that is
+    not connected yet; these meet once more, and all their pairs that may be alike enough are tested. So a large group costs a few
     links a row, and no candidate between two groups is left out.
     """
-    nodes = stage(marked.where("f0 is not null").dropDuplicates(["key"]).select("key", *_FP, "least"), "nodes", small=True)
-    low, high, links, groups, crowded = 0, FIRST_ROUND, [], None, None
-    while True:
-        rows = bucket_rows(nodes)
-        if crowded is not None:
-            rows = rows.join(crowded, "bucket", "left_semi")
-            rooted = groups.withColumnRenamed("node", "key")
-            rows = rows.join(rooted, "key", "left").withColumn("root", F.coalesce("root", "key"))
-        found = stage(_dealt(rows).mapInArrow(giving_back(_look(low, high, crowded is not None)), "a long, b long, short boolean"), "candidates")
-        tested = stage(_complete(found.where("b is not null"), nodes), "tested", small=True)
-        more = stage(found.where("b is null").select(F.col("a").alias("bucket")).distinct(), "crowded", small=True)
-        drop(found, *([crowded] if crowded is not None else []))
-        if not tested.isEmpty() or groups is None:
-            sets = _sets(tested, marked, docs)
-            links.append(stage(_verified(tested, sets), "links", small=True))
-            drop(sets, *([groups] if groups is not None else []))
-            every = links[0]
-            for other in links[1:]:
-                every = every.union(other)
-            groups = components(every)
+    nodes = stage(marked.where("f0 is not null").dropDuplicates(["key"]).drop("did", "th"), "nodes", small=True)
+    links: list[DataFrame] = []
+
+    def look(rows, name):
+        return stage(_dealt(rows).mapInArrow(giving_back(_look(rows.columns)), "a long, b long"), name)
+
+    found = look(bucket_rows(nodes), "candidates")
+    tested = stage(found.where("b is not null").distinct(), "tested", small=True)
+    crowded = stage(found.where("b is null").select(F.col("a").alias("bucket")).distinct(), "crowded", small=True)
+    drop(found)
+    groups = _linked(tested, marked, docs, links)
+    drop(tested)
+    if not crowded.isEmpty():
+        rooted = nodes.join(groups.withColumnRenamed("node", "key"), "key", "left").withColumn("root", F.coalesce("root", "key"))
+        again = look(bucket_rows(rooted, "root").join(crowded, "bucket", "left_semi"), "crowds")
+        open_ = stage(again.select(F.col("a").alias("key")).distinct(), "open", small=True)
+        rows = bucket_rows(rooted.join(open_, "key", "left_semi"), "root", "n", "parities").join(crowded, "bucket", "left_semi")
+        pairs = look(rows, "candidates")
+        tested = stage(pairs.distinct(), "tested", small=True)
+        drop(again, open_, pairs)
+        if not tested.isEmpty():
+            before, groups = groups, _linked(tested, marked, docs, links)
+            drop(before)
         drop(tested)
-        crowded, low, high = more, high, high * GROWTH
-        if crowded.isEmpty():
-            drop(nodes, crowded, *links)
-            return groups
+    drop(nodes, crowded, *links)
+    return groups
 
 
 def keep_one(docs: DataFrame) -> DataFrame:

@@ -83,3 +83,30 @@ def test_repeated_and_null_ids(spark):
     got = [(r.doc_id, r.text.lower()) for r in kept.collect()]
     assert sorted(got, key=str) == sorted([(1, one), (1, two), (None, "c d")], key=str)
     assert near_copies.keep_one(docs.limit(0)).count() == 0
+
+
+def test_crowd_of_unlike_texts(spark, monkeypatch):
+    """Texts that are near by their bits but too unlike were tested pair by pair, up to all pairs of the crowd."""
+    tested, verified = [], near_copies._verified
+
+    def counted(pairs, sets):
+        tested.append(pairs.count())
+        return verified(pairs, sets)
+
+    monkeypatch.setattr(near_copies, "_verified", counted)
+    rng = np.random.default_rng(31)
+    words = [f"w{i}" for i in range(5000)]
+    base, rows = list(rng.choice(words, 300)), []
+    for i in range(300):  # two of them share about 0.7
+        text = list(base)
+        for at in rng.choice(60, 5, replace=False):
+            text[at * 5] = f"own{i}"
+        rows.append(" ".join(text))
+    for i in range(0, 300, 50):
+        rows.append(rows[i].replace(base[299], "other"))
+    data = list(enumerate(rows, 1))
+    wanted, groups = slow_kept(data)
+    assert 200 < len(wanted) <= 300
+    got = sorted(r.doc_id for r in near_copies.keep_one(spark.createDataFrame([(*r, "k", 1) for r in data], SCHEMA)).collect())
+    assert got == wanted
+    assert sum(tested) < 300 * 299 / 2 / 4
