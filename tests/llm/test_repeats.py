@@ -108,14 +108,14 @@ def test_single_cores_are_not_compared(spark, monkeypatch):
     monkeypatch.setattr(anchors, "MOST_CLASSES", 3)
     monkeypatch.setattr(anchors, "join_groups", counted)
     rng = np.random.default_rng(21)
-    own = ["".join(map(chr, rng.integers(97, 123, 300))) for _ in range(50)]
-    phrase = "a phrase of many texts, longer than one gram " * 2
+    own = ["".join(map(chr, rng.integers(97, 123, 300))) for _ in range(90)]
+    phrase = "".join(map(chr, rng.integers(97, 123, 150)))
     rows = [(i, t[:150] + phrase + t[150:]) for i, t in enumerate(own)]
-    rows += [(50, own[0][:120] + phrase + own[0][150:]), (51, own[1][10:150] + phrase + own[1][150:240])]
+    rows += [(90, own[0][:120] + phrase + own[0][150:]), (91, own[1][10:150] + phrase + own[1][150:240])]
     got = suffix_array.remove_repeats(frame(spark, rows)).drop("kept").collect()
     assert sorted(map(tuple, got), key=key) == sorted(slow_bytes(rows, 200), key=key)
-    # phrases have at most three anchors, and two pairs of texts have more in common
-    assert compared and sum(compared) <= 60
+    # only two pairs of texts have more than the phrase in common
+    assert compared and sum(compared) <= 100
 
 
 def test_repeated_rows(spark):
