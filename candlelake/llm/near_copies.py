@@ -7,8 +7,9 @@ Two sets of Jaccard index ``J`` differ in a bit of a SimHash with a chance of ``
 set of index 0.8 must share one of: those pairs are all found. What meets is compared by the first half of the bits, then by the complete
 distance, then by the shingles of both texts, which are computed for candidates only.
 
-Of a crowd that is near by its bits only the nearest are tested at once. Further ones that are not connected by then are compared by ``PARITIES``
-bits first, which bound the index from above: what they exclude is below 0.8 for certain, so the pairs of a crowd of unlike texts are never written.
+Texts with several near ones in a bucket meet there again with ``PARITIES`` bits, which bound the index from above: what they exclude is below 0.8 for
+certain, so the pairs of a crowd of unlike texts are never written. Of what they allow only the nearest are tested at once, and of further pairs those
+that are not connected by then.
 """
 
 from __future__ import annotations
@@ -30,7 +31,7 @@ WORDS, LEAST_LIKENESS = 5, 0.8
 SEGMENTS, WIDTH, SHORT = 16, 16, 40
 # bits that may differ: of the first 128 by parts and by shingles, and of all 256
 NEAR, NEAR_SHORT, NEAR_ALL = 36, 48, 66
-# candidates of a row in a bucket that are tested by their bits
+# candidates of a row in a bucket that are tested at once
 NEAREST = 1
 # bits of the bound on the index
 PARITIES = 2048
@@ -200,62 +201,92 @@ def _blocks(heads, sizes, filed):
             yield rows, np.full(len(rows), heads[i]), np.full(len(rows), filed[i])
 
 
+def _fits(a, b, n) -> np.ndarray:
+    """Which pairs may have an index of ``LEAST_LIKENESS`` by their sizes."""
+    return np.minimum(n[a], n[b]) >= LEAST_LIKENESS * np.maximum(n[a], n[b]) - 1e-9
+
+
 def _may_be_alike(a, b, n, marks) -> np.ndarray:
-    """Which pairs may have an index of ``LEAST_LIKENESS`` by their sizes and parities."""
+    """Which pairs that fit may have an index of ``LEAST_LIKENESS`` by their parities."""
     both = n[a] + n[b]
     differing = np.bitwise_count(marks[a] ^ marks[b]).sum(1, dtype=np.int64)
-    fits = np.minimum(n[a], n[b]) >= LEAST_LIKENESS * np.maximum(n[a], n[b]) - 1e-9
-    return fits & (both - differing >= LEAST_LIKENESS * (both + differing) - 1e-6)
+    return both - differing >= LEAST_LIKENESS * (both + differing) - 1e-6
+
+
+def _near_pairs(chunk, bits):
+    """``row, other`` of the rows of a chunk that are near and fit, each pair once, some at a time."""
+    buckets, probes, keys, n = (chunk[c] for c in ("bucket", "probe", "key", "n"))
+    heads = np.flatnonzero(np.concatenate([[True], buckets[1:] != buckets[:-1]]))
+    sizes = np.diff(np.append(heads, len(buckets)))
+    filed = np.add.reduceat(1 - probes.astype(np.int64), heads)
+    for rows, first, counts in _blocks(heads, sizes, filed):
+        row = np.repeat(rows, counts)
+        other = np.repeat(first, counts) + _counting(counts)
+        near = _are_near(row, other, buckets, bits)
+        row, other = row[near], other[near]
+        # two filed rows meet both ways
+        once = ((keys[row] < keys[other]) | (probes[row] > 0) & (keys[row] != keys[other])) & _fits(row, other, n)
+        yield row[once], other[once]
+
+
+def _pairs_and_ends(chunk, x, y, ends) -> pa.RecordBatch:
+    """``a, b, bucket, probe``: pairs of rows as ``a, b``, and rows ``ends`` as ``a`` with their bucket."""
+    keys = chunk["key"]
+    x, y = keys[x], keys[y]
+    a, b = np.unique(np.stack([np.minimum(x, y), np.maximum(x, y)], axis=1), axis=0).T
+    columns = [
+        pa.array(np.concatenate([a, keys[ends]])),
+        pa.concat_arrays([pa.array(b.copy()), pa.nulls(len(ends), pa.int64())]),
+        pa.concat_arrays([pa.nulls(len(a), pa.int64()), pa.array(chunk["bucket"][ends])]),
+        pa.concat_arrays([pa.nulls(len(a), pa.int32()), pa.array(chunk["probe"][ends].astype(np.int32))]),
+    ]
+    return pa.RecordBatch.from_arrays(columns, names=["a", "b", "bucket", "probe"])
 
 
 def _look(columns: list[str]):
-    """``a, b``: every row with its ``NEAREST`` in each bucket; a bucket with rows that have more of them comes as ``a`` alone.
+    """Pairs of rows that are near by their bits, and rows that have to meet again, by ``_pairs_and_ends``.
 
-    With ``root``: instead, as ``a`` alone, the rows of pairs that are near, but neither among the nearest nor connected. With ``parities`` too: all
-    pairs that are near, not connected, and may be alike enough.
+    A pair without other near rows in its bucket is a pair; all other near rows are ends. With ``parities``: every row and its ``NEAREST`` of those that may be alike
+    enough are pairs, both rows of any further pair are ends. With ``root`` too: all pairs that may be alike and are not connected, and no ends.
     """
     rooted, bounded = "root" in columns, "parities" in columns
 
+    def lone(chunk, bits):
+        degree, partner = np.zeros(len(bits), np.int64), np.zeros(len(bits), np.int64)
+        for row, other in _near_pairs(chunk, bits):
+            np.add.at(degree, row, 1)
+            np.add.at(degree, other, 1)
+            partner[row] = other
+            partner[other] = row
+        single = np.flatnonzero(degree == 1)
+        single = single[degree[partner[single]] == 1]
+        degree[single] = 0
+        return single, partner[single], np.flatnonzero(degree)
+
+    def alike(chunk, bits):
+        marks, n = np.frombuffer(b"".join(chunk["parities"]), np.uint64).reshape(len(bits), -1), chunk["n"]
+        pairs, further = [np.zeros((2, 0), np.int64)], np.zeros(len(bits), bool)
+        for row, other in _near_pairs(chunk, bits):
+            may = _may_be_alike(row, other, n, marks)
+            if rooted:
+                may &= chunk["root"][row] != chunk["root"][other]
+            row, other = row[may], other[may]
+            if not rooted:
+                # of two filed rows either has its nearest
+                filed = chunk["probe"][row] == 0
+                x, y = np.concatenate([row, other[filed]]), np.concatenate([other, row[filed]])
+                nearest = _places(x, y, chunk["key"], bits) < NEAREST
+                further[x[~nearest]] = further[y[~nearest]] = True
+                row, other = x[nearest], y[nearest]
+            pairs.append(np.stack([row, other]))
+        return *np.concatenate(pairs, axis=1), np.flatnonzero(further)
+
     def run(batches):
         for chunk in _chunks(batches, columns):
             chunk = dict(zip(columns, chunk))
-            buckets, probes, keys = (chunk[c] for c in ("bucket", "probe", "key"))
+            chunk["n"] = chunk["n"].astype(np.int64)
             bits = np.stack([chunk[c] for c in _FP], axis=1).view(np.uint64)
-            if bounded:
-                n, marks = chunk["n"].astype(np.int64), np.frombuffer(b"".join(chunk["parities"]), np.uint64).reshape(len(keys), -1)
-            heads = np.flatnonzero(np.concatenate([[True], buckets[1:] != buckets[:-1]]))
-            sizes = np.diff(np.append(heads, len(buckets)))
-            filed = np.add.reduceat(1 - probes.astype(np.int64), heads)
-            found, open_ = [], []
-            for rows, first, counts in _blocks(heads, sizes, filed):
-                row = np.repeat(rows, counts)
-                other = np.repeat(first, counts) + _counting(counts)
-                near = _are_near(row, other, buckets, bits)
-                near = near[keys[row[near]] != keys[other[near]]]
-                row, other = row[near], other[near]
-                if bounded:
-                    apart = (keys[row] < keys[other]) | (probes[row] > 0)
-                    apart &= chunk["root"][row] != chunk["root"][other]
-                    row, other = row[apart], other[apart]
-                    alike = _may_be_alike(row, other, n, marks)
-                    x, y = keys[row[alike]], keys[other[alike]]
-                    found.append(np.stack([np.minimum(x, y), np.maximum(x, y)], axis=1))
-                    continue
-                place = _places(row, other, keys, bits)
-                if rooted:
-                    roots = chunk["root"]
-                    left = (place >= NEAREST) & (roots[row] != roots[other])
-                    open_.append(np.unique(np.concatenate([keys[row[left]], keys[other[left]]])))
-                else:
-                    open_.append(np.unique(buckets[row[place >= NEAREST]]))
-                    x, y = keys[row[place < NEAREST]], keys[other[place < NEAREST]]
-                    found.append(np.unique(np.stack([np.minimum(x, y), np.maximum(x, y)], axis=1), axis=0))
-            if found:
-                a, b = (pa.array(c.copy()) for c in np.unique(np.concatenate(found), axis=0).T)
-                yield pa.RecordBatch.from_arrays([a, b], names=["a", "b"])
-            if open_:
-                a = pa.array(np.unique(np.concatenate(open_)))
-                yield pa.RecordBatch.from_arrays([a, pa.nulls(len(a), pa.int64())], names=["a", "b"])
+            yield _pairs_and_ends(chunk, *(alike if bounded else lone)(chunk, bits))
 
     return run
 
@@ -304,49 +335,65 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInArrow(giving_back(test), "a long, b long")
 
 
-def _linked(pairs: DataFrame, marked: DataFrame, docs: DataFrame, links: list[DataFrame]) -> DataFrame:
-    """The groups by ``links`` and by those of ``pairs`` that are verified, which become links."""
+def _linked(pairs: DataFrame, marked: DataFrame, docs: DataFrame) -> DataFrame:
+    """``a, b``: those of ``pairs`` that are verified; a stored table."""
     sets = _sets(pairs.select(F.col("a").alias("key")).union(pairs.select("b")).distinct(), marked, docs)
-    links.append(stage(_verified(pairs, sets), "links", small=True))
+    links = stage(_verified(pairs, sets), "links", small=True)
     drop(sets)
-    every = links[0]
-    for other in links[1:]:
-        every = every.union(other)
-    return components(every)
+    return links
+
+
+def _merged(groups: DataFrame, links: DataFrame, rooted: DataFrame) -> DataFrame:
+    """``groups`` after ``links`` between different ones, or nodes of none; ``rooted`` has ``key, root`` of every node. Only roots are linked anew."""
+    x, y = rooted.select(F.col("key").alias("a"), F.col("root").alias("x")), rooted.select(F.col("key").alias("b"), F.col("root").alias("y"))
+    between = links.join(x, "a").join(y, "b").where("x <> y").select(F.col("x").alias("a"), F.col("y").alias("b"))
+    over = components(between)
+    moved = groups.join(over.toDF("root", "top"), "root", "left").select("node", F.coalesce("top", "root").alias("root"))
+    merged = stage(moved.union(over.join(groups, "node", "left_anti")), "merged", small=True)
+    drop(groups, over)
+    return merged
+
+
+def _grouped(links: DataFrame) -> DataFrame:
+    """``components`` of many links a node: first of the least neighbours, a link a node, then of what links those groups."""
+    both = links.select("a", "b").union(links.select("b", "a")).toDF("a", "b")
+    groups = components(both.groupBy("a").agg(F.min("b").alias("b")))
+    return _merged(groups, links, groups.withColumnRenamed("node", "key"))
 
 
 def _roots(marked: DataFrame, docs: DataFrame) -> DataFrame:
     """``node, root`` of every key that has a near copy of another key; a stored table.
 
-    First the nearest few candidates of every row are tested. Buckets in which some row has more are looked at again, for rows with a near one that is
-    not connected yet; these meet once more, and all their pairs that may be alike enough are tested. So a large group costs a few
-    links a row, and no candidate between two groups is left out.
+    Pairs that are near by their bits are tested, but rows with more near ones in a bucket meet there again with their parities first, and only the
+    nearest few that these allow are tested. Further pairs that are not connected by then are all tested, in the buckets where the ends of such pairs
+    have different groups. So a large group costs a few links a row, and no candidate between two groups is left out.
     """
     nodes = stage(marked.where("f0 is not null").dropDuplicates(["key"]).drop("did", "th"), "nodes", small=True)
-    links: list[DataFrame] = []
+    comparing = ["bucket", "probe", "key", *_FP, "n", "parities"]
 
     def look(rows, name):
-        return stage(_dealt(rows).mapInArrow(giving_back(_look(rows.columns)), "a long, b long"), name)
-
-    found = look(bucket_rows(nodes), "candidates")
-    tested = stage(found.where("b is not null").distinct(), "tested", small=True)
-    crowded = stage(found.where("b is null").select(F.col("a").alias("bucket")).distinct(), "crowded", small=True)
-    drop(found)
-    groups = _linked(tested, marked, docs, links)
-    drop(tested)
-    if not crowded.isEmpty():
-        rooted = nodes.join(groups.withColumnRenamed("node", "key"), "key", "left").withColumn("root", F.coalesce("root", "key"))
-        again = look(bucket_rows(rooted, "root").join(crowded, "bucket", "left_semi"), "crowds")
-        open_ = stage(again.select(F.col("a").alias("key")).distinct(), "open", small=True)
-        rows = bucket_rows(rooted.join(open_, "key", "left_semi"), "root", "n", "parities").join(crowded, "bucket", "left_semi")
-        pairs = look(rows, "candidates")
+        found = stage(_dealt(rows).mapInArrow(giving_back(_look(rows.columns)), "a long, b long, bucket long, probe int"), name)
+        return found, found.where("b is not null").select("a", "b"), found.where("b is null").select("bucket", "probe", F.col("a").alias("key"))
+
+    near, lone, crowds = look(bucket_rows(nodes, "n"), "candidates")
+    again, nearest, ends = look(crowds.join(nodes, "key").select(comparing), "crowds")
+    tested = stage(lone.union(nearest).distinct(), "tested", small=True)
+    links = _linked(tested, marked, docs)
+    groups = _grouped(links)
+    drop(near, tested, links)
+    if not ends.isEmpty():
+        rooted = nodes.join(groups.withColumnRenamed("node", "key"), "key", "left").select("key", F.coalesce("root", "key").alias("root"))
+        ends = stage(ends.join(rooted, "key"), "ends", small=True)
+        mixed = ends.groupBy("bucket").agg(F.min("root").alias("least"), F.max("root").alias("most")).where("least <> most").select("bucket")
+        apart = ends.join(mixed, "bucket", "left_semi").join(nodes, "key")
+        further, pairs, _ = look(apart.select(*comparing, "root"), "further")
         tested = stage(pairs.distinct(), "tested", small=True)
-        drop(again, open_, pairs)
         if not tested.isEmpty():
-            before, groups = groups, _linked(tested, marked, docs, links)
-            drop(before)
-        drop(tested)
-    drop(nodes, crowded, *links)
+            links = _linked(tested, marked, docs)
+            groups = _merged(groups, links, rooted)
+            drop(links)
+        drop(ends, further, tested)
+    drop(nodes, again)
     return groups
 
 

@@ -110,3 +110,36 @@ def test_crowd_of_unlike_texts(spark, monkeypatch):
     got = sorted(r.doc_id for r in near_copies.keep_one(spark.createDataFrame([(*r, "k", 1) for r in data], SCHEMA)).collect())
     assert got == wanted
     assert sum(tested) < 300 * 299 / 2 / 4
+
+
+def test_crowd_of_two_groups(spark, monkeypatch):
+    """Texts of a crowd met again in all buckets that are crowded, and pairs that are too unlike were tested wherever they were nearest."""
+    met, tested, dealt, verified = [], [], near_copies._dealt, near_copies._verified
+
+    def counted(rows):
+        met.append(rows.count())
+        return dealt(rows)
+
+    def counted_pairs(pairs, sets):
+        tested.append(pairs.count())
+        return verified(pairs, sets)
+
+    monkeypatch.setattr(near_copies, "_dealt", counted)
+    monkeypatch.setattr(near_copies, "_verified", counted_pairs)
+    rng = np.random.default_rng(47)
+    words = [f"w{i}" for i in range(5000)]
+    base, rows = list(rng.choice(words, 300)), []
+    for i in range(400):
+        text = list(base)
+        if i % 2:  # of the other group: near by its bits, an index of about 0.73
+            for at in range(0, 45, 5):
+                text[at] = f"other{at}"
+        text[100 + int(rng.integers(200))] = f"own{i}"
+        rows.append(" ".join(text))
+    data = list(enumerate(rows, 1))
+    wanted, groups = slow_kept(data)
+    assert len(groups) == 2
+    got = sorted(r.doc_id for r in near_copies.keep_one(spark.createDataFrame([(*r, "k", 1) for r in data], SCHEMA)).collect())
+    assert got == wanted
+    assert sum(met[1:]) < 30 * len(rows)
+    assert sum(tested) < 13 * len(rows)
